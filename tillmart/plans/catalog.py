@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tillmart.operators import enrich as E
 from tillmart.operators import marts as M
-from tillmart.session import apply_defaults
+from tillmart.session import apply_defaults, scratch_path
+from tillmart.sinks import parquet as P
 from tillmart.sources.tables import RetailInputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +130,61 @@ QUERIES: dict[str, Query] = {
     "unmatched_sales": q_unmatched_sales,
     "mart_conformed": q_mart_conformed,
 }
+
+
+# --- step 3: detail marts and sinks ------------------------------------------
+
+
+def q_customer_detail_mart(spark, sf_dir):
+    path = scratch_path(spark, "customer_detail_mart")
+    P.write_parquet(M.customer_detail(enriched(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+def q_sales_team_detail_mart(spark, sf_dir):
+    path = scratch_path(spark, "sales_team_detail_mart")
+    P.write_parquet(M.sales_team_detail(enriched(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+def _write_partitioned_mart(spark, sf_dir):
+    detail = M.sales_team_detail(enriched(spark, sf_dir))
+    path = scratch_path(spark, "sales_partitioned_mart")
+    P.write_partitioned(detail, path)
+    return path, detail.schema, detail.columns
+
+
+def q_partitioned_mart(spark, sf_dir):
+    path, schema, cols = _write_partitioned_mart(spark, sf_dir)
+    return P.read_partitioned(spark, path, schema).select(*cols)
+
+
+# Months read back by the partition-pruning query (the filter is the feature:
+# only these partition directories are listed and scanned).
+PRUNE_FROM, PRUNE_TO = "1998-01", "1998-12"
+
+
+def q_partition_pruned_read(spark, sf_dir):
+    path, schema, cols = _write_partitioned_mart(spark, sf_dir)
+    return (
+        P.read_partitioned(spark, path, schema)
+        .where(F.col("sales_month").between(PRUNE_FROM, PRUNE_TO))
+        .select(*cols)
+    )
+
+
+def q_snapshot_mart(spark, sf_dir):
+    base = scratch_path(spark, "sales_incentive_snapshots")
+    P.write_snapshot(M.sales_incentive(_totals(spark, sf_dir)), base)
+    return spark.read.parquet(P.latest_snapshot(spark, base))
+
+
+QUERIES.update(
+    {
+        "customer_detail_mart": q_customer_detail_mart,
+        "sales_team_detail_mart": q_sales_team_detail_mart,
+        "partitioned_mart": q_partitioned_mart,
+        "partition_pruned_read": q_partition_pruned_read,
+        "snapshot_mart": q_snapshot_mart,
+    }
+)

@@ -178,4 +178,18 @@ ORACLE: dict[str, str] = {
                   CAST(total_sales AS DECIMAL(10,2)) AS total_sales
            FROM customer_mart"""
     ),
+    "customer_detail_mart": _q(
+        """SELECT customer_id, first_name, last_name, address, pincode, phone_number,
+                  sales_date, total_cost FROM enriched"""
+    ),
+    "sales_team_detail_mart": _q("SELECT * FROM team_detail"),
+    "partitioned_mart": _q("SELECT * FROM team_detail"),
+    "partition_pruned_read": _q(
+        "SELECT * FROM team_detail WHERE sales_month BETWEEN '1998-01' AND '1998-12'"
+    ),
+    "snapshot_mart": _q(
+        f"""SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
+                   {INCENTIVE_EXPR} AS incentive
+            FROM team_ranked"""
+    ),
 }
