@@ -188,3 +188,8 @@ QUERIES.update(
         "snapshot_mart": q_snapshot_mart,
     }
 )
+
+
+from tillmart.plans.landing_queries import LANDING_QUERIES  # noqa: E402
+
+QUERIES.update(LANDING_QUERIES)

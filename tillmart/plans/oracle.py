@@ -193,3 +193,121 @@ ORACLE: dict[str, str] = {
             FROM team_ranked"""
     ),
 }
+
+
+# --- landing zone (steps 4-6) ----------------------------------------------------
+# The landed files are restated from the fixture rule in landing_fixture: one
+# file per sales month, header shape = (year * 12 + month) % 5.
+
+from tillmart.schemas import MANDATORY_COLUMNS  # noqa: E402
+from tillmart.sources import landing_fixture as LF  # noqa: E402
+
+
+def _sql_str(v):
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+def _shape_table() -> str:
+    rows = []
+    for shape, header in LF.SHAPE_HEADERS.items():
+        missing = [c for c in MANDATORY_COLUMNS if c not in header]
+        extra = [c for c in header if c not in MANDATORY_COLUMNS]
+        reason = "missing:" + ",".join(missing) if missing else None
+        rows.append(
+            f"({shape}, {_sql_str(','.join(header))}, {_sql_str(','.join(missing))}, {len(missing)}, "
+            f"{_sql_str(','.join(extra))}, {len(extra)}, {_sql_str('error' if missing else 'valid')}, "
+            f"{_sql_str(reason)})"
+        )
+    return (
+        "SELECT * FROM (VALUES " + ", ".join(rows) + ") "
+        "AS t(shape, header, missing, n_missing, extra, n_extra, verdict, reason)"
+    )
+
+
+LANDED = f"""
+, landed AS (
+  SELECT *, 'sales_' || strftime(sales_date, '%Y_%m') || '.csv' AS file_name,
+         (year(sales_date) * 12 + month(sales_date)) % {LF.N_SHAPES} AS shape,
+         CASE WHEN quantity % 2 = 0 THEN 'cash' ELSE 'UPI' END AS payment_mode,
+         CASE WHEN quantity % 3 = 0 THEN 'SAVE' || CAST(quantity AS VARCHAR) END AS coupon
+  FROM sales
+),
+shapes AS ({_shape_table()}),
+files AS (SELECT DISTINCT file_name, shape, CAST(substring(file_name, 7, 4) AS INTEGER) AS yr FROM landed),
+landed_rows AS (
+  SELECT customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity,
+         total_cost,
+         CASE shape WHEN 0 THEN CAST(NULL AS VARCHAR)
+                    WHEN 1 THEN payment_mode
+                    ELSE concat_ws(', ', payment_mode, coupon) END AS additional_column,
+         file_name
+  FROM landed
+  WHERE shape IN {tuple(LF.VALID_SHAPES)} AND NOT (shape = 0 AND quantity = {LF.BAD_QUANTITY})
+)
+"""
+
+
+def _l(body: str) -> str:
+    return BASE + LANDED + body
+
+
+ORACLE.update(
+    {
+        "landing_listing": _l(
+            f"""SELECT file_name, true AS is_csv FROM files
+                UNION ALL SELECT '{LF.NOTES_FILE}', false
+                UNION ALL SELECT '{LF.EMPTY_FILE}', true"""
+        ),
+        "header_probe": _l(
+            f"""SELECT f.file_name, s.header FROM files f JOIN shapes s USING (shape)
+                UNION ALL SELECT '{LF.EMPTY_FILE}', NULL"""
+        ),
+        "missing_columns": _l(
+            "SELECT f.file_name, s.missing, CAST(s.n_missing AS INTEGER) AS n_missing "
+            "FROM files f JOIN shapes s USING (shape)"
+        ),
+        "extra_columns": _l(
+            "SELECT f.file_name, s.extra, CAST(s.n_extra AS INTEGER) AS n_extra "
+            "FROM files f JOIN shapes s USING (shape)"
+        ),
+        "file_verdicts": _l(
+            f"""SELECT f.file_name, s.verdict, s.reason FROM files f JOIN shapes s USING (shape)
+                UNION ALL SELECT '{LF.NOTES_FILE}', 'error', 'not_csv'
+                UNION ALL SELECT '{LF.EMPTY_FILE}', 'error', 'empty'"""
+        ),
+        "quarantine_rows": _l(
+            f"""SELECT l.file_name, s.reason, COUNT(*) + 1 AS n_lines
+                FROM landed l JOIN shapes s USING (shape) WHERE s.verdict = 'error'
+                GROUP BY l.file_name, s.reason
+                UNION ALL SELECT '{LF.NOTES_FILE}', 'not_csv', (SELECT COUNT(*) FROM files)
+                UNION ALL SELECT '{LF.EMPTY_FILE}', 'empty', 0"""
+        ),
+        "corrupt_rows": _l(
+            f"""SELECT file_name, COUNT(*) AS n_rows FROM landed
+                WHERE shape = 0 AND quantity = {LF.BAD_QUANTITY} GROUP BY file_name"""
+        ),
+        "additional_column": _l(
+            "SELECT file_name, additional_column, COUNT(*) AS n_rows FROM landed_rows "
+            "GROUP BY file_name, additional_column"
+        ),
+        "csv_ingest_unified": _l("SELECT * FROM landed_rows"),
+        "empty_input": _l("SELECT * FROM landed_rows WHERE false"),
+        "ledger_state": _l(
+            """SELECT f.file_name,
+                      CASE WHEN f.yr < 2000 THEN 'I' ELSE 'A' END AS status,
+                      CASE WHEN f.yr < 2000 THEN TIMESTAMP '2024-01-01 00:00:00'
+                           ELSE TIMESTAMP '2024-01-02 00:00:00' END AS created_date,
+                      CASE WHEN f.yr < 2000 THEN TIMESTAMP '2024-01-01 01:00:00' END AS updated_date
+               FROM files f JOIN shapes s USING (shape) WHERE s.verdict = 'valid'"""
+        ),
+        "active_files": _l(
+            """SELECT f.file_name FROM files f JOIN shapes s USING (shape)
+               WHERE s.verdict = 'valid' AND f.yr >= 2000"""
+        ),
+        "pending_files": _l(
+            f"""SELECT f.file_name FROM files f JOIN shapes s USING (shape)
+                WHERE NOT (s.verdict = 'valid' AND f.yr < 2000)
+                UNION ALL SELECT '{LF.EMPTY_FILE}'"""
+        ),
+    }
+)

@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A CSV row's validity must not depend on which columns a query reads:
+    # with parser column pruning, a bad value in an unread column would pass.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
