@@ -145,3 +145,37 @@ LANDING_QUERIES = {
     "active_files": q_active_files,
     "pending_files": q_pending_files,
 }
+
+
+# --- step 6: a whole run, and the streaming ingest -----------------------------
+# Fixed run time, so the ledger rows of the run are reproducible.
+RUN_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+def q_end_to_end_run(spark, sf_dir):
+    """Landing zone -> marts in one run; returns the sales-team mart as stored."""
+    from tillmart.plans import job
+    from tillmart.sources.tables import RetailInputs
+
+    landing = landing_for(spark, sf_dir)
+    r = RetailInputs(spark, sf_dir)
+    dims = job.Dimensions(r.customer(), r.store(), r.sales_team())
+    result = job.run(spark, landing, dims, scratch_path(spark, "run"), now=RUN_AT)
+    return job.read_mart(spark, result.paths["sales_mart"])
+
+
+def q_stream_file_ingest(spark, sf_dir):
+    """The landing zone ingested by a Structured Streaming query, in
+    micro-batches of at most 16 files; returns every ingested row."""
+    from tillmart.streaming import ingest as S
+
+    landing = landing_for(spark, sf_dir)
+    out = scratch_path(spark, "stream-out")
+    query = S.start(spark, landing, out, f"{out}/_checkpoint", max_files_per_trigger=16)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return S.read_rows(spark, out)
+
+
+LANDING_QUERIES.update({"end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

@@ -311,3 +311,27 @@ ORACLE.update(
         ),
     }
 )
+
+
+def _landed_chain() -> str:
+    """The enriched -> ranked CTE chain of BASE, fed by the landed rows."""
+    start, end = BASE.index("enriched AS ("), BASE.index("customer_mart AS (")
+    chain = BASE[start:end].rstrip().rstrip(",")
+    for name in ("team_ranked", "team_totals", "team_detail", "enriched"):
+        chain = chain.replace(name, "l_" + name)
+    return ", " + chain.replace("FROM sales f", "FROM landed_rows f") + "\n"
+
+
+ORACLE.update(
+    {
+        "end_to_end_run": _l(
+            _landed_chain()
+            + """SELECT store_id, sales_person_id, full_name, sales_month,
+                        CAST(total_sales AS DECIMAL(10,2)) AS total_sales,
+                        CAST(CASE WHEN rnk = 1 THEN ROUND(total_sales * 0.01, 2) ELSE 0 END
+                             AS DECIMAL(10,2)) AS incentive
+                 FROM l_team_ranked"""
+        ),
+        "stream_file_ingest": _l("SELECT * FROM landed_rows"),
+    }
+)
