@@ -9,17 +9,18 @@ again without gathering any group in one task.
 
 The best seller of a store and month is found by comparing each total with the
 group's maximum (a grouped ``max`` joined back): identical to ``rank() == 1``
-with ties, without a sorted window.  The full rank is still offered
-(``sales_rank``); it sorts the pre-aggregated (store, month, salesperson)
-rows, whose group size is the number of salespeople of one store.
+with ties, without a sorted window.  The full rank (``sales_rank``) comes from
+``ranking.rank_desc``: range-partitioned running counts, so no (store, month)
+group is ranked by a single task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions.scalars import full_name, incentive, mart_money, money, sales_month
+from tillmart.operators.ranking import rank_desc
 
 CUSTOMER_DETAIL_COLUMNS = [
     "customer_id",
@@ -130,9 +131,11 @@ def flag_top(totals: DataFrame, group: list[str], value: str, flag: str = "is_to
 
 def sales_rank(totals: DataFrame) -> DataFrame:
     """``rank()`` of each salesperson's monthly total within the store, best
-    first (the reference orders ascending, which would pay the worst seller)."""
-    w = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc())
-    return totals.withColumn("rnk", F.rank().over(w))
+    first (the reference orders ascending, which would pay the worst seller).
+
+    Computed by ``ranking.rank_desc``, not a window over (store, month): a
+    store with most of the sales staff is ranked by many tasks."""
+    return rank_desc(totals, ["store_id", "sales_month"], "total_sales", "rnk")
 
 
 def top_sellers(totals: DataFrame) -> DataFrame:
