@@ -196,8 +196,9 @@ ORACLE: dict[str, str] = {
 
 
 # --- landing zone (steps 4-6) ----------------------------------------------------
-# The landed files are restated from the fixture rule in landing_fixture: one
-# file per sales month, header shape = (year * 12 + month) % 5.
+# The landed files are restated from the fixture rule in landing_fixture: a
+# sales month in ceil(rows / ROWS_PER_FILE) files, part = (l_orderkey +
+# l_linenumber) % parts, header shape = (year * 12 + month) % 5.
 
 from tillmart.schemas import MANDATORY_COLUMNS  # noqa: E402
 from tillmart.sources import landing_fixture as LF  # noqa: E402
@@ -224,13 +225,41 @@ def _shape_table() -> str:
     )
 
 
-LANDED = f"""
-, landed AS (
-  SELECT *, 'sales_' || strftime(sales_date, '%Y_%m') || '.csv' AS file_name,
+def landed_ctes(rows_per_file: int = LF.ROWS_PER_FILE) -> str:
+    """CTEs ``landed``, ``shapes``, ``files``, ``landed_rows`` for a landing
+    zone written with ``rows_per_file``."""
+    return LANDED_TEMPLATE.replace("{rows_per_file}", str(int(rows_per_file)))
+
+
+LANDED_TEMPLATE = f"""
+, keyed AS (
+  SELECT o.o_custkey AS customer_id,
+         s.s_nationkey AS store_id,
+         p.p_name AS product_name,
+         CAST(o.o_orderdate AS DATE) AS sales_date,
+         l.l_suppkey AS sales_person_id,
+         CAST(p.p_retailprice AS DECIMAL(18,2)) AS price,
+         CAST(l.l_quantity AS INTEGER) AS quantity,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_cost,
+         l.l_orderkey + l.l_linenumber AS spread
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+),
+parted AS (
+  SELECT *, spread % CAST(ceil(COUNT(*) OVER (PARTITION BY strftime(sales_date, '%Y_%m'))
+                               / {{rows_per_file}}) AS BIGINT) AS part
+  FROM keyed
+),
+landed AS (
+  SELECT * EXCLUDE (spread, part),
+         'sales_' || strftime(sales_date, '%Y_%m') || '_p' || lpad(CAST(part AS VARCHAR), 4, '0')
+           || '.csv' AS file_name,
          (year(sales_date) * 12 + month(sales_date)) % {LF.N_SHAPES} AS shape,
          CASE WHEN quantity % 2 = 0 THEN 'cash' ELSE 'UPI' END AS payment_mode,
          CASE WHEN quantity % 3 = 0 THEN 'SAVE' || CAST(quantity AS VARCHAR) END AS coupon
-  FROM sales
+  FROM parted
 ),
 shapes AS ({_shape_table()}),
 files AS (SELECT DISTINCT file_name, shape, CAST(substring(file_name, 7, 4) AS INTEGER) AS yr FROM landed),
@@ -247,52 +276,49 @@ landed_rows AS (
 """
 
 
-def _l(body: str) -> str:
-    return BASE + LANDED + body
-
-
-ORACLE.update(
-    {
-        "landing_listing": _l(
+# Query bodies over the landing CTEs, by query key.
+LANDING_BODIES = {
+        "landing_listing": (
             f"""SELECT file_name, true AS is_csv FROM files
                 UNION ALL SELECT '{LF.NOTES_FILE}', false
                 UNION ALL SELECT '{LF.EMPTY_FILE}', true"""
         ),
-        "header_probe": _l(
+        "header_probe": (
             f"""SELECT f.file_name, s.header FROM files f JOIN shapes s USING (shape)
                 UNION ALL SELECT '{LF.EMPTY_FILE}', NULL"""
         ),
-        "missing_columns": _l(
+        "missing_columns": (
             "SELECT f.file_name, s.missing, CAST(s.n_missing AS INTEGER) AS n_missing "
             "FROM files f JOIN shapes s USING (shape)"
         ),
-        "extra_columns": _l(
+        "extra_columns": (
             "SELECT f.file_name, s.extra, CAST(s.n_extra AS INTEGER) AS n_extra "
             "FROM files f JOIN shapes s USING (shape)"
         ),
-        "file_verdicts": _l(
+        "file_verdicts": (
             f"""SELECT f.file_name, s.verdict, s.reason FROM files f JOIN shapes s USING (shape)
                 UNION ALL SELECT '{LF.NOTES_FILE}', 'error', 'not_csv'
                 UNION ALL SELECT '{LF.EMPTY_FILE}', 'error', 'empty'"""
         ),
-        "quarantine_rows": _l(
+        "quarantine_rows": (
             f"""SELECT l.file_name, s.reason, COUNT(*) + 1 AS n_lines
                 FROM landed l JOIN shapes s USING (shape) WHERE s.verdict = 'error'
                 GROUP BY l.file_name, s.reason
-                UNION ALL SELECT '{LF.NOTES_FILE}', 'not_csv', (SELECT COUNT(*) FROM files)
+                UNION ALL SELECT '{LF.NOTES_FILE}', 'not_csv',
+                    (SELECT COUNT(DISTINCT strftime(sales_date, '%Y-%m')) FROM landed)
                 UNION ALL SELECT '{LF.EMPTY_FILE}', 'empty', 0"""
         ),
-        "corrupt_rows": _l(
+        "corrupt_rows": (
             f"""SELECT file_name, COUNT(*) AS n_rows FROM landed
                 WHERE shape = 0 AND quantity = {LF.BAD_QUANTITY} GROUP BY file_name"""
         ),
-        "additional_column": _l(
+        "additional_column": (
             "SELECT file_name, additional_column, COUNT(*) AS n_rows FROM landed_rows "
             "GROUP BY file_name, additional_column"
         ),
-        "csv_ingest_unified": _l("SELECT * FROM landed_rows"),
-        "empty_input": _l("SELECT * FROM landed_rows WHERE false"),
-        "ledger_state": _l(
+        "csv_ingest_unified": ("SELECT * FROM landed_rows"),
+        "empty_input": ("SELECT * FROM landed_rows WHERE false"),
+        "ledger_state": (
             """SELECT f.file_name,
                       CASE WHEN f.yr < 2000 THEN 'I' ELSE 'A' END AS status,
                       CASE WHEN f.yr < 2000 THEN TIMESTAMP '2024-01-01 00:00:00'
@@ -300,17 +326,16 @@ ORACLE.update(
                       CASE WHEN f.yr < 2000 THEN TIMESTAMP '2024-01-01 01:00:00' END AS updated_date
                FROM files f JOIN shapes s USING (shape) WHERE s.verdict = 'valid'"""
         ),
-        "active_files": _l(
+        "active_files": (
             """SELECT f.file_name FROM files f JOIN shapes s USING (shape)
                WHERE s.verdict = 'valid' AND f.yr >= 2000"""
         ),
-        "pending_files": _l(
+        "pending_files": (
             f"""SELECT f.file_name FROM files f JOIN shapes s USING (shape)
                 WHERE NOT (s.verdict = 'valid' AND f.yr < 2000)
                 UNION ALL SELECT '{LF.EMPTY_FILE}'"""
         ),
-    }
-)
+}
 
 
 def _landed_chain() -> str:
@@ -322,9 +347,9 @@ def _landed_chain() -> str:
     return ", " + chain.replace("FROM sales f", "FROM landed_rows f") + "\n"
 
 
-ORACLE.update(
+LANDING_BODIES.update(
     {
-        "end_to_end_run": _l(
+        "end_to_end_run": (
             _landed_chain()
             + """SELECT store_id, sales_person_id, full_name, sales_month,
                         CAST(total_sales AS DECIMAL(10,2)) AS total_sales,
@@ -332,6 +357,14 @@ ORACLE.update(
                              AS DECIMAL(10,2)) AS incentive
                  FROM l_team_ranked"""
         ),
-        "stream_file_ingest": _l("SELECT * FROM landed_rows"),
+        "stream_file_ingest": "SELECT * FROM landed_rows",
     }
 )
+
+
+def landing_sql(name: str, rows_per_file: int = LF.ROWS_PER_FILE) -> str:
+    """Oracle SQL of landing query ``name`` for a zone of ``rows_per_file``."""
+    return BASE + landed_ctes(rows_per_file) + LANDING_BODIES[name]
+
+
+ORACLE.update({name: landing_sql(name) for name in LANDING_BODIES})

@@ -1,8 +1,13 @@
 """A landing zone of CSV files written by Spark from the provided tables.
 
-The whole sales fact (``tables.sales``) is split into one file per sales
-month.  The header shape of a month's file follows a fixed rule on the month
-number, so the expected verdicts can be restated in SQL:
+The whole sales fact (``tables.sales``) is split into files by sales month,
+and a month into ``ceil(rows / ROWS_PER_FILE)`` parts, so the number of files
+grows with the data and no file (and no writing task) outgrows a fixed size:
+
+    sales_<yyyy>_<MM>_p<part>.csv,  part = (l_orderkey + l_linenumber) % parts
+
+The header shape of a month's files follows a fixed rule on the month number,
+so the expected verdicts can be restated in SQL:
 
     shape = (year * 12 + month) % 5
     0 exact      the 8 mandatory columns; a quantity of 50 is written as
@@ -13,8 +18,9 @@ number, so the expected verdicts can be restated in SQL:
     4 case       store_id spelled Store_ID            -> missing:store_id
 
 Besides the monthly files the zone holds ``notes.txt`` (one line per month;
-not a CSV) and ``empty.csv`` (zero bytes).  Files are written by Spark (one
-task per file, rebalanced by file key) and then given stable names.
+not a CSV) and ``empty.csv`` (zero bytes).  Files are written by Spark (all
+rows of one file in one task, hash-partitioned by file name, so a task writes
+whole files of bounded size) and then given stable names.
 """
 
 from __future__ import annotations
@@ -25,8 +31,12 @@ from pyspark.sql import functions as F
 from tillmart.schemas import MANDATORY_COLUMNS
 from tillmart.session import scratch_path, shared_dir
 from tillmart.sources import fs
-from tillmart.sources.tables import Tables, sales
+from tillmart.sources.tables import Tables, sales_keyed
 
+# --- fixed values of the landing fixture -------------------------------------
+# Rows per landed file at most (about 50 MB of CSV); a month with more rows is
+# written as several files.
+ROWS_PER_FILE = 500_000
 N_SHAPES = 5
 BAD_QUANTITY = 50
 NOTES_FILE = "notes.txt"
@@ -42,8 +52,28 @@ SHAPE_HEADERS: dict[int, list[str]] = {
 VALID_SHAPES = (0, 1, 2)
 
 
-def file_key(date_col: str = "sales_date") -> F.Column:
-    return F.concat(F.lit("sales_"), F.date_format(F.col(date_col), "yyyy_MM"), F.lit(".csv"))
+def file_key(part: F.Column, date_col: str = "sales_date") -> F.Column:
+    return F.concat(
+        F.lit("sales_"), F.date_format(F.col(date_col), "yyyy_MM"), F.lit("_p"),
+        F.lpad(part.cast("string"), 4, "0"), F.lit(".csv"),
+    )
+
+
+def with_file(fact, rows_per_file: int):
+    """Adds ``_file``: the month's part is the spread key modulo the number of
+    parts, which comes from a per-month row count (one row per month, joined
+    back)."""
+    month = F.date_format(F.col("sales_date"), "yyyy_MM")
+    parts = (
+        fact.groupBy(month.alias("_month"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_month", F.ceil(F.col("_rows") / F.lit(rows_per_file)).cast("long").alias("_parts"))
+    )
+    return (
+        fact.join(parts, month == F.col("_month"), "inner")
+        .withColumn("_file", file_key(F.col("_spread") % F.col("_parts")))
+        .drop("_month", "_parts", "_spread")
+    )
 
 
 def shape_of(date_col: str = "sales_date") -> F.Column:
@@ -86,13 +116,15 @@ def _publish(spark: SparkSession, written: str, landing: str) -> None:
         fs.rename(spark, parts[0], f"{landing}/{name}")
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str | None = None) -> str:
+def write_landing(
+    spark: SparkSession, sf_dir: str, landing: str | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> str:
     """Write the landing zone for ``sf_dir``; returns its location."""
     landing = landing or scratch_path(spark, "landing")
     staging = scratch_path(spark, "landing-staging")
     fact_path = f"{staging}/fact"
-    sales(Tables(spark, sf_dir)).drop("additional_column").write.parquet(fact_path)
-    fact = spark.read.parquet(fact_path).withColumn("_shape", shape_of()).withColumn("_file", file_key())
+    sales_keyed(Tables(spark, sf_dir)).drop("additional_column").write.parquet(fact_path)
+    fact = with_file(spark.read.parquet(fact_path), rows_per_file).withColumn("_shape", shape_of())
     fs.mkdirs(spark, landing)
     for shape in SHAPE_HEADERS:
         out = f"{staging}/shape{shape}"

@@ -56,7 +56,19 @@ def sales(t: Tables) -> DataFrame:
     key; supplier and part are joined by key and broadcast only when Spark's
     size estimate (or AQE's runtime size) is under the broadcast threshold.
     """
-    li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return _sales(t, keyed=False)
+
+
+def sales_keyed(t: Tables) -> DataFrame:
+    """The sales fact plus ``_spread = l_orderkey + l_linenumber``, a row-level
+    key that spreads one month over several landing files (``landing_fixture``)."""
+    return _sales(t, keyed=True)
+
+
+def _sales(t: Tables, keyed: bool) -> DataFrame:
+    li = t("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    )
     od = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     sp = t("supplier").select("s_suppkey", "s_nationkey")
     pt = t("part").select("p_partkey", "p_name", "p_retailprice")
@@ -75,6 +87,7 @@ def sales(t: Tables) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
         F.lit(None).cast("string").alias(ADDITIONAL_COLUMN),
+        *([(F.col("l_orderkey") + F.col("l_linenumber")).alias("_spread")] if keyed else []),
     )
 
 
