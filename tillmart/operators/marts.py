@@ -63,6 +63,9 @@ def group_total(df: DataFrame, keys: list[str], value: str, name: str) -> DataFr
     """Every row with the sum of ``value`` over its group (an unordered window
     sum), computed as a grouped sum joined back on the keys.
 
+    A window would gather each group in one task; here only partial sums
+    cross the aggregation shuffle, and AQE splits a hot group on the row side
+    of the join.  ``df`` is read twice, so it should be stored (or cheap).
     NULL keys form their own group, as in a window partition.
     """
     totals = df.groupBy(*keys).agg(money(F.sum(value)).alias(name))
@@ -91,11 +94,19 @@ def customer_monthly(customer_detail_df: DataFrame) -> DataFrame:
     )
 
 
-def customer_monthly_window(customer_detail_df: DataFrame) -> DataFrame:
-    """Per-row monthly total of each customer, the window step of the mart."""
-    rows = customer_detail_df.select(
+def customer_window_rows(customer_detail_df: DataFrame) -> DataFrame:
+    """The columns the customer window step reads."""
+    return customer_detail_df.select(
         "customer_id", "sales_date", "total_cost", sales_month("sales_date").alias("sales_date_month")
     )
+
+
+def customer_monthly_window(rows: DataFrame) -> DataFrame:
+    """Per-row monthly total of each customer, the window step of the mart.
+
+    ``rows`` (from ``customer_window_rows``) is read by both the grouped sum
+    and the join back; callers pass stored rows so the upstream is computed
+    once."""
     return group_total(rows, CUSTOMER_GROUP, "total_cost", "total_sales_every_month_by_each_customer")
 
 
@@ -114,9 +125,14 @@ def sales_monthly_totals(sales_team_detail_df: DataFrame) -> DataFrame:
     )
 
 
-def sales_monthly_window(sales_team_detail_df: DataFrame) -> DataFrame:
-    """Per-row monthly total of each salesperson in a store."""
-    rows = sales_team_detail_df.select("store_id", "sales_person_id", "sales_month", "sales_date", "total_cost")
+def sales_window_rows(sales_team_detail_df: DataFrame) -> DataFrame:
+    """The columns the salesperson window step reads."""
+    return sales_team_detail_df.select("store_id", "sales_person_id", "sales_month", "sales_date", "total_cost")
+
+
+def sales_monthly_window(rows: DataFrame) -> DataFrame:
+    """Per-row monthly total of each salesperson in a store (rows from
+    ``sales_window_rows``, stored by the caller as above)."""
     return group_total(rows, SALES_GROUP, "total_cost", "total_sales_every_month")
 
 

@@ -74,11 +74,15 @@ def q_customer_monthly_mart(spark, sf_dir):
 
 
 def q_customer_monthly_window(spark, sf_dir):
-    return M.customer_monthly_window(M.customer_detail(enriched(spark, sf_dir)))
+    # The rows feed both the grouped sum and the join back: store them once
+    # rather than run the enrichment joins twice.
+    rows = M.customer_window_rows(M.customer_detail(enriched(spark, sf_dir)))
+    return M.customer_monthly_window(P.stage(rows, scratch_path(spark, "customer_window_rows")))
 
 
 def q_sales_monthly_window(spark, sf_dir):
-    return M.sales_monthly_window(M.sales_team_detail(enriched(spark, sf_dir)))
+    rows = M.sales_window_rows(M.sales_team_detail(enriched(spark, sf_dir)))
+    return M.sales_monthly_window(P.stage(rows, scratch_path(spark, "sales_window_rows")))
 
 
 def q_sales_month(spark, sf_dir):

@@ -109,7 +109,10 @@ def run(
     enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team)
     months = enriched.withColumn("sales_month", M.sales_month("sales_date"))
     _dynamic(months, paths["detail"], ("sales_month",))
-    touched = [r.sales_month for r in months.select("sales_month").distinct().collect()]
+    # Months this run brought, from the staged rows (one column of stored
+    # Parquet; the enrichment is not run a second time for it).  A month whose
+    # rows all missed a dimension re-derives its marts from unchanged detail.
+    touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
     detail = spark.read.parquet(paths["detail"]).where(F.col("sales_month").isin(touched))
 
     # O1/O2: detail marts and the month/store partitioned mart.

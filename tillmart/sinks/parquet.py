@@ -26,6 +26,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once and read it back: a lineage cut in the shared folder,
+    so a frame used by two branches of a plan is computed once and a lost
+    executor re-reads files instead of recomputing the upstream joins."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, keys: tuple[str, ...] = PARTITION_KEYS) -> None:
     (
         df.hint("rebalance", *keys)
