@@ -25,6 +25,8 @@ whole files of bounded size) and then given stable names.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -103,18 +105,30 @@ def _columns(shape: int) -> list[F.Column]:
     return out
 
 
+# Concurrent metadata calls (list, rename) when files get their names.
+PUBLISH_THREADS = 16
+
+
 def _publish(spark: SparkSession, written: str, landing: str) -> None:
-    """Move ``written/_file=<name>/part-*`` to ``landing/<name>``."""
-    for part_dir, is_dir, _ in fs.list_dir(spark, written):
-        leaf = part_dir.rstrip("/").rsplit("/", 1)[-1]
-        if not (is_dir and leaf.startswith("_file=")):
-            continue
-        name = leaf.split("=", 1)[1]
+    """Move ``written/_file=<name>/part-*`` to ``landing/<name>``.
+
+    One list and one rename per file, issued from a small thread pool: on an
+    object store each call is a round trip, and files number in thousands."""
+
+    def move(part_dir: str) -> None:
+        name = part_dir.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1]
         parts = [p for p, d, _ in fs.list_dir(spark, part_dir) if not d and p.rsplit("/", 1)[-1].startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file for {name}, found {len(parts)}")
         fs.rename(spark, parts[0], f"{landing}/{name}")
 
+    dirs = [
+        p for p, is_dir, _ in fs.list_dir(spark, written)
+        if is_dir and p.rstrip("/").rsplit("/", 1)[-1].startswith("_file=")
+    ]
+    with ThreadPoolExecutor(max_workers=PUBLISH_THREADS) as pool:
+        list(pool.map(move, dirs))
+
 
 def write_landing(
     spark: SparkSession, sf_dir: str, landing: str | None = None, rows_per_file: int = ROWS_PER_FILE
