@@ -38,3 +38,16 @@ def test_restart_takes_only_new_files(spark, tmp_path):
     rows = S.read_rows(spark, "file://" + out)
     assert rows.count() == 19
     assert rows.groupBy("file_name").count().where(F.col("count") > 5).count() == 0
+
+
+def test_unparsable_rows_are_kept_apart(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    os.makedirs(landing)
+    _write(landing, "day0.csv", 3)
+    with open(os.path.join(landing, "bad.csv"), "w") as f:
+        f.write(HEADER + "\n1,121,oats,2023-05-01,1,2.00,one,2.00\n2,121,oats,2023-05-01,1,2.00,1,2.00\n")
+    _run(spark, landing, out)
+    assert S.read_rows(spark, "file://" + out).count() == 4
+    bad = S.read_corrupt(spark, "file://" + out).collect()
+    assert [(r.file_name, r.record) for r in bad] == [("bad.csv", "1,121,oats,2023-05-01,1,2.00,one,2.00")]
+    assert "batch_id" not in S.read_rows(spark, "file://" + out).columns

@@ -8,9 +8,11 @@ only after the batch that read it has committed.
 
 The stream only lists files (a ``binaryFile`` source that reads paths, never
 content).  Each micro-batch then runs the batch ingest on exactly its own
-files: header probe, one typed scan per header, quarantine.  Output goes to
-``<out>/<table>/batch_id=<n>``, overwritten per batch, so a batch replayed
-after a failure replaces its own output instead of duplicating it.
+files: header probe, one typed scan per header, quarantine.  The parsed rows
+(good and unparsable, told apart by the corrupt-record column) are written
+once, to ``<out>/parsed/batch_id=<n>``, and the file verdicts to
+``<out>/verdicts/batch_id=<n>``; both are overwritten per batch, so a batch
+replayed after a failure replaces its own output instead of duplicating it.
 Zero-length files yield no row in a scan and are therefore never offered to a
 batch (they carry no data).
 """
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.operators import conform as C
 from tillmart.plans.ingest import ingest
 from tillmart.session import apply_defaults
 
@@ -42,10 +45,8 @@ def _batch_writer(out_dir: str):
         paths = sorted(r.path for r in batch.select("path").collect())
         if not paths:
             return
-        ing = ingest(spark, paths=paths, staging=f"{out}/staging/batch_id={batch_id}")
-        ing.rows.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+        ing = ingest(spark, paths=paths, staging=f"{out}/parsed/batch_id={batch_id}")
         ing.verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch_id={batch_id}")
-        ing.corrupt.write.mode("overwrite").parquet(f"{out}/corrupt/batch_id={batch_id}")
 
     return write_batch
 
@@ -75,9 +76,18 @@ def start(
     return writer.start()
 
 
+def _parsed(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.schema(C.STAGED_SCHEMA).parquet(f"{out_dir.rstrip('/')}/parsed").drop("batch_id")
+
+
 def read_rows(spark: SparkSession, out_dir: str) -> DataFrame:
     """All rows ingested so far (every committed batch)."""
-    return spark.read.parquet(f"{out_dir.rstrip('/')}/rows").drop("batch_id")
+    return C.good_rows(_parsed(spark, out_dir))
+
+
+def read_corrupt(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Unparsable rows of every committed batch: file_name, record."""
+    return C.corrupt_rows(_parsed(spark, out_dir))
 
 
 def batches(spark: SparkSession, out_dir: str) -> DataFrame:
