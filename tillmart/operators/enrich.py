@@ -5,9 +5,11 @@ Join strategy: all three are N:1 equi-joins on the dimension key.  No
 broadcast hint is given; Spark broadcasts a dimension only when its size
 estimate (file statistics) or, under AQE, its measured runtime size is below
 ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a sort-merge join
-(with AQE skew splitting for hot keys) beyond it.  The store and sales-team
-joins run first: they are the likely broadcasts and they remove rows before
-the customer join, which at scale is a shuffle of the whole fact.
+(with AQE skew splitting for hot keys) beyond it.  The sales-team join runs
+first: the fact usually arrives hash-partitioned by the salesperson key (see
+``tables.sales``), so as a sort-merge join it shuffles only the dimension.
+The store join (a likely broadcast) follows; both remove rows before the
+customer join, which at scale is a shuffle of the whole fact.
 """
 
 from __future__ import annotations
@@ -49,8 +51,8 @@ def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team:
     """Sales ⋈ store ⋈ sales_team ⋈ customer (inner), 19 uniquely named columns."""
     fact = sales.select(*FACT_COLUMNS)
     return (
-        fact.join(store_side(store), "store_id", "inner")
-        .join(sales_team_side(sales_team), "sales_person_id", "inner")
+        fact.join(sales_team_side(sales_team), "sales_person_id", "inner")
+        .join(store_side(store), "store_id", "inner")
         .join(customer_side(customer), "customer_id", "inner")
         .select(*ENRICHED_COLUMNS)
     )
@@ -67,11 +69,13 @@ def unmatched_sales(sales: DataFrame, customer: DataFrame, store: DataFrame, sal
     c_keys = customer.select("customer_id").distinct().withColumn("_has_c", F.lit(True))
     s_keys = store.select(F.col("id").alias("store_id")).distinct().withColumn("_has_s", F.lit(True))
     t_keys = sales_team.select(F.col("id").alias("sales_person_id")).distinct().withColumn("_has_t", F.lit(True))
+    # Flags are order-free; the sales-team keys go first, on the key the
+    # fact is usually partitioned by already (see ``tables.sales``).
     flagged = (
         sales.select("customer_id", "store_id", "sales_person_id", "total_cost")
-        .join(c_keys, "customer_id", "left")
-        .join(s_keys, "store_id", "left")
         .join(t_keys, "sales_person_id", "left")
+        .join(s_keys, "store_id", "left")
+        .join(c_keys, "customer_id", "left")
     )
     dimension = (
         F.when(F.col("_has_c").isNull(), F.lit("customer"))

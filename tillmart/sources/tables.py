@@ -72,10 +72,13 @@ def _sales(t: Tables, keyed: bool) -> DataFrame:
     od = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     sp = t("supplier").select("s_suppkey", "s_nationkey")
     pt = t("part").select("p_partkey", "p_name", "p_retailprice")
+    # Supplier last: the fact leaves this join hash-partitioned by l_suppkey
+    # (= sales_person_id), which the sales-team join of the enrichment reuses
+    # when it is a sort-merge join, instead of shuffling the fact once more.
     joined = (
         li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-        .join(sp, li.l_suppkey == sp.s_suppkey, "inner")
         .join(pt, li.l_partkey == pt.p_partkey, "inner")
+        .join(sp, li.l_suppkey == sp.s_suppkey, "inner")
     )
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
