@@ -19,13 +19,15 @@ from tillmart.session import apply_defaults, scratch_path, shared_dir
 from tillmart.sources import landing as L
 from tillmart.sources.landing_fixture import landing_for
 
-_INGESTED: dict[tuple[str, str], tuple[str, Ingested]] = {}
+# Ingest results hold DataFrames of one session: keyed by application too, so
+# a new session over the same shared folder ingests (reads) again.
+_INGESTED: dict[tuple[str, str, str], tuple[str, Ingested]] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str) -> tuple[str, Ingested]:
     apply_defaults(spark)
     landing = landing_for(spark, sf_dir)
-    key = (shared_dir(spark), landing)
+    key = (spark.sparkContext.applicationId, shared_dir(spark), landing)
     if key not in _INGESTED:
         _INGESTED[key] = (landing, ingest(spark, landing))
     return _INGESTED[key]
