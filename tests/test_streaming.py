@@ -51,3 +51,22 @@ def test_unparsable_rows_are_kept_apart(spark, tmp_path):
     bad = S.read_corrupt(spark, "file://" + out).collect()
     assert [(r.file_name, r.record) for r in bad] == [("bad.csv", "1,121,oats,2023-05-01,1,2.00,one,2.00")]
     assert "batch_id" not in S.read_rows(spark, "file://" + out).columns
+
+
+def test_finished_files_are_archived(spark, tmp_path):
+    """cleanSource=archive moves a file away once a later batch has started,
+    so files of all but the last batch leave the landing folder, and a
+    restart still counts every row once."""
+    landing, out, archive = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "archive")
+    os.makedirs(landing)
+    for i in range(4):
+        _write(landing, f"day{i}.csv", 2)
+    for _ in range(2):
+        q = S.start(spark, "file://" + landing, "file://" + out, "file://" + out + "/_checkpoint",
+                    max_files_per_trigger=1, archive_dir="file://" + archive)
+        q.awaitTermination()
+        assert q.exception() is None
+    left = sorted(os.listdir(landing))
+    archived = sorted(f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv"))
+    assert len(left) <= 1 and sorted(left + archived) == [f"day{i}.csv" for i in range(4)]
+    assert S.read_rows(spark, "file://" + out).count() == 8
