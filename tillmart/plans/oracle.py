@@ -33,7 +33,7 @@ customer_dim AS (
          '91' || lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS phone_number,
          DATE '2020-01-01' AS customer_joining_date
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_custkey % 2 = 0
+  WHERE c.c_acctbal >= 0
 ),
 store_dim AS (
   SELECT n_nationkey AS id,
@@ -42,13 +42,13 @@ store_dim AS (
          'Manager ' || n_name AS store_manager_name,
          DATE '2020-01-01' AS store_opening_date,
          CAST(NULL AS VARCHAR) AS reviews
-  FROM nation WHERE n_nationkey < 20
+  FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name <> 'MIDDLE EAST')
 ),
 team_base AS (
   SELECT s.s_suppkey, s.s_name, s.s_nationkey, n.n_name,
          MIN(s.s_suppkey) OVER (PARTITION BY s.s_nationkey) AS manager_id
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE s.s_suppkey % 10 <> 9
+  WHERE s.s_acctbal >= 0
 ),
 sales_team_dim AS (
   SELECT s_suppkey AS id,
