@@ -50,14 +50,12 @@ def build_session(
 
 def apply_defaults(spark: SparkSession) -> None:
     """Fill in the plan-relevant SQL settings that the session leaves unset."""
+    # An unset setting reads as None here (not its built-in default), so a
+    # zone or AQE choice made by the cluster is kept.  Month keys come from
+    # DATE values, which are zone-free; UTC only fixes how ledger times print.
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    # Month keys are derived from DATE values, which are zone-free, but ledger
-    # timestamps are not: pin UTC when the cluster did not choose a zone.
-    spark.conf.set(
-        "spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone", "UTC")
-    )
 
 
 def shared_dir(spark: SparkSession) -> str:
