@@ -90,3 +90,17 @@ def test_run_is_idempotent_and_closes_ledger(spark):
         raise AssertionError("expected NoValidFiles")
     except job.NoValidFiles:
         pass
+
+
+def test_concurrent_writes_raise_the_first_failure():
+    done = []
+
+    def fail():
+        raise ValueError("write failed")
+
+    try:
+        job._all(lambda: done.append(1), fail, lambda: done.append(2))
+        raise AssertionError("expected the write failure")
+    except ValueError:
+        pass
+    assert sorted(done) == [1, 2]  # the other writes still ran to completion

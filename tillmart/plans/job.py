@@ -17,6 +17,7 @@ a later run that brings more files for a month replaces that month.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,20 @@ def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     )
 
 
+def _all(*writes) -> None:
+    """Run independent write jobs concurrently (Spark schedules jobs from
+    several driver threads side by side, so one job's tasks fill the slots
+    another leaves idle, and commits overlap).  Waits for all; the first
+    failure is raised, so the caller's next step (the ledger) never runs
+    after a failed write."""
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        futures = [pool.submit(w) for w in writes]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+
+
 def run(
     spark: SparkSession,
     landing_dir: str,
@@ -100,34 +115,45 @@ def run(
         raise NoValidFiles(f"no valid file under {landing_dir}")
     LG.append(LG.events(spark, ing.valid_paths, "A", now), paths["ledger"])
 
-    # V4/V5 sinks: rejected files, their raw lines, unparsable rows.
-    ing.verdicts.where(F.col("verdict") == V.ERROR).write.mode("append").parquet(paths["quarantine_files"])
-    V.quarantine_raw_lines(spark, ing.error_paths).write.mode("append").parquet(paths["quarantine_lines"])
-    ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"])
-
     # J0: enrich once, store by month; every mart reads the stored detail.
     enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team)
     months = enriched.withColumn("sales_month", M.sales_month("sales_date"))
-    _dynamic(months, paths["detail"], ("sales_month",))
+    # V4/V5 sinks (rejected files, their raw lines, unparsable rows) and the
+    # detail store are independent jobs: submitted together.
+    _all(
+        lambda: ing.verdicts.where(F.col("verdict") == V.ERROR).write.mode("append").parquet(paths["quarantine_files"]),
+        lambda: V.quarantine_raw_lines(spark, ing.error_paths).write.mode("append").parquet(paths["quarantine_lines"]),
+        lambda: ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"]),
+        lambda: _dynamic(months, paths["detail"], ("sales_month",)),
+    )
     # Months this run brought, from the staged rows (one column of stored
     # Parquet; the enrichment is not run a second time for it).  A month whose
     # rows all missed a dimension re-derives its marts from unchanged detail.
     touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
     detail = spark.read.parquet(paths["detail"]).where(F.col("sales_month").isin(touched))
 
-    # O1/O2: detail marts and the month/store partitioned mart.
-    _dynamic(M.customer_detail(detail).withColumn("_m", M.sales_month("sales_date")), paths["customer_detail"], ("_m",))
+    # O1/O2: detail marts and the month/store partitioned mart; C1/C2 + O6:
+    # monthly marts in the target types, one partition per month.  All read
+    # the stored detail and write separate outputs: submitted together.
     team_detail = M.sales_team_detail(detail)
-    _dynamic(team_detail.withColumn("_m", F.col("sales_month")), paths["sales_team_detail"], ("_m",))
-    _dynamic(team_detail, paths["sales_partitioned"], P.PARTITION_KEYS)
-
-    # C1/C2 + O6: monthly marts in the target types, one partition per month.
-    customer_mart = M.conform_customer_mart(M.customer_monthly(M.customer_detail(detail)))
-    _dynamic(customer_mart.withColumn("_m", F.date_format("sales_date_month", "yyyy-MM")), paths["customer_mart"], ("_m",))
+    customer_detail = M.customer_detail(detail)
+    customer_mart = M.conform_customer_mart(M.customer_monthly(customer_detail))
     sales_mart = M.conform_sales_mart(M.sales_incentive(M.sales_monthly_totals(team_detail)))
-    _dynamic(sales_mart.withColumn("_m", F.col("sales_month")), paths["sales_mart"], ("_m",))
+    _all(
+        lambda: _dynamic(team_detail, paths["sales_partitioned"], P.PARTITION_KEYS),
+        lambda: _dynamic(
+            customer_detail.withColumn("_m", M.sales_month("sales_date")), paths["customer_detail"], ("_m",)
+        ),
+        lambda: _dynamic(team_detail.withColumn("_m", F.col("sales_month")), paths["sales_team_detail"], ("_m",)),
+        lambda: _dynamic(
+            customer_mart.withColumn("_m", F.date_format("sales_date_month", "yyyy-MM")),
+            paths["customer_mart"],
+            ("_m",),
+        ),
+        lambda: _dynamic(sales_mart.withColumn("_m", F.col("sales_month")), paths["sales_mart"], ("_m",)),
+    )
 
-    # L3: only now are this run's files done.
+    # L3: only now, after every write above succeeded, are this run's files done.
     LG.append(LG.events(spark, ing.valid_paths, "I", now), paths["ledger"])
     return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths)
 
