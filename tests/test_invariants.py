@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from tillmart.operators import enrich as E
 from tillmart.operators import marts as M
 from tillmart.plans import job
-from tillmart.session import scratch_path
+from tillmart.session import run_all, scratch_path
 from tillmart.sources.landing_fixture import landing_for
 from tillmart.sources.tables import RetailInputs
 
@@ -99,7 +99,7 @@ def test_concurrent_writes_raise_the_first_failure():
         raise ValueError("write failed")
 
     try:
-        job._all(lambda: done.append(1), fail, lambda: done.append(2))
+        run_all(lambda: done.append(1), fail, lambda: done.append(2))
         raise AssertionError("expected the write failure")
     except ValueError:
         pass

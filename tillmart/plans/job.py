@@ -17,7 +17,6 @@ a later run that brings more files for a month replaces that month.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ from tillmart.operators import ledger as LG
 from tillmart.operators import marts as M
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import ingest
-from tillmart.session import apply_defaults
+from tillmart.session import apply_defaults, run_all
 from tillmart.sinks import parquet as P
 from tillmart.sources import landing as L
 
@@ -63,20 +62,6 @@ def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     )
 
 
-def _all(*writes) -> None:
-    """Run independent write jobs concurrently (Spark schedules jobs from
-    several driver threads side by side, so one job's tasks fill the slots
-    another leaves idle, and commits overlap).  Waits for all; the first
-    failure is raised, so the caller's next step (the ledger) never runs
-    after a failed write."""
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        futures = [pool.submit(w) for w in writes]
-        errors = [f.exception() for f in futures]
-    for e in errors:
-        if e is not None:
-            raise e
-
-
 def run(
     spark: SparkSession,
     landing_dir: str,
@@ -120,7 +105,7 @@ def run(
     months = enriched.withColumn("sales_month", M.sales_month("sales_date"))
     # V4/V5 sinks (rejected files, their raw lines, unparsable rows) and the
     # detail store are independent jobs: submitted together.
-    _all(
+    run_all(
         lambda: ing.verdicts.where(F.col("verdict") == V.ERROR).write.mode("append").parquet(paths["quarantine_files"]),
         lambda: V.quarantine_raw_lines(spark, ing.error_paths).write.mode("append").parquet(paths["quarantine_lines"]),
         lambda: ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"]),
@@ -139,7 +124,7 @@ def run(
     customer_detail = M.customer_detail(detail)
     customer_mart = M.conform_customer_mart(M.customer_monthly(customer_detail))
     sales_mart = M.conform_sales_mart(M.sales_incentive(M.sales_monthly_totals(team_detail)))
-    _all(
+    run_all(
         lambda: _dynamic(team_detail, paths["sales_partitioned"], P.PARTITION_KEYS),
         lambda: _dynamic(
             customer_detail.withColumn("_m", M.sales_month("sales_date")), paths["customer_detail"], ("_m",)

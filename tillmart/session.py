@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -85,3 +87,18 @@ def as_uri(path: str) -> str:
     if "://" in path or path.startswith("file:"):
         return path
     return "file://" + os.path.abspath(path)
+
+
+def run_all(*jobs: Callable[[], object]) -> None:
+    """Run independent Spark actions (writes) concurrently from driver threads.
+
+    Spark schedules jobs from several threads side by side, so one job's
+    tasks fill the slots another leaves idle and driver-side commits overlap.
+    Waits for all; the first failure is raised, so whatever the caller does
+    next (for example closing ledger entries) never follows a failed job."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e

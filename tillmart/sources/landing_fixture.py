@@ -31,7 +31,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.schemas import MANDATORY_COLUMNS
-from tillmart.session import scratch_path, shared_dir
+from tillmart.session import run_all, scratch_path, shared_dir
 from tillmart.sources import fs
 from tillmart.sources.tables import Tables, sales_keyed
 
@@ -140,7 +140,8 @@ def write_landing(
     sales_keyed(Tables(spark, sf_dir)).drop("additional_column").write.parquet(fact_path)
     fact = with_file(spark.read.parquet(fact_path), rows_per_file).withColumn("_shape", shape_of())
     fs.mkdirs(spark, landing)
-    for shape in SHAPE_HEADERS:
+
+    def write_shape(shape: int) -> None:
         out = f"{staging}/shape{shape}"
         (
             fact.where(F.col("_shape") == shape)
@@ -152,15 +153,20 @@ def write_landing(
             .csv(out)
         )
         _publish(spark, out, landing)
-    notes = f"{staging}/notes"
-    (
-        fact.select(F.date_format("sales_date", "yyyy-MM").alias("value"), F.lit(NOTES_FILE).alias("_file"))
-        .distinct()
-        .repartition("_file")
-        .write.partitionBy("_file")
-        .text(notes)
-    )
-    _publish(spark, notes, landing)
+
+    def write_notes() -> None:
+        notes = f"{staging}/notes"
+        (
+            fact.select(F.date_format("sales_date", "yyyy-MM").alias("value"), F.lit(NOTES_FILE).alias("_file"))
+            .distinct()
+            .repartition("_file")
+            .write.partitionBy("_file")
+            .text(notes)
+        )
+        _publish(spark, notes, landing)
+
+    # The shapes write disjoint files: independent jobs, submitted together.
+    run_all(*[lambda s=shape: write_shape(s) for shape in SHAPE_HEADERS], write_notes)
     fs.touch(spark, f"{landing}/{EMPTY_FILE}")
     return landing
 
