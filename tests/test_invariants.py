@@ -104,3 +104,32 @@ def test_concurrent_writes_raise_the_first_failure():
     except ValueError:
         pass
     assert sorted(done) == [1, 2]  # the other writes still ran to completion
+
+
+def test_ledger_compaction_keeps_state(spark):
+    from tillmart.operators import ledger as LG
+    from tillmart.sources import fs
+
+    path = scratch_path(spark, "ledger-compact")
+    names = [f"file:///landing/sales_{i}.csv" for i in range(6)]
+    t = [dt.datetime(2024, 1, d) for d in range(1, 8)]
+    LG.append(LG.events(spark, names[:4], "A", t[0]), path)
+    LG.append(LG.events(spark, names[:2], "I", t[1]), path)
+    LG.append(LG.events(spark, names[2:6], "A", t[2]), path)   # reopened and new
+    LG.append(LG.events(spark, names[3:5], "I", t[3]), path)
+    LG.append(LG.events(spark, names[:1], "A", t[4]), path)    # reopened after close
+
+    def state():
+        return sorted(map(tuple, LG.state(LG.read(spark, path)).collect()))
+
+    def parts():
+        return [p for p, d, _ in fs.list_dir(spark, path) if not d and p.rsplit("/", 1)[-1].startswith("part-")]
+
+    before, n_before = state(), len(parts())
+    assert LG.compact(spark, path) == n_before
+    assert state() == before
+    assert len(parts()) == 1
+    LG.append(LG.events(spark, names[5:], "I", t[5]), path)
+    n_now = len(parts())
+    assert LG.compact(spark, path) == n_now and len(parts()) == 1
+    assert dict((r[0], r[2]) for r in state())["sales_5.csv"] == "I"

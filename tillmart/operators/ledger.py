@@ -58,3 +58,38 @@ def pending_files(listing: DataFrame, ledger_state: DataFrame) -> DataFrame:
     """Landed CSV files not yet finished by any run (L4): the next run's input."""
     done = ledger_state.where(F.col("status") == STATUS_INACTIVE).select("file_name")
     return listing.where("is_csv").join(done, "file_name", "left_anti")
+
+
+def compact(spark: SparkSession, ledger_path: str) -> int:
+    """Fold the event files present now into at most three events per file
+    (newest per status, oldest 'A'), which determine ``state`` exactly.
+
+    The kept events are appended first and only then are the files read
+    deleted: the log holds old plus kept events in between, which has the same
+    state (duplicates do not change it), so a crash or a concurrent reader
+    sees the same state at every step.  Files appended by a run meanwhile are
+    neither read nor deleted.  Returns the number of files folded."""
+    before = [
+        p for p, is_dir, _ in fs.list_dir(spark, ledger_path)
+        if not is_dir and p.rsplit("/", 1)[-1].startswith("part-")
+    ]
+    if len(before) < 2:
+        return 0
+    events = spark.read.schema(LEDGER_SCHEMA).parquet(*before)
+    per_status = events.groupBy("file_name", "status").agg(
+        F.max_by("file_location", "event_ts").alias("new_location"),
+        F.max("event_ts").alias("new_ts"),
+        F.min_by("file_location", "event_ts").alias("old_location"),
+        F.min("event_ts").alias("old_ts"),
+    )
+    newest = per_status.select(
+        "file_name", F.col("new_location").alias("file_location"), F.col("new_ts").alias("event_ts"), "status"
+    )
+    oldest_active = per_status.where(F.col("status") == STATUS_ACTIVE).select(
+        "file_name", F.col("old_location").alias("file_location"), F.col("old_ts").alias("event_ts"), "status"
+    )
+    kept = newest.unionByName(oldest_active).distinct()
+    kept.select(*LEDGER_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(ledger_path)
+    for path in before:
+        fs.delete(spark, path, recursive=False)
+    return len(before)

@@ -29,9 +29,14 @@ from tillmart.operators import validate as V
 from tillmart.plans.ingest import ingest
 from tillmart.session import apply_defaults, run_all
 from tillmart.sinks import parquet as P
+from tillmart.sources import fs
 from tillmart.sources import landing as L
 
 
+# Ledger entries (files and checksums) above which a run compacts it first.
+LEDGER_COMPACT_FILES = 64
+
+
 class NoValidFiles(RuntimeError):
     """The landing zone holds no file that passes validation."""
 
@@ -87,6 +92,11 @@ def run(
         "sales_mart": f"{out}/sales_team_data_mart",
     }
 
+    # Keep the state read cheap over many runs: fold the ledger's small event
+    # files once there are many (same state before and after).
+    if len(fs.list_dir(spark, paths["ledger"])) > LEDGER_COMPACT_FILES:
+        LG.compact(spark, paths["ledger"])
+
     # L1/L4: which landed files still need work, and which an earlier run left open.
     listing = L.list_files(spark, landing_dir)
     state = LG.state(LG.read(spark, paths["ledger"]))
