@@ -16,6 +16,7 @@ from tillmart.operators import enrich as E
 from tillmart.operators import marts as M
 from tillmart.session import apply_defaults, scratch_path
 from tillmart.sinks import parquet as P
+from tillmart.sources import fs
 from tillmart.sources.tables import RetailInputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,9 +156,22 @@ def _write_partitioned_mart(spark, sf_dir):
     detail = M.sales_team_detail(enriched(spark, sf_dir))
     path = scratch_path(spark, "sales_partitioned_mart")
     P.write_partitioned(detail, path)
+    _PARTITIONED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = (path, detail.schema, detail.columns)
     return path, detail.schema, detail.columns
 
 
+def _partitioned_mart(spark, sf_dir):
+    """The mart this application already wrote for ``sf_dir``, else a new one."""
+    known = _PARTITIONED.get((spark.sparkContext.applicationId, sf_dir.rstrip("/")))
+    if known and fs.exists(spark, known[0]):
+        return known
+    return _write_partitioned_mart(spark, sf_dir)
+
+
+# Partitioned marts written in this process: (application, sf_dir) -> (path, schema, columns).
+_PARTITIONED: dict = {}
+
+
 def q_partitioned_mart(spark, sf_dir):
     path, schema, cols = _write_partitioned_mart(spark, sf_dir)
     return P.read_partitioned(spark, path, schema).select(*cols)
@@ -169,7 +183,9 @@ PRUNE_FROM, PRUNE_TO = "1998-01", "1998-12"
 
 
 def q_partition_pruned_read(spark, sf_dir):
-    path, schema, cols = _write_partitioned_mart(spark, sf_dir)
+    # Reads the mart written by ``partitioned_mart`` in this application (or
+    # writes it once): the feature here is the pruned read.
+    path, schema, cols = _partitioned_mart(spark, sf_dir)
     return (
         P.read_partitioned(spark, path, schema)
         .where(F.col("sales_month").between(PRUNE_FROM, PRUNE_TO))

@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Partitioned writes cost one file per (partition value, task): a small
+    # shuffle coalesced into one task writes every file serially.  A smaller
+    # floor keeps several writers; large shuffles coalesce by size as before.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # A CSV row's validity must not depend on which columns a query reads:
     # with parser column pruning, a bad value in an unread column would pass.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
