@@ -89,8 +89,13 @@ def test_quoted_and_bom_headers_parse(landed):
     assert landed.rows.where("file_name in ('quoted.csv', 'bom.csv')").count() == 2
 
 
-def test_file_spanning_many_splits(spark, tmp_path):
-    """Header from the first split only; every split parsed, no line lost."""
+@pytest.mark.parametrize("max_big", [256, 0])
+def test_file_spanning_many_splits(spark, tmp_path, monkeypatch, max_big):
+    """Header from the first split only; every split parsed, no line lost.
+    Probed by its own first-line job, or (limit 0) by the text scan."""
+    from tillmart.sources import landing as L
+
+    monkeypatch.setattr(L, "MAX_BIG_FILE_PROBES", max_big)
     d = tmp_path / "big"
     d.mkdir()
     n = 60_000
@@ -103,6 +108,7 @@ def test_file_spanning_many_splits(spark, tmp_path):
     spark.conf.set(key, str(256 * 1024))  # about 12 splits
     try:
         assert spark.read.text("file://" + str(d)).rdd.getNumPartitions() > 4
+        assert L.first_line(spark, "file://" + str(d / "big.csv"))[1] == HEADER + ",payment_mode"
         ing = ingest(spark, "file://" + str(d))
         v = ing.verdicts.collect()
         assert [(r.file_name, r.verdict, list(r.extra)) for r in v] == [("big.csv", "valid", ["payment_mode"])]

@@ -51,20 +51,32 @@ def ingest(
     landing_dir: str | None = None,
     paths: list[str] | None = None,
     staging: str | None = None,
+    lengths: dict[str, int] | None = None,
 ) -> Ingested:
-    """Validate and read the files under ``landing_dir`` (or exactly ``paths``).
+    """Validate and read the files under ``landing_dir`` (or exactly ``paths``,
+    whose byte lengths the caller may already know from its own listing).
 
     Actions: the listing, one header-probe job, and one write of the parsed
     rows to ``staging`` (a fresh folder under the shared checkpoint folder by
     default)."""
     if paths is None:
-        listing = L.list_files(spark, landing_dir)
-        files = [(r.path, r.is_csv) for r in listing.collect()]
+        listed = L.list_files(spark, landing_dir)
+    elif lengths is not None:
+        listed = L.listed(spark, [(p, lengths.get(p, 0)) for p in paths])
     else:
-        listing = L.with_names(spark.createDataFrame([(p,) for p in sorted(paths)], L.LISTING_SCHEMA))
-        files = [(p, p.endswith(".csv")) for p in sorted(paths)]
-    csv_paths = [p for p, is_csv in files if is_csv]
-    probe = L.probe_headers(spark, listing, csv_paths)
+        listed = L.list_paths(spark, paths)
+    # One small row per file, kept as a local frame: the listing job runs once.
+    rows = listed.collect()
+    listing = spark.createDataFrame(rows, L.LISTED_SCHEMA)
+    # Files of several splits are probed one by one (first bytes only) when
+    # they are few; one-split files, or many big ones, by one text scan.
+    split = L.split_bytes(spark)
+    big = [r.path for r in rows if r.is_csv and r.length > split]
+    if len(big) > L.MAX_BIG_FILE_PROBES:
+        big = []
+    big_set = set(big)
+    scanned = [r.path for r in rows if r.is_csv and r.path not in big_set]
+    probe = L.probe_headers(spark, listing, scanned, big)
     # One small row per file: materialized once so later steps do not re-probe.
     verdict_rows = V.file_verdicts(listing, probe).collect()
     verdicts = spark.createDataFrame(verdict_rows, VERDICT_SCHEMA)

@@ -98,14 +98,17 @@ def run(
         LG.compact(spark, paths["ledger"])
 
     # L1/L4: which landed files still need work, and which an earlier run left open.
-    listing = L.list_files(spark, landing_dir)
+    # One row per landed file, listed once and kept as a local frame.
+    listing = spark.createDataFrame(L.list_files(spark, landing_dir).collect(), L.LISTED_SCHEMA)
     state = LG.state(LG.read(spark, paths["ledger"]))
     active_before = sorted(r.file_name for r in LG.active_files(listing, state).collect())
-    pending = [r.path for r in LG.pending_files(listing, state).select("path").collect()]
-    others = [r.path for r in listing.where(~F.col("is_csv")).select("path").collect()]
+    todo = LG.pending_files(listing, state).select("path", "length").unionByName(
+        listing.where(~F.col("is_csv")).select("path", "length")
+    )
+    files = {r.path: r.length for r in todo.collect()}
 
     # S3-S4, V1-V5: verdicts, then one parse of the good files (staged).
-    ing = ingest(spark, paths=pending + others, staging=paths["staged"])
+    ing = ingest(spark, paths=sorted(files), lengths=files, staging=paths["staged"])
     if not ing.valid_paths:
         raise NoValidFiles(f"no valid file under {landing_dir}")
     LG.append(LG.events(spark, ing.valid_paths, "A", now), paths["ledger"])

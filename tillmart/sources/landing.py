@@ -22,21 +22,52 @@ from pyspark.sql import types as T
 
 from tillmart.functions.scalars import base_name
 from tillmart.schemas import LANDING_TYPES
+from tillmart.session import run_all
 
 CORRUPT = "_corrupt_record"
 LISTING_SCHEMA = "path string"
+LISTED_SCHEMA = "path string, file_name string, is_csv boolean, length long"
+# At most this many multi-split files are probed by their own small jobs;
+# beyond it one text scan probes every file.
+MAX_BIG_FILE_PROBES = 256
 
 
 def list_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """path, file_name, is_csv for every object under ``landing_dir``.
+    """path, file_name, is_csv, length for every object under ``landing_dir``.
 
     ``.csv`` is matched case-sensitively, as the reference does.  Hidden
     files (names starting with ``_`` or ``.``) are skipped by Spark's index.
+    Lengths come from the ``binaryFile`` rows with the content column pruned
+    (no file is read); zero-length files have no row there and get 0.
     """
-    paths = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir).inputFiles()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir)
+    return _with_lengths(spark, files.inputFiles(), files)
+
+
+def listed(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
+    """The ``list_files`` columns from known (path, length) pairs (no job)."""
+    df = spark.createDataFrame(sorted(files), "path string, length long")
+    return df.select(
+        norm_path(F.col("path")).alias("path"),
+        base_name("path").alias("file_name"),
+        F.col("path").endswith(".csv").alias("is_csv"),
+        "length",
+    )
+
+
+def list_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same columns as ``list_files`` for exactly ``paths``."""
+    if not paths:
+        return spark.createDataFrame([], LISTED_SCHEMA)
+    return _with_lengths(spark, paths, spark.read.format("binaryFile").load(sorted(paths)))
+
+
+def _with_lengths(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
+    lengths = files.select(norm_path(F.col("path")).alias("path"), "length")
+    listing = with_names(spark.createDataFrame([(p,) for p in sorted(paths)], LISTING_SCHEMA))
+    return listing.join(lengths, "path", "left").select(
+        "path", "file_name", "is_csv", F.coalesce(F.col("length"), F.lit(0)).cast("long").alias("length")
     )
-    return with_names(spark.createDataFrame([(p,) for p in sorted(paths)], LISTING_SCHEMA))
 
 
 def norm_path(path: Column) -> Column:
@@ -68,28 +99,58 @@ def header_columns(line: Column) -> Column:
     )
 
 
-def probe_headers(spark: SparkSession, listing: DataFrame, csv_paths: list[str]) -> DataFrame:
+def split_bytes(spark: SparkSession) -> int:
+    """The session's file split size (``spark.sql.files.maxPartitionBytes``)."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
+def first_line(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """(path, first line) of one file, reading only the start of its first
+    split: a ``limit(1)`` job stops after one row."""
+    rows = (
+        spark.read.text(path)
+        .where(F.col("_metadata.file_block_start") == 0)
+        .select(norm_path(F.col("_metadata.file_path")).alias("p"), "value")
+        .limit(1)
+        .collect()
+    )
+    return (rows[0].p, rows[0].value) if rows else (path, None)
+
+
+def probe_headers(
+    spark: SparkSession, listing: DataFrame, csv_paths: list[str], big_paths: list[str] | None = None
+) -> DataFrame:
     """path, file_name, header_line, header_cols for every CSV file.
 
+    ``csv_paths`` are probed by one text scan (each file is read whole, so
+    this suits files of one split); ``big_paths`` (files of several splits)
+    by one small job each, run concurrently, reading only their first bytes.
     Empty files get NULL header fields (left join from the listing).
     """
     csv_files = listing.where("is_csv")
-    if not csv_paths:
+    parts = []
+    if big_paths:
+        found: list[tuple[str, str | None]] = []
+        run_all(*[lambda p=p: found.append(first_line(spark, p)) for p in big_paths])
+        parts.append(spark.createDataFrame(found, "_path string, header_line string"))
+    if csv_paths:
+        lines = (
+            spark.read.text(csv_paths)
+            .select(
+                "value",
+                norm_path(F.col("_metadata.file_path")).alias("_path"),
+                F.col("_metadata.file_block_start").alias("_block"),
+            )
+            .where(F.col("_block") == 0)
+            .withColumn("_seq", F.monotonically_increasing_id())
+        )
+        parts.append(lines.groupBy("_path").agg(F.min_by("value", "_seq").alias("header_line")))
+    if not parts:
         return csv_files.select(
             "path", "file_name", F.lit(None).cast("string").alias("header_line"),
             F.lit(None).cast("array<string>").alias("header_cols"),
         )
-    lines = (
-        spark.read.text(csv_paths)
-        .select(
-            "value",
-            norm_path(F.col("_metadata.file_path")).alias("_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        )
-        .where(F.col("_block") == 0)
-        .withColumn("_seq", F.monotonically_increasing_id())
-    )
-    first = lines.groupBy("_path").agg(F.min_by("value", "_seq").alias("header_line"))
+    first = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return (
         csv_files.join(first, F.col("path") == F.col("_path"), "left")
         .select(

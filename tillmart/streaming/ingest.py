@@ -42,10 +42,10 @@ def _batch_writer(out_dir: str):
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        paths = sorted(r.path for r in batch.select("path").collect())
-        if not paths:
+        files = {r.path: r.length for r in batch.select("path", "length").collect()}
+        if not files:
             return
-        ing = ingest(spark, paths=paths, staging=f"{out}/parsed/batch_id={batch_id}")
+        ing = ingest(spark, paths=sorted(files), lengths=files, staging=f"{out}/parsed/batch_id={batch_id}")
         ing.verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch_id={batch_id}")
 
     return write_batch
@@ -70,7 +70,7 @@ def start(
     )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    files = reader.load(landing_dir).select("path")
+    files = reader.load(landing_dir).select("path", "length")
     writer = files.writeStream.foreachBatch(_batch_writer(out_dir)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
