@@ -7,6 +7,7 @@ survey's list of CSV edge cases; the provided tables cannot produce them.
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillmart.plans.ingest import ingest
 
@@ -29,6 +30,10 @@ FILES = {
     "quoted.csv": ",".join(f'"{c}"' for c in HEADER.split(",")) + f"\n{ROW}\n",
     "bom.csv": "﻿" + HEADER + f"\n{ROW}\n",
     "bad_rows.csv": f"{HEADER}\n{ROW}\n1,121,oats,2023-05-01,1,abc,2,4.00\n1,121,oats\n{ROW},surplus\n",
+    # names that URIs encode, and glob characters
+    "a b+c.csv": f"{HEADER}\n{ROW}\n",
+    "s[1].csv": f"{HEADER}\n{ROW}\n",
+    "p%41.csv": f"{HEADER}\n{ROW}\n",
 }
 
 EXPECTED = {
@@ -44,6 +49,9 @@ EXPECTED = {
     "quoted.csv": ("valid", None),
     "bom.csv": ("valid", None),
     "bad_rows.csv": ("valid", None),
+    "a b+c.csv": ("valid", None),
+    "s[1].csv": ("valid", None),
+    "p%41.csv": ("valid", None),
 }
 
 
@@ -116,3 +124,10 @@ def test_file_spanning_many_splits(spark, tmp_path, monkeypatch, max_big):
         assert ing.rows.agg({"customer_id": "sum"}).first()[0] == n * (n - 1) // 2
     finally:
         spark.conf.set(key, before)
+
+
+def test_special_file_names_keep_their_rows(landed):
+    names = ["a b+c.csv", "s[1].csv", "p%41.csv"]
+    got = {r.file_name: r.n for r in landed.rows.where(F.col("file_name").isin(names)).groupBy("file_name")
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {n: 1 for n in names}

@@ -70,3 +70,15 @@ def test_finished_files_are_archived(spark, tmp_path):
     archived = sorted(f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv"))
     assert len(left) <= 1 and sorted(left + archived) == [f"day{i}.csv" for i in range(4)]
     assert S.read_rows(spark, "file://" + out).count() == 8
+
+
+def test_special_file_names(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    os.makedirs(landing)
+    for name in ("a b+c.csv", "s[1].csv", "p%41.csv"):
+        _write(landing, name, 2)
+    _run(spark, landing, out)
+    rows = S.read_rows(spark, "file://" + out)
+    assert sorted(r.file_name for r in rows.select("file_name").distinct().collect()) == [
+        "a b+c.csv", "p%41.csv", "s[1].csv"]
+    assert rows.count() == 6

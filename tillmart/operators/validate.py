@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.schemas import MANDATORY_COLUMNS
-from tillmart.sources.landing import norm_path
+from tillmart.sources.landing import meta_name, meta_path, reader_path
 
 VALID, ERROR = "valid", "error"
 
@@ -70,8 +70,8 @@ def quarantine_lines(spark: SparkSession, verdicts: DataFrame, error_paths: list
     if not error_paths:
         return errors.select("file_name", "reason", F.lit(0).cast("long").alias("n_lines"))
     counts = (
-        spark.read.text(error_paths)
-        .select(norm_path(F.col("_metadata.file_path")).alias("_path"))
+        spark.read.text([reader_path(p) for p in error_paths])
+        .select(meta_path().alias("_path"))
         .groupBy("_path")
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
@@ -84,7 +84,7 @@ def quarantine_raw_lines(spark: SparkSession, error_paths: list[str]) -> DataFra
     """file_name, line: the content of rejected files, for the error table."""
     if not error_paths:
         return spark.createDataFrame([], "file_name string, line string")
-    return spark.read.text(error_paths).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name"),
+    return spark.read.text([reader_path(p) for p in error_paths]).select(
+        meta_name().alias("file_name"),
         F.col("value").alias("line"),
     )

@@ -14,7 +14,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from tillmart.session import run_all
 
 CORRUPT = "_corrupt_record"
 LISTING_SCHEMA = "path string"
+_SCHEME_SLASHES = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
+_GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
 LISTED_SCHEMA = "path string, file_name string, is_csv boolean, length long"
 # At most this many multi-split files are probed by their own small jobs;
 # beyond it one text scan probes every file.
@@ -41,7 +45,8 @@ def list_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     (no file is read); zero-length files have no row there and get 0.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing_dir)
-    return _with_lengths(spark, files.inputFiles(), files)
+    # inputFiles() spells paths as encoded URIs; the listing keeps them decoded.
+    return _with_lengths(spark, [canonical(p, encoded=True) for p in files.inputFiles()], files)
 
 
 def listed(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
@@ -59,7 +64,7 @@ def list_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The same columns as ``list_files`` for exactly ``paths``."""
     if not paths:
         return spark.createDataFrame([], LISTED_SCHEMA)
-    return _with_lengths(spark, paths, spark.read.format("binaryFile").load(sorted(paths)))
+    return _with_lengths(spark, paths, spark.read.format("binaryFile").load([reader_path(p) for p in sorted(paths)]))
 
 
 def _with_lengths(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
@@ -70,6 +75,30 @@ def _with_lengths(spark: SparkSession, paths: list[str], files: DataFrame) -> Da
     )
 
 
+def canonical(path: str, encoded: bool = False) -> str:
+    """A file's one spelling in listings, verdicts and the ledger: decoded
+    (``a b.csv``, not ``a%20b.csv``), ``scheme:/x`` rather than ``scheme:///x``."""
+    return _SCHEME_SLASHES.sub(r"\1:/", unquote(path) if encoded else path)
+
+
+def reader_path(path: str) -> str:
+    """A canonical path as a reader argument: Spark treats path strings as
+    glob patterns, so glob characters in a file name are escaped."""
+    return _GLOB_CHARS.sub(r"\\\1", path)
+
+
+def meta_path() -> Column:
+    """The scanned file's path (``_metadata.file_path``, an encoded URI) in
+    the canonical spelling; a literal ``+`` is kept, not read as a space."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return norm_path(F.url_decode(encoded))
+
+
+def meta_name() -> Column:
+    """Base name of the scanned file, decoded."""
+    return base_name(meta_path())
+
+
 def norm_path(path: Column) -> Column:
     """One spelling per file URI: ``scheme:///x`` (file index) and
     ``scheme:/x`` (scan metadata) name the same file."""
@@ -108,9 +137,9 @@ def first_line(spark: SparkSession, path: str) -> tuple[str, str | None]:
     """(path, first line) of one file, reading only the start of its first
     split: a ``limit(1)`` job stops after one row."""
     rows = (
-        spark.read.text(path)
+        spark.read.text(reader_path(path))
         .where(F.col("_metadata.file_block_start") == 0)
-        .select(norm_path(F.col("_metadata.file_path")).alias("p"), "value")
+        .select(meta_path().alias("p"), "value")
         .limit(1)
         .collect()
     )
@@ -135,10 +164,10 @@ def probe_headers(
         parts.append(spark.createDataFrame(found, "_path string, header_line string"))
     if csv_paths:
         lines = (
-            spark.read.text(csv_paths)
+            spark.read.text([reader_path(p) for p in csv_paths])
             .select(
                 "value",
-                norm_path(F.col("_metadata.file_path")).alias("_path"),
+                meta_path().alias("_path"),
                 F.col("_metadata.file_block_start").alias("_block"),
             )
             .where(F.col("_block") == 0)
@@ -186,8 +215,8 @@ def scan_by_header(spark: SparkSession, files: list[tuple[str, list[str]]]) -> l
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("dateFormat", "yyyy-MM-dd")
-            .csv(sorted(paths))
-            .withColumn("file_name", base_name(F.col("_metadata.file_path")))
+            .csv([reader_path(p) for p in sorted(paths)])
+            .withColumn("file_name", meta_name())
         )
         scans.append((list(cols), df))
     return scans

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tillmart.operators import conform as C
 from tillmart.plans.ingest import ingest
 from tillmart.session import apply_defaults
+from tillmart.sources.landing import canonical
 
 LISTING_STREAM_SCHEMA = T.StructType(
     [
@@ -42,7 +43,8 @@ def _batch_writer(out_dir: str):
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        files = {r.path: r.length for r in batch.select("path", "length").collect()}
+        # The file source reports decoded paths; bring them to the listing's spelling.
+        files = {canonical(r.path): r.length for r in batch.select("path", "length").collect()}
         if not files:
             return
         ing = ingest(spark, paths=sorted(files), lengths=files, staging=f"{out}/parsed/batch_id={batch_id}")
