@@ -47,14 +47,21 @@ def sales_team_side(sales_team: DataFrame) -> DataFrame:
     )
 
 
-def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
-    """Sales ⋈ store ⋈ sales_team ⋈ customer (inner), 19 uniquely named columns."""
-    fact = sales.select(*FACT_COLUMNS)
+def enrich(
+    sales: DataFrame,
+    customer: DataFrame,
+    store: DataFrame,
+    sales_team: DataFrame,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Sales ⋈ sales_team ⋈ store ⋈ customer (inner), 19 uniquely named
+    columns, plus the fact columns named in ``carry`` (e.g. the source file)."""
+    fact = sales.select(*FACT_COLUMNS, *carry)
     return (
         fact.join(sales_team_side(sales_team), "sales_person_id", "inner")
         .join(store_side(store), "store_id", "inner")
         .join(customer_side(customer), "customer_id", "inner")
-        .select(*ENRICHED_COLUMNS)
+        .select(*ENRICHED_COLUMNS, *carry)
     )
 
 

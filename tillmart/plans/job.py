@@ -2,7 +2,8 @@
 
     listing -> header probe -> verdicts -> ledger 'A' -> quarantine sinks
     -> parsed rows (staged Parquet) -> enrich -> detail store (Parquet,
-    partitioned by month) -> detail marts, month/store partitioned mart,
+    partitioned by month and source file) -> detail marts, month/store
+    partitioned mart,
     monthly customer and sales-team marts -> ledger 'I'
 
 Failure model: every output is a Parquet directory written by Spark's
@@ -10,8 +11,9 @@ committer, so a lost executor only re-runs its tasks.  Marts are written
 before the ledger marks files done; a run that dies in between leaves them
 'A' (reported by ``active_files`` on the next run) and re-processing them
 replaces the same month partitions (dynamic partition overwrite), so
-running twice equals running once.  A month's files must arrive in one run:
-a later run that brings more files for a month replaces that month.
+running twice equals running once.  The detail is stored by (month, source
+file), so a month's files may arrive over several runs: each run replaces the
+rows of its own files and rebuilds the marts of its months from all of them.
 """
 
 from __future__ import annotations
@@ -113,8 +115,10 @@ def run(
         raise NoValidFiles(f"no valid file under {landing_dir}")
     LG.append(LG.events(spark, ing.valid_paths, "A", now), paths["ledger"])
 
-    # J0: enrich once, store by month; every mart reads the stored detail.
-    enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team)
+    # J0: enrich once and store by (month, source file): re-processing a file
+    # replaces only its own rows, and files of one month may arrive in
+    # different runs.  Every mart reads the stored detail.
+    enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team, carry=("file_name",))
     months = enriched.withColumn("sales_month", M.sales_month("sales_date"))
     # V4/V5 sinks (rejected files, their raw lines, unparsable rows) and the
     # detail store are independent jobs: submitted together.
@@ -122,13 +126,16 @@ def run(
         lambda: ing.verdicts.where(F.col("verdict") == V.ERROR).write.mode("append").parquet(paths["quarantine_files"]),
         lambda: V.quarantine_raw_lines(spark, ing.error_paths).write.mode("append").parquet(paths["quarantine_lines"]),
         lambda: ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"]),
-        lambda: _dynamic(months, paths["detail"], ("sales_month",)),
+        lambda: _dynamic(months, paths["detail"], ("sales_month", "file_name")),
     )
     # Months this run brought, from the staged rows (one column of stored
-    # Parquet; the enrichment is not run a second time for it).  A month whose
-    # rows all missed a dimension re-derives its marts from unchanged detail.
+    # Parquet; the enrichment is not run a second time for it).  Their marts
+    # are rebuilt from the detail of every file of those months, this run's
+    # and earlier runs'.
     touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
-    detail = spark.read.parquet(paths["detail"]).where(F.col("sales_month").isin(touched))
+    detail = (
+        spark.read.parquet(paths["detail"]).where(F.col("sales_month").isin(touched)).drop("file_name")
+    )
 
     # O1/O2: detail marts and the month/store partitioned mart; C1/C2 + O6:
     # monthly marts in the target types, one partition per month.  All read
