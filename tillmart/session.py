@@ -93,14 +93,19 @@ def as_uri(path: str) -> str:
     return "file://" + os.path.abspath(path)
 
 
+# Driver threads submitting jobs at once, at most.
+MAX_CONCURRENT_JOBS = 16
+
+
 def run_all(*jobs: Callable[[], object]) -> None:
     """Run independent Spark actions (writes) concurrently from driver threads.
 
     Spark schedules jobs from several threads side by side, so one job's
     tasks fill the slots another leaves idle and driver-side commits overlap.
-    Waits for all; the first failure is raised, so whatever the caller does
-    next (for example closing ledger entries) never follows a failed job."""
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+    At most ``MAX_CONCURRENT_JOBS`` run at once.  Waits for all; the first
+    failure is raised, so whatever the caller does next (for example closing
+    ledger entries) never follows a failed job."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), MAX_CONCURRENT_JOBS))) as pool:
         futures = [pool.submit(j) for j in jobs]
         errors = [f.exception() for f in futures]
     for e in errors:
