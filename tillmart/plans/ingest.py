@@ -56,9 +56,10 @@ def ingest(
     """Validate and read the files under ``landing_dir`` (or exactly ``paths``,
     whose byte lengths the caller may already know from its own listing).
 
-    Actions: the listing, one header-probe job, and one write of the parsed
-    rows to ``staging`` (a fresh folder under the shared checkpoint folder by
-    default)."""
+    Actions: the listing (skipped when ``lengths`` is given), the header probe
+    (one text-scan job, plus one small job per multi-split file when there are
+    few), and one write of the parsed rows to ``staging`` (a fresh folder
+    under the shared checkpoint folder by default)."""
     if paths is None:
         listed = L.list_files(spark, landing_dir)
     elif lengths is not None:
