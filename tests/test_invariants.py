@@ -164,3 +164,21 @@ def test_month_files_arriving_over_two_runs(spark):
     done_later = {p.rsplit("/", 1)[-1] for p in second.processed}
     assert done_later and done_later <= {p.rsplit("/", 1)[-1] for p in later}
     assert marts(second) == marts(whole)
+
+
+def test_rejected_files_move_to_the_error_folder(spark):
+    from tillmart.sources import fs
+    from tillmart.sources.landing_fixture import write_landing
+
+    zone = write_landing(spark, SF_SMALL)
+    errors = scratch_path(spark, "error-files")
+    r = RetailInputs(spark, SF_SMALL)
+    dims = job.Dimensions(r.customer(), r.store(), r.sales_team())
+    result = job.run(spark, zone, dims, scratch_path(spark, "run-move"), now=dt.datetime(2024, 5, 1),
+                     error_dir=errors)
+    moved = sorted(p.rsplit("/", 1)[-1] for p, d, _ in fs.list_dir(spark, errors) if not d)
+    left = {p.rsplit("/", 1)[-1] for p, d, _ in fs.list_dir(spark, zone) if not d}
+    assert moved == sorted(p.rsplit("/", 1)[-1] for p in result.rejected)
+    assert "notes.txt" in moved and "empty.csv" in moved and not (set(moved) & left)
+    lines = spark.read.parquet(result.paths["quarantine_lines"]).select("file_name").distinct().count()
+    assert lines == len([m for m in moved if m != "empty.csv"])

@@ -75,8 +75,13 @@ def run(
     dims: Dimensions,
     out_dir: str,
     now: dt.datetime | None = None,
+    error_dir: str | None = None,
 ) -> RunResult:
-    """Process the pending files of ``landing_dir`` into marts under ``out_dir``."""
+    """Process the pending files of ``landing_dir`` into marts under ``out_dir``.
+
+    With ``error_dir``, rejected files are also moved there (exact names, as
+    the reference moves them to its error prefix) once their lines are in the
+    quarantine table; without it the landing zone is left as it is."""
     apply_defaults(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     out = out_dir.rstrip("/")
@@ -128,6 +133,10 @@ def run(
         lambda: ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"]),
         lambda: _dynamic(months, paths["detail"], ("sales_month", "file_name")),
     )
+    if error_dir:
+        target = error_dir.rstrip("/")
+        run_all(*[lambda p=p: fs.rename(spark, p, f"{target}/{p.rsplit('/', 1)[-1]}") for p in ing.error_paths])
+
     # Months this run brought, from the staged rows (one column of stored
     # Parquet; the enrichment is not run a second time for it).  Their marts
     # are rebuilt from the detail of every file of those months, this run's
