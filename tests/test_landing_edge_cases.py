@@ -131,3 +131,22 @@ def test_special_file_names_keep_their_rows(landed):
     got = {r.file_name: r.n for r in landed.rows.where(F.col("file_name").isin(names)).groupBy("file_name")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {n: 1 for n in names}
+
+
+def test_listing_lengths_and_names(spark, tmp_path):
+    from tillmart.sources import landing as L
+
+    d = tmp_path / "zone"
+    d.mkdir()
+    files = {"plain.csv": "x\n", "a b+c{1}*?.csv": "yy\n", "empty.csv": "", "notes.txt": "zzz\n"}
+    for name, text in files.items():
+        (d / name).write_text(text)
+    got = {r.file_name: (r.is_csv, r.length) for r in L.list_files(spark, "file://" + str(d)).collect()}
+    assert got == {n: (n.endswith(".csv"), len(t.encode())) for n, t in files.items()}
+    listed = L.list_files(spark, "file://" + str(d)).collect()
+    # every listed path reads back its own file, glob characters included
+    for r in listed:
+        if r.length:
+            text = [x.value for x in spark.read.text(L.reader_path(r.path)).collect()]
+            assert text == [files[r.file_name].rstrip("\n")]
+    assert L.canonical("file:///x/a%20b%2B%5B1%5D.csv", encoded=True) == "file:/x/a b+[1].csv"
