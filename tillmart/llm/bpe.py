@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import texts
+from tillmart.llm.memo import Memo
 
 # Fixed value: how a byte-level tokenizer splits a text into pretokens.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,20 +46,6 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class _Memory(dict):
-    """A bounded memo of a function of one argument."""
-
-    def __init__(self, compute, most: int):
-        super().__init__()
-        self.compute, self.most = compute, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.compute(key)
-        return value
-
-
 class ByteBPE:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         with open(path, encoding="utf-8") as f:
@@ -93,10 +80,10 @@ class ByteBPE:
         self.split = regex.compile(PRETOKENS)
         self.odd_space = regex.compile(r"\s | \s|^ | $")
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.compatible = _Memory(self.pair_holds, remembered)
-        self.pretoken = _Memory(lambda s: np.array(self.by_prefixes(s.encode()), dtype="<u4").tobytes(), remembered)
-        self.first_word = _Memory(self.by_pretokens, remembered)
-        self.word = _Memory(lambda w: self.by_pretokens(" " + w), remembered)
+        self.compatible = Memo(self.pair_holds, remembered)
+        self.pretoken = Memo(lambda s: np.array(self.by_prefixes(s.encode()), dtype="<u4").tobytes(), remembered)
+        self.first_word = Memo(self.by_pretokens, remembered)
+        self.word = Memo(lambda w: self.by_pretokens(" " + w), remembered)
 
     def spine(self, token: int, side: int) -> list[tuple[int, int, int]]:
         """The tokens that stand at one edge of ``token`` while it is built:

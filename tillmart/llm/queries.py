@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, token_counts
+from tillmart.llm import bpe, langid, simhash, token_counts, toxicity
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -27,8 +27,20 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op6_bpe_encoding)
+    f.__name__: f for f in (op2_token_counts, op6_bpe_encoding, op7_toxicity, op8_simhash_near_dedup, op10_language_id)
 }
 
 ORACLE: dict[str, str] = {}
