@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, langid, simhash, token_counts, toxicity
+from tillmart.llm import bpe, host_rules, langid, sharding, simhash, token_counts, toxicity
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -23,6 +23,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.quality(table(spark, sf_dir, "documents"))
+
+
+def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -40,7 +48,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op6_bpe_encoding, op7_toxicity, op8_simhash_near_dedup, op10_language_id)
+    f.__name__: f
+    for f in (
+        op2_token_counts,
+        op3_host_quality,
+        op4_feistel_shards,
+        op6_bpe_encoding,
+        op7_toxicity,
+        op8_simhash_near_dedup,
+        op10_language_id,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_host_quality": host_rules.oracle(),
+    "op4_feistel_shards": sharding.oracle(),
+}
