@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, host_rules, langid, sharding, simhash, token_counts, toxicity
+from tillmart.llm import bpe, decontaminate, host_rules, langid, sharding, simhash, token_counts, toxicity
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -43,6 +43,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_bpe_encoding,
         op7_toxicity,
         op8_simhash_near_dedup,
+        op9_benchmark_decontamination,
         op10_language_id,
     )
 }
@@ -63,4 +68,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_host_quality": host_rules.oracle(),
     "op4_feistel_shards": sharding.oracle(),
+    "op9_benchmark_decontamination": decontaminate.oracle(),
 }
