@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, decontaminate, host_rules, langid, sharding, simhash, token_counts, toxicity
+from tillmart.llm import bpe, decontaminate, host_rules, langid, pii, sharding, simhash, token_counts, toxicity
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -31,6 +31,10 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_token_counts,
         op3_host_quality,
         op4_feistel_shards,
+        op5_pii,
         op6_bpe_encoding,
         op7_toxicity,
         op8_simhash_near_dedup,
