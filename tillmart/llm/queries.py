@@ -12,13 +12,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, decontaminate, host_rules, langid, pii, sharding, simhash, token_counts, toxicity
+from tillmart.llm import bpe, decontaminate, host_rules, langid, lm_score, pii, sharding, simhash, token_counts, toxicity
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -58,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_lm_scores,
         op2_token_counts,
         op3_host_quality,
         op4_feistel_shards,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_lm_scores": lm_score.oracle(),
     "op3_host_quality": host_rules.oracle(),
     "op4_feistel_shards": sharding.oracle(),
     "op9_benchmark_decontamination": decontaminate.oracle(),
