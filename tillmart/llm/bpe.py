@@ -164,20 +164,22 @@ def model(path: str) -> ByteBPE:
     return _MODELS[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, ids array<int>, decoded) of every row of ``docs``; a null text
-    is encoded as the empty text (no ids)."""
+def encoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``docs``, all columns, with ``ids`` array<int> and ``round_trip``: whether
+    decoding them gives the text back; a null text is encoded as the empty one."""
 
-    @F.pandas_udf("ids array<int>, decoded string")
+    @F.pandas_udf("ids array<int>, round_trip boolean")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = model(tokenizer_path)
         for s in batches:
             packed = [m.encode(t) for t in s]
             yield pd.DataFrame(
-                {"ids": [np.frombuffer(p, dtype="<i4") for p in packed], "decoded": [m.decode(p) for p in packed]}
+                {"ids": [np.frombuffer(p, dtype="<i4") for p in packed], "round_trip": [m.decode(p) == t for p, t in zip(packed, s)]}
             )
 
-    return texts(docs).select("doc_id", encode("text").alias("r")).select("doc_id", "r.ids", "r.decoded")
+    found = docs.withColumn("_bpe", encode(F.coalesce("text", F.lit(""))))
+    kept = [c for c in docs.columns if c not in ("ids", "round_trip")]
+    return found.select(*kept, "_bpe.ids", "_bpe.round_trip")
 
 
 def encoding_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -43,6 +43,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows are few; beyond
+    that it is joined by a shuffle, in which Spark splits hot keys."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def hash_fraction(key: Column, fraction: float, salt: str = "sample") -> Column:
     """True for about ``fraction`` of the keys, the same ones in every run."""
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import BROADCAST_ROWS, staged, texts
+from tillmart.llm.common import small, staged, texts
 
 SHINGLE = 5
 PERCENT = 80
@@ -77,11 +77,6 @@ def signatures(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.withColumn("rank", rank).where(F.col("rank") <= k).select("item_id", "h")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if its counted size allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def contaminated_rows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, item_id, n_shingles, n_found) of every match."""
     known = staged(item_shingles(items), "decontaminate-items")

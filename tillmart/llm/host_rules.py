@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import BROADCAST_ROWS, staged
+from tillmart.llm.common import small, staged
 
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -107,9 +107,7 @@ def quality(docs: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """Base counts, host and verdict of every row of ``docs``."""
     counted = staged(base_counts(docs), "quality-counts")
     hosts = staged(host_verdicts(counted, max_rate), "quality-hosts")
-    # Beyond the bound the join shuffles by host, and Spark splits a hot one.
-    small = hosts.count() <= BROADCAST_ROWS
-    joined = counted.join(F.broadcast(hosts) if small else hosts, "host", "left")
+    joined = counted.join(small(hosts), "host", "left")
     kept = ~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False))
     return joined.withColumn("kept", kept).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate"

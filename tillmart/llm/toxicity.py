@@ -216,3 +216,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     model = train(sample(docs, labels.select("doc_id", "toxic")))
     return with_severity(docs, F.col("text"), model).select("doc_id", "_toxicity.*")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not toxic."""
+    model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
+    return with_severity(docs, F.col("text"), model).where(~F.col("_toxicity.toxic")).select(*docs.columns)
