@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import texts
+from tillmart.llm.common import packed, texts
 from tillmart.llm.memo import Memo
 
 # Fixed value: how a byte-level tokenizer splits a text into pretokens.
@@ -166,20 +166,21 @@ def model(path: str) -> ByteBPE:
 
 def encoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``docs``, all columns, with ``ids`` array<int> and ``round_trip``: whether
-    decoding them gives the text back; a null text is encoded as the empty one."""
+    decoding them gives the text back; a null text is encoded as the empty one.
+    Columns of docs with these two names are replaced."""
 
     @F.pandas_udf("ids array<int>, round_trip boolean")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = model(tokenizer_path)
         for s in batches:
-            packed = [m.encode(t) for t in s]
+            found = [m.encode(t) for t in s]
             yield pd.DataFrame(
-                {"ids": [np.frombuffer(p, dtype="<i4") for p in packed], "round_trip": [m.decode(p) == t for p, t in zip(packed, s)]}
+                {"ids": [np.frombuffer(p, dtype="<i4") for p in found], "round_trip": [m.decode(p) == t for p, t in zip(found, s)]}
             )
 
-    found = docs.withColumn("_bpe", encode(F.coalesce("text", F.lit(""))))
-    kept = [c for c in docs.columns if c not in ("ids", "round_trip")]
-    return found.select(*kept, "_bpe.ids", "_bpe.round_trip")
+    found = packed(docs).withColumn("bpe", encode(F.coalesce("doc.text", F.lit(""))))
+    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in ("ids", "round_trip")]
+    return found.select(*kept, "bpe.ids", "bpe.round_trip")
 
 
 def encoding_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

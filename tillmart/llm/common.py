@@ -43,6 +43,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Each row as one struct ``doc``: working columns beside it clash with none."""
+    return docs.select(F.struct("*").alias("doc"))
+
+
 def small(df: DataFrame) -> DataFrame:
     """A written table, marked for broadcast if its counted rows are few; beyond
     that it is joined by a shuffle, in which Spark splits hot keys."""

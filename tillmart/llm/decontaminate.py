@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import small, staged, texts
+from tillmart.llm.common import packed, small, staged, texts
 
 SHINGLE = 5
 PERCENT = 80
@@ -104,9 +104,9 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> D
 def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
     bad = staged(contaminated_rows(docs, items, percent).select("doc_id", "text_key").distinct(), "decontaminate-rows")
-    bad = small(bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")))
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_key"))
-    return docs.join(bad, same, "left_anti")
+    rows = packed(docs)
+    same = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce("doc.text", F.lit(""))) == F.col("text_key"))
+    return rows.join(small(bad), same, "left_anti").select("doc.*")
 
 
 def oracle(percent: int = PERCENT) -> str:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-from tillmart.llm.common import small, staged, texts
+from tillmart.llm.common import packed, small, staged, texts
 
 SHINGLE = 3
 RADIUS = 3
@@ -248,21 +248,20 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     The texts themselves are not shuffled while the rows to go are few enough
     to be broadcast; beyond that their keys meet the rows by a shuffle join."""
-    columns = docs.columns
-    docs = docs.withColumn("_row", F.xxhash64(*columns))
-    keyed = with_fingerprint(docs.select("doc_id", "text", "_row"), F.col("text"), shingle=shingle)
-    keyed = staged(keyed.groupBy("fp", "doc_id", "_row").agg(F.count("*").alias("copies")), "simhash-stage-rows")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "copies")
+    docs = packed(docs).select("doc", "doc.doc_id", F.xxhash64("doc").alias("row"))
+    keyed = with_fingerprint(docs, F.col("doc.text"), shingle=shingle)
+    keyed = staged(keyed.groupBy("fp", "doc_id", "row").agg(F.count("*").alias("copies")), "simhash-stage-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "copies")
     nodes = staged(keyed.groupBy("fp").agg(F.min(order).alias("first")), "simhash-stage-nodes")
     linked = staged(components(edges(nodes.select("fp"))), "simhash-stage-components")
     member = nodes.join(linked, nodes.fp == linked.node, "left").select(F.coalesce("root", "fp").alias("root"), "first")
     stay = staged(member.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "simhash-stage-stay")
-    key = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_key"))
-    same = lambda left: left["doc_id"].eqNullSafe(F.col("_id")) & (left["_row"] == F.col("_key"))
+    key = lambda df: df.select(F.col("doc_id").alias("id"), F.col("row").alias("key"))
+    same = lambda left: left["doc_id"].eqNullSafe(F.col("id")) & (left["row"] == F.col("key"))
     single, several = key(stay.where("copies = 1")), key(stay.where("copies > 1"))
     go = staged(key(keyed.join(single, same(keyed), "left_anti")), "simhash-stage-go")
     kept = docs.join(small(go), same(docs), "left_anti")
     if several.limit(1).count():  # rows that stay and occur more than once
         again = docs.join(small(several), same(docs), "left_semi")
-        kept = kept.unionByName(again.dropDuplicates(["doc_id", "_row"]))
-    return kept.select(*columns)
+        kept = kept.unionByName(again.dropDuplicates(["doc_id", "row"]))
+    return kept.select("doc.*")

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import hash_fraction
+from tillmart.llm.common import hash_fraction, packed
 from tillmart.llm.memo import Memo
 
 SAMPLE_PER_CLASS = 2_500
@@ -221,4 +221,4 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that are not toxic."""
     model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
-    return with_severity(docs, F.col("text"), model).where(~F.col("_toxicity.toxic")).select(*docs.columns)
+    return with_severity(packed(docs), F.col("doc.text"), model).where("not _toxicity.toxic").select("doc.*")
