@@ -40,11 +40,12 @@ SAMPLE_CHARS = 60_000
 PREFIXES = (4, 5, 6)
 PUNCTUATION = ".,;:!?\"'()[]{}#*$%&|<>"  # taken off both ends of a word
 FEATURES = 1_500
-MIN_TEXTS = 8  # texts of the sample a feature must occur in
-# Size of the log-odds and chi-square a feature needs at least: weaker ones are
-# often chance, and add up in long texts.
-MIN_ODDS = 1.5
-MIN_CHI = 20.0
+MIN_TEXTS = 3  # texts of the sample a feature must occur in at least, and
+MIN_SHARE = 1 / 400  # the share of them it must occur in
+# Size of the log-odds, and chi-square per text of the sample, that a feature
+# needs at least: weaker ones are often chance, and add up in long texts.
+MIN_ODDS = 2.0
+MIN_CHI = 0.01
 INDICATIVE = 2.0
 GRADES = 3
 STEPS = 300
@@ -128,13 +129,13 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     for bag, y in zip(bags, toxic):
         seen[y].update(bag.keys())
     n = np.bincount(toxic, minlength=2)
-    names = sorted(f for f in set(seen[0]) | set(seen[1]) if seen[0][f] + seen[1][f] >= MIN_TEXTS)
+    names = sorted(f for f in set(seen[0]) | set(seen[1]) if seen[0][f] + seen[1][f] >= max(MIN_TEXTS, MIN_SHARE * len(rows)))
     a, b = (np.array([seen[y][f] for f in names], dtype=float) for y in (1, 0))
     odds = np.log((a + 0.5) / (n[1] + 1)) - np.log((b + 0.5) / (n[0] + 1))
     share = (a + b) / n.sum()
     chi = (a - share * n[1]) ** 2 / (share * n[1]) + (b - share * n[0]) ** 2 / (share * n[0])
     chi[np.abs(odds) < MIN_ODDS] = 0
-    chosen = sorted(i for i in np.argsort(-chi, kind="stable")[:FEATURES].tolist() if chi[i] >= MIN_CHI)
+    chosen = sorted(i for i in np.argsort(-chi, kind="stable")[:FEATURES].tolist() if chi[i] >= MIN_CHI * len(rows))
     indicative = {names[i] for i in chosen if odds[i] > INDICATIVE}
     amount = np.array([sum(c for f, c in bag.items() if f in indicative and not f.endswith("*")) for bag in bags])
     thirds = np.quantile(amount[toxic == 1], [1 / 3, 2 / 3])
@@ -153,7 +154,8 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     w, theta = ordinal_fit(x[fit], grade[fit], balance[fit])
     held = kept_back if len(set(toxic[kept_back].tolist())) == 2 else fit
     p = sigmoid(x[held] @ w - theta[0])
-    right = {c: ((p >= c) == toxic[held]).sum() for c in np.linspace(0.05, 0.95, 91)}
+    caught, passed = p[toxic[held] == 1], p[toxic[held] == 0]
+    right = {c: (caught >= c).mean() + (passed < c).mean() for c in np.linspace(0.05, 0.95, 91)}
     best = [c for c, r in right.items() if r == max(right.values())]
     return Model({f: float(w[j]) for f, j in index.items()}, theta, float(best[len(best) // 2]))
 
