@@ -9,9 +9,9 @@ the numbers are written out, so no group of repeated rows meets in a task.
 
 A Feistel network over pairs (x div a, x mod a), a = ceil(sqrt(N)), permutes
 0 .. a*a-1.  Cycle walking applies it again to results of N or more, which
-makes it a permutation of 0 .. N-1.  There are at most 2a - 2 such values; how
-long the longest walk out of them takes is measured on all of them beforehand,
-so the number of steps in the plan is exact for every row.
+makes it a permutation of 0 .. N-1.  There are at most 2a - 2 such values; the
+longest walk through them that begins at a row is measured beforehand on all of
+them, so the number of steps in the plan is exact for every row.
 
 Row number x lands at p = permuted(x): shard p mod 8, slot p div 8, so shards
 differ by one row at most and slots have no gaps (law ``rows``).  ``position``
@@ -94,28 +94,49 @@ def row_at(shard: int, slot: int, n: int, shards: int = SHARDS, seed: int = SEED
 # --- the same as expressions -----------------------------------------------------------
 
 
-def network(x: Column, a: int, seed: int = SEED) -> Column:
+def network(x: Column, a: int, seed: int = SEED, back: bool = False) -> Column:
+    """The permutation of 0 .. a*a-1, or its inverse."""
     start = F.struct(F.call_function("div", x, F.lit(a)).alias("l"), (x % F.lit(a)).alias("r"))
 
     def mixed(r: Column, k: Column) -> Column:
         y = (r + k) % F.lit(PRIME)
         return (y * y) % F.lit(PRIME)
 
-    rounds = F.array(*(F.lit(k).cast("long") for k in round_keys(seed)))
-    step = lambda s, k: F.struct(s["r"].alias("l"), ((s["l"] + mixed(s["r"], k)) % F.lit(a)).alias("r"))
+    def step(s: Column, k: Column) -> Column:
+        if back:
+            return F.struct(F.pmod(s["r"] - mixed(s["l"], k), F.lit(a)).alias("l"), s["l"].alias("r"))
+        return F.struct(s["r"].alias("l"), ((s["l"] + mixed(s["r"], k)) % F.lit(a)).alias("r"))
+
+    keys = round_keys(seed)
+    rounds = F.array(*(F.lit(k).cast("long") for k in (reversed(keys) if back else keys)))
     return F.aggregate(rounds, start, step, lambda s: s["l"] * F.lit(a).cast("long") + s["r"])
 
 
 def longest_walk(spark, n: int, seed: int = SEED) -> int:
-    """Applications it takes until every value of n .. a*a-1 has come below n."""
+    """Steps until every walk that begins at a row, a value below n, is below n
+    again.  Of n .. a*a-1 only images of rows begin a walk: the others lie on
+    one's way, or on cycles that no row enters."""
     a = side(n)
-    out, steps = spark.range(n, a * a), 0
-    while out.limit(1).count():
-        out = out.select(network(F.col("id"), a, seed).alias("id")).where(F.col("id") >= n)
-        steps += 1
+    entered = spark.range(n, a * a).where(network(F.col("id"), a, seed, back=True) < n)
+    steps, left = 0, entered.count()
+    while left:
+        # one plan of fixed depth per test, doubling: few jobs, however long the walk
+        steps = 2 * steps if steps else 1
+        left = entered.where(walked(F.col("id"), n, a, steps, seed) >= n).count()
+    low = steps // 2
+    while steps - low > 1:
+        half = (low + steps) // 2
+        done = entered.where(walked(F.col("id"), n, a, half, seed) >= n).count() == 0
+        low, steps = (low, half) if done else (half, steps)
     return steps
 
 
+def walked(x: Column, n: int, a: int, steps: int, seed: int = SEED) -> Column:
+    """``x`` after up to ``steps`` further applications, none once it is below n."""
+    again = lambda y, _: F.when(y < n, y).otherwise(network(y, a, seed))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), x, again) if steps else x
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per row of ``docs``."""
     spark = docs.sparkSession
@@ -135,11 +156,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     start = F.col("first") + F.col("upto") - F.col("copies")
     numbered = numbered.select("doc_id", "size", "text_crc32", F.explode(F.sequence(start, start + F.col("copies") - 1)).alias("x"))
     a, walk = side(n), longest_walk(spark, n, seed)
-    p = network(F.col("x"), a, seed)
-    if walk:
-        again = lambda y, _: F.when(y < n, y).otherwise(network(y, a, seed))
-        p = F.aggregate(F.sequence(F.lit(1), F.lit(walk)), p, again)
-    placed = numbered.withColumn("p", p)
+    placed = numbered.withColumn("p", walked(network(F.col("x"), a, seed), n, a, walk, seed))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
         (F.col("p") % shards).cast("int").alias("shard"), F.call_function("div", F.col("p"), F.lit(shards)).cast("long").alias("slot"),
