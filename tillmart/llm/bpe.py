@@ -34,8 +34,8 @@ from tillmart.llm.memo import Memo
 
 # Fixed value: how a byte-level tokenizer splits a text into pretokens.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Pretokens and token pairs a worker remembers.
-REMEMBERED = 300_000
+# Words, pretokens and token pairs a worker remembers (each, twice over).
+REMEMBERED = 200_000
 
 
 def byte_characters() -> dict[str, int]:

@@ -8,17 +8,20 @@ import numpy as np
 
 
 class Memo(dict):
-    """``compute(key)`` remembered for up to ``most`` keys; emptied when full,
-    which costs time and changes no result."""
+    """``compute(key)`` remembered in two generations of up to ``most`` keys:
+    when the young one is full it becomes the old one and the old one is
+    forgotten; a key found in the old one moves on to the young one.  Rare keys
+    go, frequent ones stay, and forgetting changes no result."""
 
-    def __init__(self, compute: Callable, most: int = 300_000):
+    def __init__(self, compute: Callable, most: int = 150_000):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self[key] = self.old[key] if key in self.old else self.compute(key)
         return value
 
 
