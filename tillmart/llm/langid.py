@@ -25,9 +25,11 @@ the language that sorts first.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -65,7 +67,7 @@ def subwords(word: str) -> list[int]:
 
 
 def letters(word: str) -> int:
-    return sum(map(str.isalpha, word))
+    return len(word) if word.isalpha() else sum(map(str.isalpha, word))
 
 
 def averages(batch: list[str]) -> np.ndarray:
@@ -138,12 +140,19 @@ class Predictor:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = WordRows(self.share, len(model.bias) + 2)
-
-    def share(self, word: str) -> np.ndarray:
-        """Sum of the word's logits, number of its n-grams, number of its letters."""
-        grams = subwords(word)
-        return np.array([*self.model.table[grams].sum(axis=0), len(grams), letters(word)])
+        self.known = WordRows(self.shares, len(model.bias) + 2)
+
+    def shares(self, words: list[str]) -> np.ndarray:
+        """For each word the sum of its logits, the number of its n-grams and of its letters."""
+        grams = [subwords(w) for w in words]
+        sizes = np.fromiter(map(len, grams), dtype=np.int64, count=len(grams))
+        out = np.zeros((len(words), len(self.model.bias) + 2))
+        out[:, -2], out[:, -1] = sizes, [letters(w) for w in words]
+        some = np.nonzero(sizes)[0]
+        if len(some):
+            logits = self.model.table[list(chain.from_iterable(grams))]
+            out[some, :-2] = np.add.reduceat(logits, np.cumsum(sizes[some]) - sizes[some], axis=0)
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         total = self.known.sum((text or "").lower().split())
@@ -153,6 +162,17 @@ class Predictor:
         return self.model.langs[int(p.argmax())], round(float(p.max()), 6)
 
 
+_LAST: dict[str, Predictor] = {}
+
+
+def predictor_of(name: str, model: Model) -> Predictor:
+    """The worker's predictor for a model, kept from task to task; one at a time."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Predictor(model)
+    return _LAST[name]
+
+
 def held_out(docs: DataFrame):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
 
@@ -178,9 +198,11 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             F.lit(0.0).alias("score"), F.lit(False).alias("accepted"),
         )
 
+    name = uuid.uuid4().hex
+
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        predictor = Predictor(model)
+        predictor = predictor_of(name, model)
         for s in batches:
             yield pd.DataFrame([predictor.predict(t) for t in s], columns=["lang_pred", "score"])
 

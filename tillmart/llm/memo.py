@@ -26,25 +26,25 @@ class Memo(dict):
 
 
 class WordRows(dict):
-    """``compute(word)``, a vector of ``width`` numbers, remembered as a row of
-    one matrix, so that a text's sum over its words is one indexed sum.  Emptied
-    before a text when more than ``most`` words are known; grows within one."""
+    """``compute(words)``, a row of ``width`` numbers for each word, remembered
+    as rows of one matrix, so that a text's sum over its words is one indexed
+    sum and the new words of a text are computed together.  Emptied before a
+    text when more than ``most`` words are known; grows within one."""
 
-    def __init__(self, compute: Callable, width: int, most: int = 300_000):
+    def __init__(self, compute: Callable, width: int, most: int = 500_000):
         super().__init__()
         self.compute, self.most = compute, most
         self.rows = np.zeros((1024, width))
 
-    def __missing__(self, word):
-        at = len(self)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.compute(word)
-        self[word] = at
-        return at
-
     def sum(self, words: list) -> np.ndarray:
         if len(self) > self.most:
             self.clear()
+        new = [w for w in set(words) if w not in self]
+        if new:
+            start = len(self)
+            self.update(zip(new, range(start, start + len(new))))
+            while len(self) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[start : len(self)] = self.compute(new)
         codes = [self[w] for w in words]
         return self.rows[codes].sum(axis=0)
