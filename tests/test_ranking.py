@@ -39,3 +39,18 @@ def test_hot_group_spans_several_range_partitions(spark):
     # the single group is not ranked in one piece
     counts = df.groupBy("g", "v").count().repartitionByRange(8, "g", F.col("v").desc())
     assert counts.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_rank_does_not_depend_on_exchange_reuse(spark):
+    from conftest import SF_SMALL
+    from tillmart.plans.catalog import QUERIES
+
+    def ranks():
+        return sorted(map(tuple, QUERIES["sales_rank"](spark, SF_SMALL).collect()))
+
+    want = ranks()
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert ranks() == want and len(want) == 794
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -10,7 +10,8 @@ from the distinct (g, v) pairs and their row counts:
 1. count rows per (g, v): a grouped count with map-side partial counts;
 2. range-partition the pairs by (g, v DESC): Spark samples the keys, so a
    group holding a large share of the pairs is split over several
-   partitions, in key order;
+   partitions, in key order; the pairs are written once with their partition
+   number, since both branches below must see one and the same partitioning;
 3. inside each (partition, group) piece, a running count of the pairs
    before each value; a piece is at most one range partition;
 4. per group, the rows of the pieces in earlier partitions (a running sum
@@ -27,6 +28,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmart.session import scratch_path
+from tillmart.sinks.parquet import stage
+
 
 def rank_desc(
     df: DataFrame,
@@ -42,6 +46,7 @@ def rank_desc(
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     ordered = [F.col(g).asc_nulls_first() for g in group] + [F.col(value).desc_nulls_last()]
     ranged = counts.repartitionByRange(n, *ordered).withColumn("_pid", F.spark_partition_id())
+    ranged = stage(ranged, scratch_path(spark, "rank-pieces"))
 
     before_in_piece = (
         Window.partitionBy("_pid", *group)
