@@ -34,4 +34,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive"]
-    assert df.count() == 635
+    assert df.count() == 794

@@ -19,11 +19,6 @@ def sales_month(date_col: str | Column = "sales_date") -> Column:
     return F.date_format(col_of(date_col), "yyyy-MM")
 
 
-def month_start(date_col: str | Column = "sales_date") -> Column:
-    """First day of the month as a DATE (the mart DDL's ``sales_date_month``)."""
-    return F.trunc(col_of(date_col), "MM")
-
-
 def full_name(first: str | Column, last: str | Column) -> Column:
     """``first || ' ' || last``; NULL when either part is NULL."""
     return F.concat(col_of(first), F.lit(" "), col_of(last))
@@ -35,7 +30,7 @@ def money(c: str | Column) -> Column:
 
 
 def mart_money(c: str | Column) -> Column:
-    """Money as the mart table's DECIMAL(10,2); overflow raises under ANSI."""
+    """Money as the database table's DECIMAL(10,2); overflow raises under ANSI."""
     return col_of(c).cast(MART_MONEY)
 
 

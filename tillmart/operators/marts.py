@@ -174,20 +174,27 @@ def sales_incentive(totals: DataFrame) -> DataFrame:
 
 
 def conform_customer_mart(mart: DataFrame) -> DataFrame:
-    """Customer mart in the target DDL: month as DATE, money DECIMAL(10,2)
-    (an overflowing total raises under ANSI instead of being cut)."""
+    """Customer mart as stored: month as DATE, money as wide as the sums.  The
+    database column's DECIMAL(10,2) is applied at the JDBC edge only
+    (``mart_types``), so no total can stop a run."""
     return mart.select(
         "customer_id",
         "full_name",
         "address",
         "phone_number",
         F.to_date(F.concat(F.col("sales_date_month"), F.lit("-01"))).alias("sales_date_month"),
-        mart_money("total_sales").alias("total_sales"),
+        money("total_sales").alias("total_sales"),
     )
 
 
+def mart_types(mart: DataFrame) -> DataFrame:
+    """A mart with its money columns in the database table's DECIMAL(10,2), for
+    a JDBC write; a total beyond it raises there (ANSI), it is never cut."""
+    return mart.withColumns({c: mart_money(c) for c in ("total_sales", "incentive") if c in mart.columns})
+
+
 def conform_sales_mart(mart: DataFrame) -> DataFrame:
-    """Sales-team mart in the target DDL money type.
+    """Sales-team mart as stored, money as wide as the sums.
 
     Keys stay 64-bit: the DDL's INT would overflow on large key ranges."""
     return mart.select(
@@ -195,6 +202,6 @@ def conform_sales_mart(mart: DataFrame) -> DataFrame:
         "sales_person_id",
         "full_name",
         "sales_month",
-        mart_money("total_sales").alias("total_sales"),
-        mart_money("incentive").alias("incentive"),
+        money("total_sales").alias("total_sales"),
+        money("incentive").alias("incentive"),
     )

@@ -112,7 +112,7 @@ def q_distinct_sales_keys(spark, sf_dir):
 
 def q_unmatched_sales(spark, sf_dir):
     r = _inputs(spark, sf_dir)
-    return E.unmatched_sales(r.sales(), r.customer(), r.store(), r.sales_team())
+    return E.unmatched_sales(r.sales(), *r.reduced())
 
 
 def q_mart_conformed(spark, sf_dir):

@@ -29,26 +29,24 @@ customer_dim AS (
          split_part(c.c_name, '#', 1) AS first_name,
          split_part(c.c_name, '#', 2) AS last_name,
          n.n_name AS address,
-         lpad(CAST(c.c_nationkey AS VARCHAR), 6, '0') AS pincode,
-         '91' || lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS phone_number,
+         lpad(CAST(c.c_nationkey AS VARCHAR), CAST(greatest(6, length(CAST(c.c_nationkey AS VARCHAR))) AS INTEGER), '0') AS pincode,
+         '91' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(8, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS phone_number,
          DATE '2020-01-01' AS customer_joining_date
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_acctbal >= 0
 ),
 store_dim AS (
   SELECT n_nationkey AS id,
          n_name AS address,
-         lpad(CAST(n_regionkey AS VARCHAR), 6, '0') AS store_pincode,
+         lpad(CAST(n_regionkey AS VARCHAR), CAST(greatest(6, length(CAST(n_regionkey AS VARCHAR))) AS INTEGER), '0') AS store_pincode,
          'Manager ' || n_name AS store_manager_name,
          DATE '2020-01-01' AS store_opening_date,
          CAST(NULL AS VARCHAR) AS reviews
-  FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name <> 'MIDDLE EAST')
+  FROM nation
 ),
 team_base AS (
   SELECT s.s_suppkey, s.s_name, s.s_nationkey, n.n_name,
          MIN(s.s_suppkey) OVER (PARTITION BY s.s_nationkey) AS manager_id
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE s.s_acctbal >= 0
 ),
 sales_team_dim AS (
   SELECT s_suppkey AS id,
@@ -57,7 +55,7 @@ sales_team_dim AS (
          manager_id,
          CASE WHEN s_suppkey = manager_id THEN 'Y' ELSE 'N' END AS is_manager,
          n_name AS address,
-         lpad(CAST(s_nationkey AS VARCHAR), 6, '0') AS pincode,
+         lpad(CAST(s_nationkey AS VARCHAR), CAST(greatest(6, length(CAST(s_nationkey AS VARCHAR))) AS INTEGER), '0') AS pincode,
          DATE '2020-01-01' AS joining_date
   FROM team_base
 ),
@@ -164,9 +162,12 @@ ORACLE: dict[str, str] = {
                          ELSE f.sales_person_id END AS dim_key,
                     f.total_cost
              FROM sales f
-             LEFT JOIN customer_dim c ON f.customer_id = c.customer_id
-             LEFT JOIN store_dim s ON f.store_id = s.id
-             LEFT JOIN sales_team_dim t ON f.sales_person_id = t.id
+             LEFT JOIN (SELECT d.* FROM customer_dim d JOIN customer ON c_custkey = customer_id
+                        WHERE c_acctbal >= 0) c ON f.customer_id = c.customer_id
+             LEFT JOIN (SELECT d.* FROM store_dim d JOIN nation ON n_nationkey = id
+                        JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'MIDDLE EAST') s ON f.store_id = s.id
+             LEFT JOIN (SELECT d.* FROM sales_team_dim d JOIN supplier ON s_suppkey = id
+                        WHERE s_acctbal >= 0) t ON f.sales_person_id = t.id
            )
            SELECT dimension, dim_key, COUNT(*) AS n_rows,
                   CAST(SUM(total_cost) AS DECIMAL(18,2)) AS lost_total
@@ -175,7 +176,7 @@ ORACLE: dict[str, str] = {
     "mart_conformed": _q(
         """SELECT customer_id, full_name, address, phone_number,
                   CAST(sales_date_month || '-01' AS DATE) AS sales_date_month,
-                  CAST(total_sales AS DECIMAL(10,2)) AS total_sales
+                  total_sales
            FROM customer_mart"""
     ),
     "customer_detail_mart": _q(
@@ -254,7 +255,7 @@ parted AS (
 ),
 landed AS (
   SELECT * EXCLUDE (spread, part),
-         'sales_' || strftime(sales_date, '%Y_%m') || '_p' || lpad(CAST(part AS VARCHAR), 4, '0')
+         'sales_' || strftime(sales_date, '%Y_%m') || '_p' || lpad(CAST(part AS VARCHAR), CAST(greatest(4, length(CAST(part AS VARCHAR))) AS INTEGER), '0')
            || '.csv' AS file_name,
          (year(sales_date) * 12 + month(sales_date)) % {LF.N_SHAPES} AS shape,
          CASE WHEN quantity % 2 = 0 THEN 'cash' ELSE 'UPI' END AS payment_mode,
@@ -352,9 +353,9 @@ LANDING_BODIES.update(
         "end_to_end_run": (
             _landed_chain()
             + """SELECT store_id, sales_person_id, full_name, sales_month,
-                        CAST(total_sales AS DECIMAL(10,2)) AS total_sales,
+                        total_sales,
                         CAST(CASE WHEN rnk = 1 THEN ROUND(total_sales * 0.01, 2) ELSE 0 END
-                             AS DECIMAL(10,2)) AS incentive
+                             AS DECIMAL(18,2)) AS incentive
                  FROM l_team_ranked"""
         ),
         "stream_file_ingest": "SELECT * FROM landed_rows",

@@ -55,10 +55,10 @@ VALID_SHAPES = (0, 1, 2)
 
 
 def file_key(part: F.Column, date_col: str = "sales_date") -> F.Column:
-    return F.concat(
-        F.lit("sales_"), F.date_format(F.col(date_col), "yyyy_MM"), F.lit("_p"),
-        F.lpad(part.cast("string"), 4, "0"), F.lit(".csv"),
-    )
+    """File name of a month's part; the part number has four digits or more."""
+    number = part.cast("string")
+    padded = F.when(F.length(number) < 4, F.lpad(number, 4, "0")).otherwise(number)
+    return F.concat(F.lit("sales_"), F.date_format(F.col(date_col), "yyyy_MM"), F.lit("_p"), padded, F.lit(".csv"))
 
 
 def with_file(fact, rows_per_file: int):

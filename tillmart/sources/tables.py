@@ -4,18 +4,14 @@ The provided tables are a TPC-H-like star schema.  They stand in for the
 landed sales files and the three dimension tables as follows:
 
 * sales       = lineitem ⋈ orders ⋈ part ⋈ supplier
-* customer    = customer ⋈ nation: registered customers, those whose account
-                is not in debit
-* store       = nation ⋈ region: the chain has a store in every nation outside
-                one region
-* sales_team  = supplier ⋈ nation: staff in good standing, suppliers whose
-                account is not in debit
-
-Membership follows business attributes of the entities (account balance,
-region), not key ranges.  It leaves sales without a matching dimension row on
-purpose, as the reference's generated data does, so the inner joins drop some
-sales (``unmatched_sales`` accounts for them).  Every query reads the whole
-tables.
+* customer    = customer ⋈ nation
+* store       = nation: the chain has a store in every nation
+* sales_team  = supplier ⋈ nation
+
+Every query reads the whole tables.  ``unmatched_sales`` alone, whose feature
+is to account for sales without a dimension row, uses the reduced dimensions of
+``reduced()``: members in good standing (account not in debit, region with
+stores), chosen by business attributes, not by key ranges.
 """
 
 from __future__ import annotations
@@ -53,40 +49,47 @@ class Tables:
 
 
 def _pad(c: str, width: int) -> F.Column:
-    return F.lpad(F.col(c).cast("string"), width, "0")
+    """Zero-padded to ``width``; longer numbers stay whole."""
+    text = F.col(c).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def sales(t: Tables) -> DataFrame:
-    """Unified sales fact (9 columns, ``additional_column`` NULL).
+    """The sales facts that the marts read: customer, store, date, salesperson,
+    total.  Product and price are read by none of them, so ``part`` is not joined.
 
     Two large inputs (lineitem, orders) meet in a shuffle join on the order
-    key; supplier and part are joined by key and broadcast only when Spark's
-    size estimate (or AQE's runtime size) is under the broadcast threshold.
+    key; supplier is joined by key and broadcast only when Spark's size
+    estimate (or AQE's runtime size) is under the broadcast threshold.
     """
-    return _sales(t, keyed=False)
-
-
-def sales_keyed(t: Tables) -> DataFrame:
-    """The sales fact plus ``_spread = l_orderkey + l_linenumber``, a row-level
-    key that spreads one month over several landing files (``landing_fixture``)."""
-    return _sales(t, keyed=True)
+    joined = _priced(t, "l_orderkey", "l_suppkey", "l_extendedprice")
+    return joined.select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("s_nationkey").alias("store_id"),
+        F.col("o_orderdate").cast("date").alias("sales_date"),
+        F.col("l_suppkey").alias("sales_person_id"),
+        money("l_extendedprice").alias("total_cost"),
+    )
 
 
-def _sales(t: Tables, keyed: bool) -> DataFrame:
-    li = t("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
+def _priced(t: Tables, *columns: str) -> DataFrame:
+    """lineitem ⋈ orders ⋈ supplier with the named lineitem columns.  Supplier
+    last: the fact leaves this join hash-partitioned by l_suppkey (=
+    sales_person_id), which the sales-team join of the enrichment reuses when
+    it is a sort-merge join."""
+    li = t("lineitem").select(*columns)
     od = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     sp = t("supplier").select("s_suppkey", "s_nationkey")
+    return li.join(od, li.l_orderkey == od.o_orderkey, "inner").join(sp, li.l_suppkey == sp.s_suppkey, "inner")
+
+
+def sales_keyed(t: Tables) -> DataFrame:
+    """The landed sales columns plus ``_spread = l_orderkey + l_linenumber``, a
+    row-level key that spreads one month over several landing files
+    (``landing_fixture``)."""
     pt = t("part").select("p_partkey", "p_name", "p_retailprice")
-    # Supplier last: the fact leaves this join hash-partitioned by l_suppkey
-    # (= sales_person_id), which the sales-team join of the enrichment reuses
-    # when it is a sort-merge join, instead of shuffling the fact once more.
-    joined = (
-        li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-        .join(pt, li.l_partkey == pt.p_partkey, "inner")
-        .join(sp, li.l_suppkey == sp.s_suppkey, "inner")
-    )
+    joined = _priced(t, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    joined = joined.join(pt, F.col("l_partkey") == pt.p_partkey, "inner")
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("s_nationkey").alias("store_id"),
@@ -97,12 +100,13 @@ def _sales(t: Tables, keyed: bool) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
         F.lit(None).cast("string").alias(ADDITIONAL_COLUMN),
-        *([(F.col("l_orderkey") + F.col("l_linenumber")).alias("_spread")] if keyed else []),
+        (F.col("l_orderkey") + F.col("l_linenumber")).alias("_spread"),
     )
 
 
-def customer_dim(t: Tables) -> DataFrame:
-    c = t("customer").where(F.col("c_acctbal") >= 0)
+def customer_dim(t: Tables, reduced: bool = False) -> DataFrame:
+    c = t("customer")
+    c = c.where(F.col("c_acctbal") >= 0) if reduced else c
     n = t("nation").select("n_nationkey", "n_name")
     return c.join(n, c.c_nationkey == n.n_nationkey, "inner").select(
         F.col("c_custkey").alias("customer_id"),
@@ -115,10 +119,12 @@ def customer_dim(t: Tables) -> DataFrame:
     )
 
 
-def store_dim(t: Tables) -> DataFrame:
+def store_dim(t: Tables, reduced: bool = False) -> DataFrame:
     n = t("nation")
-    r = t("region").where(F.col("r_name") != NO_STORE_REGION)
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left_semi").select(
+    if reduced:
+        r = t("region").where(F.col("r_name") != NO_STORE_REGION)
+        n = n.join(r, n.n_regionkey == r.r_regionkey, "left_semi")
+    return n.select(
         F.col("n_nationkey").alias("id"),
         F.col("n_name").alias("address"),
         _pad("n_regionkey", 6).alias("store_pincode"),
@@ -128,14 +134,15 @@ def store_dim(t: Tables) -> DataFrame:
     )
 
 
-def sales_team_dim(t: Tables) -> DataFrame:
-    """Sales team with each store's manager = its lowest remaining key.
+def sales_team_dim(t: Tables, reduced: bool = False) -> DataFrame:
+    """Sales team with each store's manager = its lowest key.
 
     The manager is found with a grouped ``min`` (partial aggregation, one row
     per store) joined back, not a window: a store holding most of the staff
     would otherwise put all of them into one task.
     """
-    s = t("supplier").where(F.col("s_acctbal") >= 0).select("s_suppkey", "s_name", "s_nationkey")
+    s = t("supplier")
+    s = (s.where(F.col("s_acctbal") >= 0) if reduced else s).select("s_suppkey", "s_name", "s_nationkey")
     n = t("nation").select("n_nationkey", "n_name")
     managers = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
     return (
@@ -171,3 +178,7 @@ class RetailInputs:
 
     def sales_team(self) -> DataFrame:
         return sales_team_dim(self.tables)
+
+    def reduced(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Customer, store and sales team in good standing (``unmatched_sales``)."""
+        return tuple(dim(self.tables, reduced=True) for dim in (customer_dim, store_dim, sales_team_dim))
