@@ -35,8 +35,11 @@ def test_mart_totals_equal_enriched_total(spark):
 
 def test_enriched_plus_unmatched_is_input(spark):
     r, enriched = _inputs(spark)
-    lost = E.unmatched_sales(r.sales(), r.customer(), r.store(), r.sales_team())
-    assert enriched.count() + lost.agg(F.sum("n_rows")).first()[0] == r.sales().count() == 6000
+    assert E.unmatched_sales(r.sales(), r.customer(), r.store(), r.sales_team()).count() == 0
+    reduced = r.reduced()
+    enriched = E.enrich(r.sales(), *reduced)
+    lost = E.unmatched_sales(r.sales(), *reduced)
+    assert lost.count() and enriched.count() + lost.agg(F.sum("n_rows")).first()[0] == r.sales().count() == 6000
 
 
 def test_incentive_only_for_best_seller(spark):
@@ -182,3 +185,123 @@ def test_rejected_files_move_to_the_error_folder(spark):
     assert "notes.txt" in moved and "empty.csv" in moved and not (set(moved) & left)
     lines = spark.read.parquet(result.paths["quarantine_lines"]).select("file_name").distinct().count()
     assert lines == len([m for m in moved if m != "empty.csv"])
+
+
+def _zone(spark, files):
+    """A landing folder with the given relative paths and contents."""
+    import os
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="tillmart-zone-")
+    for name, text in files.items():
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write(text)
+    return f"file://{root}"
+
+
+HEADER = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost\n"
+
+
+def _dims(spark):
+    r = RetailInputs(spark, SF_SMALL)
+    return job.Dimensions(r.customer(), r.store(), r.sales_team())
+
+
+def _total(spark, result):
+    return job.read_mart(spark, result.paths["sales_mart"]).agg(F.sum("total_sales")).first()[0]
+
+
+def test_files_of_one_name_in_two_folders_both_count(spark):
+    row = "1,{},oats,2023-05-01,1,2.00,4,8.00\n".format(1)
+    zone, out = _zone(spark, {"a/same.csv": HEADER + row}), scratch_path(spark, "run-same")
+    job.run(spark, zone, _dims(spark), out, now=dt.datetime(2024, 6, 1))
+    path = zone.removeprefix("file://")
+    import os
+
+    os.makedirs(f"{path}/b")
+    with open(f"{path}/b/same.csv", "w") as f:
+        f.write(HEADER + row)
+    second = job.run(spark, zone, _dims(spark), out, now=dt.datetime(2024, 6, 2))
+    assert _total(spark, second) == Decimal("16.00")
+
+
+def test_null_dates_large_totals_and_months_per_directory(spark):
+    from tillmart.sources import fs
+
+    rows = "".join(f"1,1,oats,{1995 + i // 12}-{i % 12 + 1:02d}-01,1,2.00,4,8.00\n" for i in range(55))
+    rows += "1,1,oats,,1,2.00,4,8.00\n" + "1,1,oats,2030-01-01,1,2.00,4,120000000.00\n"
+    zone = _zone(spark, {"wide.csv": HEADER + rows, "wide2.csv": HEADER + rows})
+    result = job.run(spark, zone, _dims(spark), scratch_path(spark, "run-null"), now=dt.datetime(2024, 6, 1))
+    mart = job.read_mart(spark, result.paths["sales_mart"])
+    assert [r.total_sales for r in mart.where("sales_month is null").collect()] == [Decimal("16.00")]
+    assert mart.where("total_sales = 240000000.00").count() == 1
+    dirs = [p for p, d, _ in fs.list_dir(spark, result.paths["detail"]) if d]
+    assert len(dirs) == 57 and all(len([1 for _, d, _ in fs.list_dir(spark, p) if d]) == 1 for p in dirs)
+    try:
+        M.mart_types(mart).collect()
+        raise AssertionError("the database type cannot hold the total")
+    except Exception as e:  # noqa: BLE001
+        assert "120000000" in str(e) or "240000000" in str(e) or "OUT_OF_RANGE" in str(e).upper()
+
+
+def test_quarantine_is_written_once_and_without_valid_files(spark):
+    zone, out = _zone(spark, {"bad.csv": "a,b\n1,2\n", "x/bad.csv": "a\n3\n"}), scratch_path(spark, "run-bad")
+    for day in (1, 2):
+        try:
+            job.run(spark, zone, _dims(spark), out, now=dt.datetime(2024, 6, day))
+            raise AssertionError("expected NoValidFiles")
+        except job.NoValidFiles:
+            pass
+        from tillmart.sinks import parquet as P
+
+        lines = spark.read.parquet(P.latest_snapshot(spark, f"{out}/quarantine/lines"))
+        assert lines.count() == 4 and lines.select("path").distinct().count() == 2
+
+
+def test_moves_keep_relative_paths_and_snapshots_are_published(spark):
+    from tillmart.sinks import parquet as P
+    from tillmart.sources import fs
+
+    row = "1,1,oats,2023-05-01,1,2.00,4,8.00\n"
+    zone = _zone(spark, {"a/bad.csv": "a,b\n", "b/bad.csv": "a\n", "c/good.csv": HEADER + row})
+    errors, done, out = (scratch_path(spark, n) for n in ("errors", "done", "run-publish"))
+    result = job.run(spark, zone, _dims(spark), out, error_dir=errors, processed_dir=done, publish=True)
+    assert [fs.exists(spark, f"{errors}/{d}/bad.csv") for d in "ab"] == [True, True]
+    assert fs.exists(spark, f"{done}/c/good.csv") and not fs.exists(spark, f"{zone}/c/good.csv")
+    base = f"{out}/published/sales_partitioned"
+    assert P.latest_snapshot(spark, base) == result.paths["sales_partitioned_snapshot"] or fs.exists(spark, result.paths["sales_partitioned_snapshot"])
+    assert spark.read.parquet(result.paths["sales_partitioned_snapshot"]).count() == 1
+    from tillmart.operators import ledger as LG
+
+    state = LG.state(LG.read(spark, result.paths["ledger"])).collect()
+    assert all(r.updated_date > r.created_date for r in state)
+
+
+def test_long_numbers_are_never_cut(spark):
+    from tillmart.sources.landing_fixture import file_key
+    from tillmart.sources.tables import _pad
+
+    df = spark.sql("select 1234567890L c, 10000L p, date'2024-01-02' sales_date")
+    assert df.select(_pad("c", 8).alias("x")).first().x == "1234567890"
+    assert df.select(file_key(F.col("p")).alias("x")).first().x == "sales_2024_01_p10000.csv"
+
+
+def test_a_shared_folder_is_required_beyond_one_machine():
+    from tillmart.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    try:
+        shared_dir(Session())
+        raise AssertionError("expected an error")
+    except RuntimeError as e:
+        assert "spark.checkpoint.dir" in str(e)

@@ -44,7 +44,7 @@ def test_months_are_split_into_parts(ingested):
             "additional_column",
             lambda ing: ing.rows.groupBy("file_name", "additional_column").agg(F.count(F.lit(1)).alias("n_rows")),
         ),
-        ("csv_ingest_unified", lambda ing: ing.rows),
+        ("csv_ingest_unified", lambda ing: ing.rows.drop("path")),
     ],
 )
 def test_parts_match_oracle(con, ingested, name, frame):

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.functions.scalars import fold_extras
-from tillmart.schemas import ADDITIONAL_COLUMN, MANDATORY_COLUMNS, SALES_SCHEMA
+from tillmart.schemas import ADDITIONAL_COLUMN, LANDING_TYPES, MANDATORY_COLUMNS, MONEY, SALES_SCHEMA
 from tillmart.sources.landing import CORRUPT
 
-UNIFIED_SCHEMA = T.StructType(SALES_SCHEMA.fields + [T.StructField("file_name", T.StringType(), True)])
+UNIFIED_SCHEMA = T.StructType(
+    SALES_SCHEMA.fields + [T.StructField("file_name", T.StringType(), True), T.StructField("path", T.StringType(), True)]
+)
 
 
 def _q(name: str):
@@ -33,10 +35,18 @@ def conform(scan: DataFrame, header: list[str]) -> DataFrame:
     parsed rows are materialized (Spark refuses to query a raw CSV scan by
     its corrupt-record column alone)."""
     extras = [c for c in header if c not in MANDATORY_COLUMNS]
+    amounts = [c for c in MANDATORY_COLUMNS if LANDING_TYPES[c] == MONEY]
+    # An amount that does not fit the money type exactly is not rounded: its
+    # row is a bad row, like one that cannot be parsed.
+    inexact = reduce(lambda x, y: x | y, (_q(c).isNotNull() & ~(F.coalesce(_q(c).try_cast(MONEY) == _q(c), F.lit(False))) for c in amounts))
+    record = F.concat_ws(",", *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in header])
+    scan = scan.withColumn(CORRUPT, F.coalesce(_q(CORRUPT), F.when(inexact, record)))
+    scan = scan.withColumns({c: _q(c).try_cast(MONEY) for c in amounts})
     return scan.select(
         *[_q(c) for c in MANDATORY_COLUMNS],
         fold_extras([f"`{c}`" for c in extras]).alias(ADDITIONAL_COLUMN),
         "file_name",
+        "path",
         CORRUPT,
     )
 
@@ -46,13 +56,8 @@ def good_rows(staged: DataFrame) -> DataFrame:
 
 
 def corrupt_rows(staged: DataFrame) -> DataFrame:
-    """Rows PERMISSIVE mode could not parse: file_name and the raw record."""
-    return staged.where(F.col(CORRUPT).isNotNull()).select("file_name", F.col(CORRUPT).alias("record"))
-
-
-def empty_sales(spark: SparkSession) -> DataFrame:
-    """Typed empty frame, used only when no file is valid (S6)."""
-    return spark.createDataFrame([], UNIFIED_SCHEMA)
+    """Rows PERMISSIVE mode could not parse: path, file_name and the raw record."""
+    return staged.where(F.col(CORRUPT).isNotNull()).select("path", "file_name", F.col(CORRUPT).alias("record"))
 
 
 def union_all(frames: list[DataFrame], spark: SparkSession, schema: T.StructType = UNIFIED_SCHEMA) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The reference keeps one mutable row per file in a database table (status A
 while a run works on it, I when done).  Here the ledger is an append-only
-Parquet table of status events; the state of a file is its newest event.
+Parquet table of status events; the state of a file, known by its full path
+(two folders may hold files of one name), is its newest event.
 Appends of small event batches are cheap and never rewrite history, and the
 state is a grouped ``max_by``, so no row is ever updated in place.
 """
@@ -18,9 +19,11 @@ from tillmart.schemas import LEDGER_SCHEMA, STATUS_ACTIVE, STATUS_INACTIVE
 from tillmart.sources import fs
 
 
-def events(spark: SparkSession, paths: list[str], status: str, at: dt.datetime) -> DataFrame:
+def events(
+    spark: SparkSession, paths: list[str], status: str, at: dt.datetime, batch: str | None = None
+) -> DataFrame:
     """One ledger event per file (L2 with status A, L3 with status I)."""
-    rows = [(p.rsplit("/", 1)[-1], p, at, status) for p in paths]
+    rows = [(p.rsplit("/", 1)[-1], p, at, status, batch) for p in paths]
     return spark.createDataFrame(rows, LEDGER_SCHEMA)
 
 
@@ -35,35 +38,41 @@ def read(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 
 def state(ledger: DataFrame) -> DataFrame:
-    """file_name, file_location, status, created_date, updated_date.
+    """file_name, file_location, status, created_date, updated_date, batch.
 
-    The newest event wins; on equal timestamps I (done) beats A.
+    The newest event wins; on equal timestamps I (done) beats A.  ``batch`` is
+    that of the newest closing.
     """
     newest = F.struct("event_ts", "status")
-    return ledger.groupBy("file_name").agg(
-        F.max_by("file_location", newest).alias("file_location"),
+    closed = F.when(F.col("status") == STATUS_INACTIVE, F.col("event_ts"))
+    return ledger.groupBy("file_location").agg(
+        F.max("file_name").alias("file_name"),
         F.max_by("status", newest).alias("status"),
         F.min(F.when(F.col("status") == STATUS_ACTIVE, F.col("event_ts"))).alias("created_date"),
-        F.max(F.when(F.col("status") == STATUS_INACTIVE, F.col("event_ts"))).alias("updated_date"),
-    )
+        F.max(closed).alias("updated_date"),
+        F.max_by("batch", closed).alias("batch"),
+    ).select("file_name", "file_location", "status", "created_date", "updated_date", "batch")
 
 
 def active_files(listing: DataFrame, ledger_state: DataFrame) -> DataFrame:
     """Landed files an earlier run took up but did not finish (L1)."""
-    open_files = ledger_state.where(F.col("status") == STATUS_ACTIVE).select("file_name")
-    return listing.select("file_name").join(open_files, "file_name", "left_semi").distinct()
+    open_files = ledger_state.where(F.col("status") == STATUS_ACTIVE).select(F.col("file_location").alias("path"))
+    return listing.select("path", "file_name").join(open_files, "path", "left_semi").select("file_name")
 
 
 def pending_files(listing: DataFrame, ledger_state: DataFrame) -> DataFrame:
     """Landed CSV files not yet finished by any run (L4): the next run's input."""
-    done = ledger_state.where(F.col("status") == STATUS_INACTIVE).select("file_name")
-    return listing.where("is_csv").join(done, "file_name", "left_anti")
+    done = ledger_state.where(F.col("status") == STATUS_INACTIVE).select(F.col("file_location").alias("path"))
+    return listing.where("is_csv").join(done, "path", "left_anti")
 
 
 def compact(spark: SparkSession, ledger_path: str) -> int:
     """Fold the event files present now into at most three events per file
     (newest per status, oldest 'A'), which determine ``state`` exactly.
 
+    A maintenance step for quiet times, never part of a run: a run that has
+    listed the old files could miss them.
+
     The kept events are appended first and only then are the files read
     deleted: the log holds old plus kept events in between, which has the same
     state (duplicates do not change it), so a crash or a concurrent reader
@@ -76,20 +85,17 @@ def compact(spark: SparkSession, ledger_path: str) -> int:
     if len(before) < 2:
         return 0
     events = spark.read.schema(LEDGER_SCHEMA).parquet(*before)
-    per_status = events.groupBy("file_name", "status").agg(
-        F.max_by("file_location", "event_ts").alias("new_location"),
+    per_status = events.groupBy("file_location", "status").agg(
+        F.max("file_name").alias("file_name"),
         F.max("event_ts").alias("new_ts"),
-        F.min_by("file_location", "event_ts").alias("old_location"),
+        F.max_by("batch", "event_ts").alias("batch"),
         F.min("event_ts").alias("old_ts"),
     )
-    newest = per_status.select(
-        "file_name", F.col("new_location").alias("file_location"), F.col("new_ts").alias("event_ts"), "status"
-    )
-    oldest_active = per_status.where(F.col("status") == STATUS_ACTIVE).select(
-        "file_name", F.col("old_location").alias("file_location"), F.col("old_ts").alias("event_ts"), "status"
-    )
+    newest = per_status.withColumnRenamed("new_ts", "event_ts").drop("old_ts")
+    oldest_active = per_status.where(F.col("status") == STATUS_ACTIVE).withColumnRenamed("old_ts", "event_ts").drop("new_ts")
     kept = newest.unionByName(oldest_active).distinct()
-    kept.select(*LEDGER_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(ledger_path)
+    # As many files as the state is large: AQE sizes the write's tasks.
+    kept.select(*LEDGER_SCHEMA.fieldNames()).hint("rebalance").write.mode("append").parquet(ledger_path)
     for path in before:
         fs.delete(spark, path, recursive=False)
     return len(before)

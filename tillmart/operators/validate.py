@@ -31,9 +31,11 @@ def extra_columns(cols: Column) -> Column:
 
 
 def has_duplicate_names(cols: Column) -> Column:
-    """Spark resolves names case-insensitively and would rename duplicates."""
-    lowered = F.transform(cols, lambda x: F.lower(x))
-    return F.size(F.array_distinct(lowered)) < F.size(cols)
+    """Whether a mandatory name occurs twice (in any case): which of the
+    columns is meant cannot be told.  Repeated extra columns are renamed by
+    the probe, as Spark's reader renames them, and are no fault."""
+    known = F.filter(F.transform(cols, lambda x: F.lower(x)), lambda x: F.array_contains(mandatory(), x))
+    return F.size(F.array_distinct(known)) < F.size(known)
 
 
 def file_verdicts(listing: DataFrame, probe: DataFrame) -> DataFrame:
@@ -81,10 +83,11 @@ def quarantine_lines(spark: SparkSession, verdicts: DataFrame, error_paths: list
 
 
 def quarantine_raw_lines(spark: SparkSession, error_paths: list[str]) -> DataFrame:
-    """file_name, line: the content of rejected files, for the error table."""
+    """path, file_name, line: the content of rejected files, for the error table."""
     if not error_paths:
-        return spark.createDataFrame([], "file_name string, line string")
+        return spark.createDataFrame([], "path string, file_name string, line string")
     return spark.read.text([reader_path(p) for p in error_paths]).select(
+        meta_path().alias("path"),
         meta_name().alias("file_name"),
         F.col("value").alias("line"),
     )

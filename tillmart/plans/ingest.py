@@ -41,10 +41,6 @@ class Ingested:
     valid_paths: list[str]
     error_paths: list[str]
 
-    @property
-    def valid_names(self) -> list[str]:
-        return [p.rsplit("/", 1)[-1] for p in self.valid_paths]
-
 
 def ingest(
     spark: SparkSession,

@@ -1,27 +1,36 @@
 """One full batch run over a landing zone (C3 of the survey).
 
-    listing -> header probe -> verdicts -> ledger 'A' -> quarantine sinks
+    listing -> header probe -> verdicts -> ledger 'A' -> quarantine
     -> parsed rows (staged Parquet) -> enrich -> detail store (Parquet,
-    partitioned by month and source file) -> detail marts, month/store
-    partitioned mart,
-    monthly customer and sales-team marts -> ledger 'I'
+    partitioned by month and run) -> detail marts, month/store partitioned
+    mart, monthly customer and sales-team marts -> lost sales -> ledger 'I'
+    -> published snapshots, moves of rejected and processed files
 
 Failure model: every output is a Parquet directory written by Spark's
 committer, so a lost executor only re-runs its tasks.  Marts are written
 before the ledger marks files done; a run that dies in between leaves them
 'A' (reported by ``active_files`` on the next run) and re-processing them
 replaces the same month partitions (dynamic partition overwrite), so
-running twice equals running once.  The detail is stored by (month, source
-file), so a month's files may arrive over several runs: each run replaces the
-rows of its own files and rebuilds the marts of its months from all of them.
+running twice equals running once.
+
+The detail is stored by (month, run), rows with the path of their file: as many
+directories as months per run, whatever the number of files.  A row counts if
+the ledger's newest closing of its file names its run, so rows of a run that
+died, or of a file that was taken up again, are passed over; a month's files may
+arrive over several runs, and each run rebuilds the marts of its months.
+Quarantine tables are complete snapshots: a run's files replace their own
+earlier rows, so taking a rejected file again adds nothing.  Files are moved
+last, each to its path below the landing folder, so equal names never meet.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.operators import enrich as E
@@ -35,10 +44,6 @@ from tillmart.sources import fs
 from tillmart.sources import landing as L
 
 
-# Ledger entries (files and checksums) above which a run compacts it first.
-LEDGER_COMPACT_FILES = 64
-
-
 class NoValidFiles(RuntimeError):
     """The landing zone holds no file that passes validation."""
 
@@ -69,6 +74,36 @@ def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     )
 
 
+def _snapshot(new: DataFrame, base: str, taken: DataFrame) -> str:
+    """A complete new snapshot: the last one without the rows of the ``taken``
+    paths, plus ``new``; returns its location."""
+    spark = new.sparkSession
+    last, at = P.latest_snapshot(spark, base), time.time()
+    if last:
+        at = max(at, int(last.rsplit("/", 1)[-1]) / 1000 + 1)
+        old = spark.read.schema(new.schema).parquet(last)
+        new = old.join(taken.select("path"), "path", "left_anti").unionByName(new)
+    return P.write_snapshot(new, base, now=at)
+
+
+def _in_months(months: list[str | None]) -> Column:
+    """The months, NULL among them if it is."""
+    known = F.col("sales_month").isin([m for m in months if m is not None])
+    return known | F.col("sales_month").isNull() if None in months else known
+
+
+def _move(spark: SparkSession, files: list[str], landing_dir: str, target: str) -> None:
+    """Files below ``landing_dir`` to the same relative paths below ``target``."""
+    root = fs.qualified(spark, landing_dir)
+
+    def place(path: str) -> str:
+        full = fs.qualified(spark, path)
+        below = full[len(root) :].lstrip("/") if full.startswith(root.rstrip("/") + "/") else full.rsplit("/", 1)[-1]
+        return f"{target.rstrip('/')}/{below}"
+
+    run_all(*[lambda p=p: fs.rename(spark, p, place(p)) for p in files])
+
+
 def run(
     spark: SparkSession,
     landing_dir: str,
@@ -76,22 +111,29 @@ def run(
     out_dir: str,
     now: dt.datetime | None = None,
     error_dir: str | None = None,
+    processed_dir: str | None = None,
+    publish: bool = False,
 ) -> RunResult:
     """Process the pending files of ``landing_dir`` into marts under ``out_dir``.
 
-    With ``error_dir``, rejected files are also moved there (exact names, as
-    the reference moves them to its error prefix) once their lines are in the
-    quarantine table; without it the landing zone is left as it is."""
+    ``now`` is the start of the run in the ledger (files are closed at the time
+    that has passed since then).  With ``error_dir``, rejected files are moved
+    there once their lines are in the quarantine table, with ``processed_dir``
+    finished files once they are closed; without them the landing zone is left
+    as it is.  ``publish`` also writes the detail marts and the partitioned mart
+    as snapshots named by epoch milliseconds.
+
+    Raises ``NoValidFiles`` if no file is valid, after the quarantine is written."""
     apply_defaults(spark)
+    began = time.monotonic()
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    batch = f"b{now:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
     out = out_dir.rstrip("/")
     paths = {
         "ledger": f"{out}/ledger",
-        "quarantine_files": f"{out}/quarantine/files",
-        "quarantine_lines": f"{out}/quarantine/lines",
-        "quarantine_rows": f"{out}/quarantine/rows",
-        "staged": f"{out}/staging/parsed",
+        "staged": f"{out}/staging/parsed-{batch}",
         "detail": f"{out}/detail",
+        "lost_sales": f"{out}/lost_sales",
         "customer_detail": f"{out}/customer_detail_mart",
         "sales_team_detail": f"{out}/sales_team_detail_mart",
         "sales_partitioned": f"{out}/sales_partitioned_mart",
@@ -99,11 +141,6 @@ def run(
         "sales_mart": f"{out}/sales_team_data_mart",
     }
 
-    # Keep the state read cheap over many runs: fold the ledger's small event
-    # files once there are many (same state before and after).
-    if len(fs.list_dir(spark, paths["ledger"])) > LEDGER_COMPACT_FILES:
-        LG.compact(spark, paths["ledger"])
-
     # L1/L4: which landed files still need work, and which an earlier run left open.
     # One row per landed file, listed once and kept as a local frame.
     listing = spark.createDataFrame(L.list_files(spark, landing_dir).collect(), L.LISTED_SCHEMA)
@@ -116,39 +153,49 @@ def run(
 
     # S3-S4, V1-V5: verdicts, then one parse of the good files (staged).
     ing = ingest(spark, paths=sorted(files), lengths=files, staging=paths["staged"])
+    # V4/V5 sinks: rejected files, their raw lines, unparsable rows.
+    taken = spark.createDataFrame([(p,) for p in sorted(files)], "path string")
+    rejected = ing.verdicts.where(F.col("verdict") == V.ERROR)
+    tables = {
+        "quarantine_files": rejected,
+        "quarantine_lines": V.quarantine_raw_lines(spark, ing.error_paths),
+        "quarantine_rows": ing.corrupt,
+    }
+
+    def quarantine(name: str) -> None:
+        paths[name] = _snapshot(tables[name], f"{out}/quarantine/{name.split('_')[1]}", taken)
+
+    run_all(*[lambda n=n: quarantine(n) for n in tables])
     if not ing.valid_paths:
+        if error_dir:
+            _move(spark, ing.error_paths, landing_dir, error_dir)
         raise NoValidFiles(f"no valid file under {landing_dir}")
     LG.append(LG.events(spark, ing.valid_paths, "A", now), paths["ledger"])
 
-    # J0: enrich once and store by (month, source file): re-processing a file
-    # replaces only its own rows, and files of one month may arrive in
-    # different runs.  Every mart reads the stored detail.
-    enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team, carry=("file_name",))
-    months = enriched.withColumn("sales_month", M.sales_month("sales_date"))
-    # V4/V5 sinks (rejected files, their raw lines, unparsable rows) and the
-    # detail store are independent jobs: submitted together.
+    # J0: enrich once and store by (month, run).  Every mart reads the stored
+    # detail; J4: what the inner joins drop is counted per dimension and key.
+    enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team, carry=("path",))
+    months = enriched.withColumns({"sales_month": M.sales_month("sales_date"), "batch": F.lit(batch)})
+    lost = E.unmatched_sales(ing.rows, dims.customer, dims.store, dims.sales_team)
     run_all(
-        lambda: ing.verdicts.where(F.col("verdict") == V.ERROR).write.mode("append").parquet(paths["quarantine_files"]),
-        lambda: V.quarantine_raw_lines(spark, ing.error_paths).write.mode("append").parquet(paths["quarantine_lines"]),
-        lambda: ing.corrupt.write.mode("append").parquet(paths["quarantine_rows"]),
-        lambda: _dynamic(months, paths["detail"], ("sales_month", "file_name")),
+        lambda: _dynamic(months, paths["detail"], ("sales_month", "batch")),
+        lambda: _dynamic(lost.withColumn("batch", F.lit(batch)), paths["lost_sales"], ("batch",)),
     )
-    if error_dir:
-        target = error_dir.rstrip("/")
-        run_all(*[lambda p=p: fs.rename(spark, p, f"{target}/{p.rsplit('/', 1)[-1]}") for p in ing.error_paths])
 
     # Months this run brought, from the staged rows (one column of stored
     # Parquet; the enrichment is not run a second time for it).  Their marts
-    # are rebuilt from the detail of every file of those months, this run's
-    # and earlier runs'.
+    # are rebuilt from the detail of every file of those months that counts:
+    # this run's, and what the ledger has closed.
     touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
-    detail = (
-        spark.read.parquet(paths["detail"]).where(F.col("sales_month").isin(touched)).drop("file_name")
-    )
+    mine = spark.createDataFrame([(p, batch) for p in ing.valid_paths], "path string, batch string")
+    closed = state.where(F.col("batch").isNotNull()).select(F.col("file_location").alias("path"), "batch")
+    counted = closed.join(mine, "path", "left_anti").unionByName(mine)
+    stored = spark.read.parquet(paths["detail"]).where(_in_months(touched))
+    detail = stored.join(counted, ["path", "batch"], "left_semi").drop("path", "batch")
 
     # O1/O2: detail marts and the month/store partitioned mart; C1/C2 + O6:
-    # monthly marts in the target types, one partition per month.  All read
-    # the stored detail and write separate outputs: submitted together.
+    # monthly marts, one partition per month.  All read the stored detail and
+    # write separate outputs: submitted together.
     team_detail = M.sales_team_detail(detail)
     customer_detail = M.customer_detail(detail)
     customer_mart = M.conform_customer_mart(M.customer_monthly(customer_detail))
@@ -168,7 +215,16 @@ def run(
     )
 
     # L3: only now, after every write above succeeded, are this run's files done.
-    LG.append(LG.events(spark, ing.valid_paths, "I", now), paths["ledger"])
+    done = now + dt.timedelta(seconds=max(1, round(time.monotonic() - began)))
+    LG.append(LG.events(spark, ing.valid_paths, "I", done, batch), paths["ledger"])
+    if publish:
+        for name, keys in (("customer_detail", ()), ("sales_team_detail", ()), ("sales_partitioned", P.PARTITION_KEYS)):
+            whole = read_mart(spark, paths[name])
+            paths[f"{name}_snapshot"] = P.write_snapshot(whole, f"{out}/published/{name}", partition_by=keys)
+    if error_dir:
+        _move(spark, ing.error_paths, landing_dir, error_dir)
+    if processed_dir:
+        _move(spark, ing.valid_paths, landing_dir, processed_dir)
     return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths)
 
 

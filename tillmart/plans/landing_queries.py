@@ -83,14 +83,14 @@ def q_additional_column(spark, sf_dir):
 
 def q_csv_ingest_unified(spark, sf_dir):
     _, ing = landed(spark, sf_dir)
-    return ing.rows
+    return ing.rows.drop("path")
 
 
 def q_empty_input(spark, sf_dir):
     """A run whose files are all rejected yields a typed, empty frame."""
     _, ing = landed(spark, sf_dir)
     rejected = [p for p in ing.error_paths if p.endswith(".csv")]
-    return ingest(spark, paths=rejected).rows
+    return ingest(spark, paths=rejected).rows.drop("path")
 
 
 # --- step 5: ledger ------------------------------------------------------------
@@ -177,7 +177,7 @@ def q_stream_file_ingest(spark, sf_dir):
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return S.read_rows(spark, out)
+    return S.read_rows(spark, out).drop("path")
 
 
 LANDING_QUERIES.update({"end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

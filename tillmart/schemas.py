@@ -30,10 +30,11 @@ STATUS_INACTIVE = "I"
 # -----------------------------------------------------------------------------
 
 ADDITIONAL_COLUMN = "additional_column"
-SALES_COLUMNS = MANDATORY_COLUMNS + [ADDITIONAL_COLUMN]
 
 MONEY = T.DecimalType(18, 2)
 MART_MONEY = T.DecimalType(10, 2)
+# Money as read from a file, before it is checked to have at most two places.
+READ_MONEY = T.DecimalType(38, 18)
 
 # Types of the mandatory columns when read from a landing CSV.  Keys are wide
 # (long) so that the provided test tables and real landing files share them.
@@ -53,48 +54,13 @@ SALES_SCHEMA = T.StructType(
     + [T.StructField(ADDITIONAL_COLUMN, T.StringType(), True)]
 )
 
-CUSTOMER_SCHEMA = T.StructType(
-    [
-        T.StructField("customer_id", T.LongType(), True),
-        T.StructField("first_name", T.StringType(), True),
-        T.StructField("last_name", T.StringType(), True),
-        T.StructField("address", T.StringType(), True),
-        T.StructField("pincode", T.StringType(), True),
-        T.StructField("phone_number", T.StringType(), True),
-        T.StructField("customer_joining_date", T.DateType(), True),
-    ]
-)
-
-STORE_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.IntegerType(), True),
-        T.StructField("address", T.StringType(), True),
-        T.StructField("store_pincode", T.StringType(), True),
-        T.StructField("store_manager_name", T.StringType(), True),
-        T.StructField("store_opening_date", T.DateType(), True),
-        T.StructField("reviews", T.StringType(), True),
-    ]
-)
-
-SALES_TEAM_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType(), True),
-        T.StructField("first_name", T.StringType(), True),
-        T.StructField("last_name", T.StringType(), True),
-        T.StructField("manager_id", T.LongType(), True),
-        T.StructField("is_manager", T.StringType(), True),
-        T.StructField("address", T.StringType(), True),
-        T.StructField("pincode", T.StringType(), True),
-        T.StructField("joining_date", T.DateType(), True),
-    ]
-)
-
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("file_name", T.StringType(), False),
         T.StructField("file_location", T.StringType(), True),
         T.StructField("event_ts", T.TimestampType(), False),
         T.StructField("status", T.StringType(), False),
+        T.StructField("batch", T.StringType(), True),  # the run that wrote the file's rows
     ]
 )
 

@@ -7,7 +7,6 @@ checkpoint directory, file split size) always win.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -67,7 +66,8 @@ def apply_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private one created.
+    A session without one is an error: a folder on one machine would lose or
+    hide working tables on a cluster.  ``build_session`` sets one for local runs.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -76,9 +76,11 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() appends a per-application id; use its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
-    local = tempfile.mkdtemp(prefix="tillmart-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if spark.sparkContext.master.startswith("local["):
+        # One machine, one process: a private folder is shared by all there is.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillmart-ckpt-"))
+        return shared_dir(spark)
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -86,13 +88,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tillmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def as_uri(path: str) -> str:
-    """Local absolute paths become ``file:`` URIs; URIs pass through."""
-    if "://" in path or path.startswith("file:"):
-        return path
-    return "file://" + os.path.abspath(path)
-
-
 # Driver threads submitting jobs at once, at most.
 MAX_CONCURRENT_JOBS = 16
 

@@ -25,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, in the file system's own spelling."""
+    fs, p = _fs(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
 def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
     """(full path, is_directory, length) of the direct children of ``path``."""
     fs, p = _fs(spark, path)

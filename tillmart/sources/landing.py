@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.functions.scalars import base_name
-from tillmart.schemas import LANDING_TYPES
+from tillmart.schemas import LANDING_TYPES, MANDATORY_COLUMNS, MONEY, READ_MONEY
 from tillmart.session import run_all
 
 CORRUPT = "_corrupt_record"
@@ -115,16 +115,23 @@ def with_names(listing: DataFrame) -> DataFrame:
 
 def header_columns(line: Column) -> Column:
     """Header line -> array of column names, as Spark's CSV reader names them:
-    surrounding quotes removed (doubled quotes unescaped), blanks kept, an
-    empty name becomes ``_c<index>``.  A leading BOM is dropped."""
+    split at commas outside quotes, surrounding quotes removed (doubled quotes
+    unescaped), blanks kept, an empty name becomes ``_c<index>``, repeated names
+    (in any case) beyond the mandatory ones get their index appended.  A
+    leading BOM is dropped."""
     clean = F.regexp_replace(line, "^﻿", "")
-    raw = F.split(clean, ",", -1)
+    raw = F.split(clean, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
     unquoted = F.transform(
         raw, lambda x: F.regexp_replace(F.regexp_replace(x, r'^"(.*)"$', "$1"), '""', '"')
     )
+    lowered = F.transform(unquoted, lambda x: F.lower(x))
+    fixed = F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
+    repeated = lambda x: (F.size(F.filter(lowered, lambda y: y == F.lower(x))) > 1) & ~F.array_contains(fixed, F.lower(x))
     return F.transform(
         unquoted,
-        lambda x, i: F.when(x == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(x),
+        lambda x, i: F.when(x == "", F.concat(F.lit("_c"), i.cast("string")))
+        .when(repeated(x), F.concat(x, i.cast("string")))
+        .otherwise(x),
     )
 
 
@@ -138,7 +145,7 @@ def first_line(spark: SparkSession, path: str) -> tuple[str, str | None]:
     split: a ``limit(1)`` job stops after one row."""
     rows = (
         spark.read.text(reader_path(path))
-        .where(F.col("_metadata.file_block_start") == 0)
+        .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(meta_path().alias("p"), "value")
         .limit(1)
         .collect()
@@ -170,7 +177,7 @@ def probe_headers(
                 meta_path().alias("_path"),
                 F.col("_metadata.file_block_start").alias("_block"),
             )
-            .where(F.col("_block") == 0)
+            .where((F.col("_block") == 0) & (F.trim("value") != ""))  # blank lines before the header are skipped
             .withColumn("_seq", F.monotonically_increasing_id())
         )
         parts.append(lines.groupBy("_path").agg(F.min_by("value", "_seq").alias("header_line")))
@@ -194,7 +201,8 @@ def probe_headers(
 def scan_schema(columns: list[str]) -> T.StructType:
     """Schema for one header: mandatory columns typed, others text, plus the
     corrupt-record column that PERMISSIVE mode fills for unparsable rows."""
-    fields = [T.StructField(c, LANDING_TYPES.get(c, T.StringType()), True) for c in columns]
+    types = {c: READ_MONEY if t == MONEY else t for c, t in LANDING_TYPES.items()}
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in columns]
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
@@ -216,7 +224,7 @@ def scan_by_header(spark: SparkSession, files: list[tuple[str, list[str]]]) -> l
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("dateFormat", "yyyy-MM-dd")
             .csv([reader_path(p) for p in sorted(paths)])
-            .withColumn("file_name", meta_name())
+            .withColumns({"file_name": meta_name(), "path": meta_path()})
         )
         scans.append((list(cols), df))
     return scans
