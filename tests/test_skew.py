@@ -74,3 +74,28 @@ def test_rank_join_back_splits_a_hot_tie(spark):
         assert "skew=true" in _final_plan(out)
         got = out.where("g = 'hot'").select("rnk").distinct().collect()
         assert [r.rnk for r in got] == [rows.where("g = 'hot' AND v > 1000").count() + 1]
+
+
+def test_hot_salesperson_is_split_in_the_enrichment(spark):
+    """60 % of the sales on one salesperson: the fact comes out of a join on the
+    salesperson, so both that join and the sales-team join must be split."""
+    from conftest import SF_SMALL
+    from tillmart.operators import enrich as E
+    from tillmart.sources.tables import RetailInputs
+
+    r = RetailInputs(spark, SF_SMALL)
+    team = r.sales_team()
+    person = F.when(F.col("id") % 5 < 3, F.lit(1)).otherwise(F.col("id") % 10 + 1).cast("long")
+    facts = spark.range(60_000).select(
+        (F.col("id") % 100 + 1).alias("customer_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 60).cast("int")).alias("sales_date"),
+        person.alias("sales_person_id"), (F.col("id") % 90).cast("decimal(18,2)").alias("total_cost"),
+    )
+    with conf(spark, {**SKEW_CONF, "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}):
+        where = spark.read.parquet(f"{SF_SMALL}/supplier.parquet").select(
+            F.col("s_suppkey").alias("sales_person_id"), F.col("s_nationkey").alias("store_id")
+        )
+        sales = facts.join(where, "sales_person_id")
+        out = E.enrich(sales, r.customer(), r.store(), team)
+        plan = _final_plan(out)
+        assert plan.count("skew=true") >= 2, plan
+        assert out.count() == sales.join(r.customer().select("customer_id"), "customer_id", "left_semi").count()

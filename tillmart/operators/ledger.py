@@ -15,16 +15,25 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.functions.scalars import base_name
 from tillmart.schemas import LEDGER_SCHEMA, STATUS_ACTIVE, STATUS_INACTIVE
 from tillmart.sources import fs
 
 
 def events(
-    spark: SparkSession, paths: list[str], status: str, at: dt.datetime, batch: str | None = None
+    spark: SparkSession, files: DataFrame | list[str], status: str, at: dt.datetime, batch: str | None = None
 ) -> DataFrame:
-    """One ledger event per file (L2 with status A, L3 with status I)."""
-    rows = [(p.rsplit("/", 1)[-1], p, at, status, batch) for p in paths]
-    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+    """One ledger event per file (L2 with status A, L3 with status I): of the
+    ``path`` column of a frame, such as the stored verdicts, or of given paths."""
+    if not isinstance(files, DataFrame):
+        files = spark.createDataFrame([(p,) for p in files], "path string")
+    return files.select(
+        base_name("path").alias("file_name"),
+        F.col("path").alias("file_location"),
+        F.lit(at).alias("event_ts"),
+        F.lit(status).alias("status"),
+        F.lit(batch).cast("string").alias("batch"),
+    )
 
 
 def append(events_df: DataFrame, ledger_path: str) -> None:

@@ -1,7 +1,6 @@
 """Landing zone -> unified sales rows (E1 of the reference's run).
 
-listing -> one header-probe job -> verdicts (one row per file, kept on the
-driver as the plan's input) -> one CSV scan per distinct header -> conform ->
+listing -> one header-probe job -> verdicts (one stored row per file) -> one CSV scan per distinct header -> conform ->
 UNION ALL by name.  Rejected files and unparsable rows are returned for the
 quarantine sinks; nothing is dropped silently.
 """
@@ -11,28 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tillmart.operators import conform as C
 from tillmart.operators import validate as V
 from tillmart.session import scratch_path
+from tillmart.sinks.parquet import stage
 from tillmart.sources import landing as L
 
-VERDICT_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType(), True),
-        T.StructField("file_name", T.StringType(), True),
-        T.StructField("is_csv", T.BooleanType(), True),
-        T.StructField("header_line", T.StringType(), True),
-        T.StructField("header_cols", T.ArrayType(T.StringType()), True),
-        T.StructField("missing", T.ArrayType(T.StringType()), True),
-        T.StructField("extra", T.ArrayType(T.StringType()), True),
-        T.StructField("verdict", T.StringType(), True),
-        T.StructField("reason", T.StringType(), True),
-    ]
-)
-
-
 @dataclass
 class Ingested:
     verdicts: DataFrame  # one row per landed file
@@ -74,9 +58,10 @@ def ingest(
     big_set = set(big)
     scanned = [r.path for r in rows if r.is_csv and r.path not in big_set]
     probe = L.probe_headers(spark, listing, scanned, big)
-    # One small row per file: materialized once so later steps do not re-probe.
-    verdict_rows = V.file_verdicts(listing, probe).collect()
-    verdicts = spark.createDataFrame(verdict_rows, VERDICT_SCHEMA)
+    # Written once, so later steps read them instead of probing again; what the
+    # readers need (paths by header) comes to the driver as their path lists.
+    verdicts = stage(V.file_verdicts(listing, probe), scratch_path(spark, "ingest-verdicts"))
+    verdict_rows = verdicts.select("path", "verdict", "header_cols").collect()
     valid = [(r.path, list(r.header_cols)) for r in verdict_rows if r.verdict == V.VALID]
     errors = [r.path for r in verdict_rows if r.verdict == V.ERROR]
     scans = L.scan_by_header(spark, valid)

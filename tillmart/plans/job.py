@@ -170,7 +170,8 @@ def run(
         if error_dir:
             _move(spark, ing.error_paths, landing_dir, error_dir)
         raise NoValidFiles(f"no valid file under {landing_dir}")
-    LG.append(LG.events(spark, ing.valid_paths, "A", now), paths["ledger"])
+    good = ing.verdicts.where(F.col("verdict") == V.VALID)
+    LG.append(LG.events(spark, good, "A", now), paths["ledger"])
 
     # J0: enrich once and store by (month, run).  Every mart reads the stored
     # detail; J4: what the inner joins drop is counted per dimension and key.
@@ -187,7 +188,7 @@ def run(
     # are rebuilt from the detail of every file of those months that counts:
     # this run's, and what the ledger has closed.
     touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
-    mine = spark.createDataFrame([(p, batch) for p in ing.valid_paths], "path string, batch string")
+    mine = good.select("path", F.lit(batch).alias("batch"))
     closed = state.where(F.col("batch").isNotNull()).select(F.col("file_location").alias("path"), "batch")
     counted = closed.join(mine, "path", "left_anti").unionByName(mine)
     stored = spark.read.parquet(paths["detail"]).where(_in_months(touched))
@@ -216,7 +217,7 @@ def run(
 
     # L3: only now, after every write above succeeded, are this run's files done.
     done = now + dt.timedelta(seconds=max(1, round(time.monotonic() - began)))
-    LG.append(LG.events(spark, ing.valid_paths, "I", done, batch), paths["ledger"])
+    LG.append(LG.events(spark, good, "I", done, batch), paths["ledger"])
     if publish:
         for name, keys in (("customer_detail", ()), ("sales_team_detail", ()), ("sales_partitioned", P.PARTITION_KEYS)):
             whole = read_mart(spark, paths[name])

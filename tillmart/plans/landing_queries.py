@@ -102,14 +102,11 @@ RUN2_OPEN = dt.datetime(2024, 1, 2, 0, 0, 0)
 SPLIT_YEAR = 2000
 
 
-def _year_of(path: str) -> int:
-    return int(path.rsplit("/", 1)[-1].split("_")[1])
-
-
 def ledger_history(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     landing, ing = landed(spark, sf_dir)
-    early = [p for p in ing.valid_paths if _year_of(p) < SPLIT_YEAR]
-    late = [p for p in ing.valid_paths if _year_of(p) >= SPLIT_YEAR]
+    valid = ing.verdicts.where(F.col("verdict") == V.VALID)
+    year = F.split_part("file_name", F.lit("_"), F.lit(2)).cast("int")
+    early, late = valid.where(year < SPLIT_YEAR), valid.where(year >= SPLIT_YEAR)
     path = scratch_path(spark, "ledger")
     LG.append(LG.events(spark, early, "A", RUN1_OPEN), path)
     LG.append(LG.events(spark, early, "I", RUN1_CLOSE), path)

@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The salesperson joins share one partitioning of the fact; splitting a hot
+    # salesperson is worth the extra shuffle that it can cost.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # Partitioned writes cost one file per (partition value, task): a small
     # shuffle coalesced into one task writes every file serially.  A smaller

@@ -20,7 +20,6 @@ batch (they carry no data).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.operators import conform as C
@@ -90,12 +89,3 @@ def read_rows(spark: SparkSession, out_dir: str) -> DataFrame:
 def read_corrupt(spark: SparkSession, out_dir: str) -> DataFrame:
     """Unparsable rows of every committed batch: file_name, record."""
     return C.corrupt_rows(_parsed(spark, out_dir))
-
-
-def batches(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Files per batch, from the stored verdicts."""
-    return (
-        spark.read.parquet(f"{out_dir.rstrip('/')}/verdicts")
-        .groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("n_files"))
-    )
