@@ -210,7 +210,7 @@ def plain_shingles(text):
 def test_containment_of_planted_items(spark):
     items = [(i, " ".join(f"i{i}w{j}" for j in range(n))) for i, n in enumerate([5, 9, 14, 30, 64, 100, 129])]
     items += [(50, None), (51, ""), (52, "only four words here")]
-    docs, k = [], 0
+    docs, k = [], 1000
     for i, text in items[:7]:
         w = text.split()
         for part in (0.5, 0.78, 0.8, 0.82, 0.9, 1.0):
