@@ -37,8 +37,7 @@ def ingest(
     whose byte lengths the caller may already know from its own listing).
 
     Actions: the listing (skipped when ``lengths`` is given), the header probe
-    (one text-scan job, plus one small job per multi-split file when there are
-    few), and one write of the parsed rows to ``staging`` (a fresh folder
+    (one text-scan job), and one write of the parsed rows to ``staging`` (a fresh folder
     under the shared checkpoint folder by default)."""
     if paths is None:
         listed = L.list_files(spark, landing_dir)
@@ -49,15 +48,7 @@ def ingest(
     # One small row per file, kept as a local frame: the listing job runs once.
     rows = listed.collect()
     listing = spark.createDataFrame(rows, L.LISTED_SCHEMA)
-    # Files of several splits are probed one by one (first bytes only) when
-    # they are few; one-split files, or many big ones, by one text scan.
-    split = L.split_bytes(spark)
-    big = [r.path for r in rows if r.is_csv and r.length > split]
-    if len(big) > L.MAX_BIG_FILE_PROBES:
-        big = []
-    big_set = set(big)
-    scanned = [r.path for r in rows if r.is_csv and r.path not in big_set]
-    probe = L.probe_headers(spark, listing, scanned, big)
+    probe = L.probe_headers(spark, listing, [r.path for r in rows if r.is_csv])
     # Written once, so later steps read them instead of probing again; what the
     # readers need (paths by header) comes to the driver as their path lists.
     verdicts = stage(V.file_verdicts(listing, probe), scratch_path(spark, "ingest-verdicts"))

@@ -24,16 +24,12 @@ from pyspark.sql import types as T
 
 from tillmart.functions.scalars import base_name
 from tillmart.schemas import LANDING_TYPES, MANDATORY_COLUMNS, MONEY, READ_MONEY
-from tillmart.session import run_all
 
 CORRUPT = "_corrupt_record"
 LISTING_SCHEMA = "path string"
 _SCHEME_SLASHES = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
 _GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
 LISTED_SCHEMA = "path string, file_name string, is_csv boolean, length long"
-# At most this many multi-split files are probed by their own small jobs;
-# beyond it one text scan probes every file.
-MAX_BIG_FILE_PROBES = 256
 
 
 def list_files(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -135,58 +131,26 @@ def header_columns(line: Column) -> Column:
     )
 
 
-def split_bytes(spark: SparkSession) -> int:
-    """The session's file split size (``spark.sql.files.maxPartitionBytes``)."""
-    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-
-
-def first_line(spark: SparkSession, path: str) -> tuple[str, str | None]:
-    """(path, first line) of one file, reading only the start of its first
-    split: a ``limit(1)`` job stops after one row."""
-    rows = (
-        spark.read.text(reader_path(path))
-        .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
-        .select(meta_path().alias("p"), "value")
-        .limit(1)
-        .collect()
-    )
-    return (rows[0].p, rows[0].value) if rows else (path, None)
-
-
-def probe_headers(
-    spark: SparkSession, listing: DataFrame, csv_paths: list[str], big_paths: list[str] | None = None
-) -> DataFrame:
+def probe_headers(spark: SparkSession, listing: DataFrame, csv_paths: list[str]) -> DataFrame:
     """path, file_name, header_line, header_cols for every CSV file.
 
-    ``csv_paths`` are probed by one text scan (each file is read whole, so
-    this suits files of one split); ``big_paths`` (files of several splits)
-    by one small job each, run concurrently, reading only their first bytes.
-    Empty files get NULL header fields (left join from the listing).
+    One text scan for all files, whatever their size or number: lines are cut,
+    nothing is parsed, and one row per file leaves the map side.  Empty files
+    get NULL header fields (left join from the listing).
     """
     csv_files = listing.where("is_csv")
-    parts = []
-    if big_paths:
-        found: list[tuple[str, str | None]] = []
-        run_all(*[lambda p=p: found.append(first_line(spark, p)) for p in big_paths])
-        parts.append(spark.createDataFrame(found, "_path string, header_line string"))
-    if csv_paths:
-        lines = (
-            spark.read.text([reader_path(p) for p in csv_paths])
-            .select(
-                "value",
-                meta_path().alias("_path"),
-                F.col("_metadata.file_block_start").alias("_block"),
-            )
-            .where((F.col("_block") == 0) & (F.trim("value") != ""))  # blank lines before the header are skipped
-            .withColumn("_seq", F.monotonically_increasing_id())
-        )
-        parts.append(lines.groupBy("_path").agg(F.min_by("value", "_seq").alias("header_line")))
-    if not parts:
+    if not csv_paths:
         return csv_files.select(
             "path", "file_name", F.lit(None).cast("string").alias("header_line"),
             F.lit(None).cast("array<string>").alias("header_cols"),
         )
-    first = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    lines = (
+        spark.read.text([reader_path(p) for p in csv_paths])
+        .select("value", meta_path().alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+        .where((F.col("_block") == 0) & (F.trim("value") != ""))  # blank lines before the header are skipped
+        .withColumn("_seq", F.monotonically_increasing_id())
+    )
+    first = lines.groupBy("_path").agg(F.min_by("value", "_seq").alias("header_line"))
     return (
         csv_files.join(first, F.col("path") == F.col("_path"), "left")
         .select(
