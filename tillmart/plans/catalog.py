@@ -71,7 +71,8 @@ def q_sales_incentive_mart(spark, sf_dir):
 
 
 def q_customer_monthly_mart(spark, sf_dir):
-    return M.customer_monthly(M.customer_detail(enriched(spark, sf_dir)))
+    r = _inputs(spark, sf_dir)
+    return M.customer_monthly_of_sales(r.sales(), r.customer(), r.store(), r.sales_team())
 
 
 def q_customer_monthly_window(spark, sf_dir):
