@@ -200,8 +200,17 @@ def q_snapshot_mart(spark, sf_dir):
     return spark.read.parquet(P.latest_snapshot(spark, base))
 
 
+def q_partitioned_snapshot(spark, sf_dir):
+    """The (month, store) partitioned mart published as a snapshot, read back."""
+    base = scratch_path(spark, "sales_partitioned_snapshots")
+    detail = M.sales_team_detail(enriched(spark, sf_dir))
+    P.write_snapshot(detail, base, partition_by=P.PARTITION_KEYS)
+    return P.read_partitioned(spark, P.latest_snapshot(spark, base), detail.schema).select(*detail.columns)
+
+
 QUERIES.update(
     {
+        "partitioned_snapshot": q_partitioned_snapshot,
         "customer_detail_mart": q_customer_detail_mart,
         "sales_team_detail_mart": q_sales_team_detail_mart,
         "partitioned_mart": q_partitioned_mart,

@@ -151,18 +151,36 @@ LANDING_QUERIES = {
 RUN_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
-def q_end_to_end_run(spark, sf_dir):
-    """Landing zone -> marts in one run; returns the sales-team mart as stored."""
+def _run(spark, sf_dir):
     from tillmart.plans import job
     from tillmart.sources.tables import RetailInputs
 
     landing = landing_for(spark, sf_dir)
     r = RetailInputs(spark, sf_dir)
     dims = job.Dimensions(r.customer(), r.store(), r.sales_team())
-    result = job.run(spark, landing, dims, scratch_path(spark, "run"), now=RUN_AT)
+    return job, job.run(spark, landing, dims, scratch_path(spark, "run"), now=RUN_AT)
+
+
+def q_end_to_end_run(spark, sf_dir):
+    """Landing zone -> marts in one run; returns the sales-team mart as stored."""
+    job, result = _run(spark, sf_dir)
     return job.read_mart(spark, result.paths["sales_mart"])
 
 
+def q_run_customer_mart(spark, sf_dir):
+    """The customer mart as a run stores it."""
+    job, result = _run(spark, sf_dir)
+    return job.read_mart(spark, result.paths["customer_mart"])
+
+
+def q_run_quarantine(spark, sf_dir):
+    """The rejected files of a run with the number of their quarantined lines."""
+    _, result = _run(spark, sf_dir)
+    files = spark.read.parquet(result.paths["quarantine_files"]).select("path", "file_name", "reason")
+    lines = spark.read.parquet(result.paths["quarantine_lines"]).groupBy("path").agg(F.count("*").alias("n"))
+    return files.join(lines, "path", "left").select("file_name", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n_lines"))
+
+
 def q_stream_file_ingest(spark, sf_dir):
     """The landing zone ingested by a Structured Streaming query, in
     micro-batches of at most 16 files; returns every ingested row."""
@@ -177,4 +195,5 @@ def q_stream_file_ingest(spark, sf_dir):
     return S.read_rows(spark, out).drop("path")
 
 
+LANDING_QUERIES.update({"run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
 LANDING_QUERIES.update({"end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

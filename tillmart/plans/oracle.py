@@ -188,6 +188,7 @@ ORACLE: dict[str, str] = {
     "partition_pruned_read": _q(
         "SELECT * FROM team_detail WHERE sales_month BETWEEN '1998-01' AND '1998-12'"
     ),
+    "partitioned_snapshot": _q("SELECT * FROM team_detail"),
     "snapshot_mart": _q(
         f"""SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
                    {INCENTIVE_EXPR} AS incentive
@@ -358,6 +359,14 @@ LANDING_BODIES.update(
                              AS DECIMAL(18,2)) AS incentive
                  FROM l_team_ranked"""
         ),
+        "run_customer_mart": (
+            _landed_chain()
+            + """SELECT customer_id, first_name || ' ' || last_name AS full_name, address, phone_number,
+                        CAST(strftime(sales_date, '%Y-%m') || '-01' AS DATE) AS sales_date_month,
+                        CAST(SUM(total_cost) AS DECIMAL(18,2)) AS total_sales
+                 FROM l_enriched GROUP BY ALL"""
+        ),
+        "run_quarantine": LANDING_BODIES["quarantine_rows"],
         "stream_file_ingest": "SELECT * FROM landed_rows",
     }
 )
