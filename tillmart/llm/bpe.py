@@ -25,17 +25,21 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillmart.llm.common import packed, texts
+from tillmart.llm.common import bounded_batches, texts
 from tillmart.llm.memo import Memo
 
 # Fixed value: how a byte-level tokenizer splits a text into pretokens.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words, pretokens and token pairs a worker remembers (each, twice over).
 REMEMBERED = 200_000
+# Texts whose ids are held at once.
+ROWS = 256
 
 
 def byte_characters() -> dict[str, int]:
@@ -75,14 +79,13 @@ class ByteBPE:
             word = self.bytes_of[joined].decode("latin-1")
             self.ends.add_word(word, (len(word), joined))
         self.ends.make_automaton()
-        self.spine_ends = [self.spine(t, 1) for t in range(len(self.bytes_of))]
-        self.spine_starts = [self.spine(t, 0) for t in range(len(self.bytes_of))]
+        self.spine_ends = Memo(lambda t: self.spine(t, 1), remembered)
+        self.spine_starts = Memo(lambda t: self.spine(t, 0), remembered)
         self.split = regex.compile(PRETOKENS)
         self.odd_space = regex.compile(r"\s | \s|^ | $")
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.compatible = Memo(self.pair_holds, remembered)
         self.pretoken = Memo(lambda s: np.array(self.by_prefixes(s.encode()), dtype="<u4").tobytes(), remembered)
-        self.first_word = Memo(self.by_pretokens, remembered)
         self.word = Memo(lambda w: self.by_pretokens(" " + w), remembered)
 
     def spine(self, token: int, side: int) -> list[tuple[int, int, int]]:
@@ -95,13 +98,13 @@ class ByteBPE:
             token, used = parts[side], made
         return out + [(token, -1, used)]
 
-    def pair_holds(self, pair: tuple[int, int]) -> bool:
-        """Whether two tokens stay apart under the merges: no merge across
+    def pair_holds(self, pair: int) -> bool:
+        """Whether two tokens (left << 32 | right) stay apart under the merges: no merge across
         their border may fall due while both of its sides stand there.  Of two
         merges of one rank the left one goes first."""
         rank = self.rank
-        for x, x_made, x_used in self.spine_ends[pair[0]]:
-            for y, y_made, y_used in self.spine_starts[pair[1]]:
+        for x, x_made, x_used in self.spine_ends[pair >> 32]:
+            for y, y_made, y_used in self.spine_starts[pair & 0xFFFFFFFF]:
                 across = rank.get((x, y))
                 if across and across[0] < x_used and across[0] <= y_used and y_made < x_used and x_made <= y_used:
                     return False
@@ -116,7 +119,7 @@ class ByteBPE:
             end = at + 1
             if last[end] < 0:  # candidates of a prefix come longest first
                 start = end - n
-                if start == 0 or compatible[last[start], token]:
+                if start == 0 or compatible[last[start] << 32 | token]:
                     last[end], width[end] = token, n
         ids, at = [], len(data)
         while at:
@@ -137,7 +140,7 @@ class ByteBPE:
             return self.by_pretokens(text)
         first, *words = text.split(" ")
         known = self.word
-        return self.first_word[first] + b"".join([known[w] for w in words])
+        return self.by_pretokens(first) + b"".join([known[w] for w in words])
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -167,20 +170,27 @@ def model(path: str) -> ByteBPE:
 def encoded(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``docs``, all columns, with ``ids`` array<int> and ``round_trip``: whether
     decoding them gives the text back; a null text is encoded as the empty one.
-    Columns of docs with these two names are replaced."""
-
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    Columns of docs with these two names are replaced.  ``ROWS`` texts are
+    handled at once, their ids in one Arrow buffer."""
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("ids", "round_trip")]
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("round_trip", T.BooleanType())]
+    names = [f.name for f in kept + added]
+    text_at = next(i for i, f in enumerate(kept) if f.name.lower() == "text")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(tokenizer_path)
-        for s in batches:
-            found = [m.encode(t) for t in s]
-            yield pd.DataFrame(
-                {"ids": [np.frombuffer(p, dtype="<i4") for p in found], "round_trip": [m.decode(p) == t for p, t in zip(found, s)]}
-            )
-
-    found = packed(docs).withColumn("bpe", encode(F.coalesce("doc.text", F.lit(""))))
-    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in ("ids", "round_trip")]
-    return found.select(*kept, "bpe.ids", "bpe.round_trip")
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                given = [t or "" for t in part.column(text_at).to_pylist()]
+                found = [m.encode(t) for t in given]
+                ends = np.cumsum([0, *(len(p) // 4 for p in found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
+                same = pa.array([m.decode(p) == t for p, t in zip(found, given)])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, same], names=names)
+
+    bounded_batches(docs.sparkSession)
+    return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(encode, T.StructType(kept + added))
 
 
 def encoding_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -21,6 +21,9 @@ from tillmart.session import scratch_path
 
 # Rows a table may have to be broadcast (a few tens of bytes each).
 BROADCAST_ROWS = 1_000_000
+# Texts of an Arrow batch, and Spark's setting for it.
+BATCH_ROWS = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Characters handed to one call of a per-text library or numpy step.
 CHUNK_CHARS = 2_000_000
 
@@ -29,8 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` texts between Spark and Python, where the
+    session leaves their size open: it has no setting per query, and a batch
+    is held several times over on both sides."""
+    if spark.conf.get(BATCH_SETTING, None) in (None, "10000"):
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) alone, null texts as empty."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
@@ -45,6 +57,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Each row as one struct ``doc``: working columns beside it clash with none."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.struct("*").alias("doc"))
 
 

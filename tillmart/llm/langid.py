@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import hash_fraction
+from tillmart.llm.common import bounded_batches, hash_fraction
 from tillmart.llm.memo import Memo, WordRows
 
 UNKNOWN = "und"
@@ -198,6 +198,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             F.lit(0.0).alias("score"), F.lit(False).alias("accepted"),
         )
 
+    bounded_batches(docs.sparkSession)
     name = uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")

@@ -13,7 +13,7 @@ class Memo(dict):
     forgotten; a key found in the old one moves on to the young one.  Rare keys
     go, frequent ones stay, and forgetting changes no result."""
 
-    def __init__(self, compute: Callable, most: int = 150_000):
+    def __init__(self, compute: Callable, most: int = 100_000):
         super().__init__()
         self.compute, self.most, self.old = compute, most, {}
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import hash_fraction, packed
+from tillmart.llm.common import bounded_batches, hash_fraction, packed
 from tillmart.llm.memo import Memo
 
 SAMPLE_PER_CLASS = 2_500
@@ -215,6 +215,7 @@ def with_severity(docs: DataFrame, text: Column, model: Model | None) -> DataFra
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, severity, p_toxic, grade, toxic) of every row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     model = train(sample(docs, labels.select("doc_id", "toxic")))
     return with_severity(docs, F.col("text"), model).select("doc_id", "_toxicity.*")
