@@ -7,7 +7,9 @@ from collections import Counter
 import numpy as np
 from odd import ROWS, empty_docs, odd_docs, rows, with_clashes
 
+from conftest import SF_SMALL
 from tillmart.llm import lm_score
+from tillmart.llm.queries import QUERIES
 
 
 def plain_scores(texts):
@@ -63,3 +65,51 @@ def test_packing_round_trip():
 def test_a_pair_differs_from_its_reverse():
     block = lm_score.Block(["a b", "b a"])
     assert block.pairs(block.codes[0])[0] != block.pairs(block.codes[1])[0]
+
+
+def plain_backoff(texts, order):
+    """(words, n-grams seen in others by n, score) of each text, by definition."""
+    words = [[w for w in re.split("[\x20\x09-\x0d]+", t or "") if w] for t in texts]
+    cut = lambda ws, n: [tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)]
+    total = sum(map(len, words))
+    every, led = Counter(), Counter()
+    for ws in words:
+        for n in range(1, order + 1):
+            every.update(cut(ws, n))
+            led.update(g[:-1] for g in cut(ws, n + 1))
+    out = []
+    for ws in words:
+        own, own_led = Counter(), Counter()
+        for n in range(1, order + 1):
+            own.update(cut(ws, n))
+            own_led.update(g[:-1] for g in cut(ws, n + 1))
+
+        def score(context, w):
+            if not context:
+                return max(every[(w,)] - own[(w,)], 0.1) / max(total - len(ws), 1)
+            found = every[(*context, w)] - own[(*context, w)]
+            return found / (led[context] - own_led[context]) if found else 0.4 * score(context[1:], w)
+
+        logs = [math.log10(score(tuple(ws[max(0, i - order + 1) : i]), w)) for i, w in enumerate(ws)]
+        seen = [sum(every[g] > own[g] for g in cut(ws, n)) for n in range(2, order + 1)]
+        out.append((len(ws), *seen, sum(logs)))
+    return out
+
+
+def test_longer_orders_use_longer_contexts(spark):
+    some = ["a b c d", "a b c e", "x b c e", "b c", "a b", "a b c d a b c d", "q", ""]
+    data = [(100 + i, t, "en", "h", 0) for i, t in enumerate(some)]
+    docs = odd_docs(spark).unionByName(spark.createDataFrame(data, odd_docs(spark).schema))
+    texts = [r[1] for r in ROWS] + some
+    key = lambda r: (*r[:-1], round(r[-1], 2))
+    for order in (2, 3, 4):
+        got = lm_score.lm_scores(docs, block_bytes=2_000, bucket_bytes=500, order=order)
+        names = [lm_score.seen_name(n) for n in range(2, order + 1)]
+        found = sorted((tuple(r) for r in got.select("n_words", *names, "log10_score").collect()), key=key)
+        want = sorted(plain_backoff(texts, order), key=key)
+        assert [x[:-1] for x in found] == [x[:-1] for x in want]
+        assert np.allclose([x[-1] for x in found], [x[-1] for x in want], atol=1e-3)
+
+
+def test_registered_at_order_three(spark):
+    assert "n_seen_3grams" in QUERIES["op1_lm_scores_order3"](spark, SF_SMALL).columns

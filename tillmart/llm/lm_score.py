@@ -1,24 +1,29 @@
-"""Operator 1: stupid-backoff language-model scores.
+"""Operator 1: stupid-backoff language-model scores of any order.
 
 The model is counted from the corpus itself, and each document is scored by
 the counts of all *other* documents: its own occurrences are subtracted, so
 text is not its own evidence.  With c the counts without the document's own
-and N the words they cover, a word w after v scores
+and N the words they cover, a word w after a context v of up to ``order`` - 1
+words scores
 
-    c(v w) / c(v)      if c(v w) > 0        (c(v): occurrences of v as a first word)
-    ALPHA * c(w) / N   otherwise, with c(w) at least UNSEEN and N at least 1;
+    c(v w) / c(v)                         if c(v w) > 0
+    ALPHA * (score after v without its first word)   otherwise,
 
-the first word of a text has no v and scores c(w) / N likewise.  Words are
+where c(v) counts v as a context, that is with a word after it.  Without a
+context w scores c(w) / N, with c(w) at least UNSEEN and N at least 1.  A word
+with fewer words before it starts from the longest context there is.  Words are
 ``[^\\x20\\x09-\\x0D]+``; a document's score is the sum of log10 over its words.
 
 Plan: texts are dealt into blocks of about ``BLOCK_BYTES``.  A block's n-grams
 are counted once per block (the map-side combine: a frequent n-gram is one
 entry per block, however often it occurs) and sent, as 64-bit hashes with
-counts, to the hash partition ("bucket") that owns them.  A bucket adds up its
-n-gram count table and answers every block with the totals of that block's
-entries.  The totals meet their block's texts again, where the documents'
-n-grams look them up and are summed per document.  All texts, all n-grams, no
-cut-offs; blocks and buckets grow in number with the input, not in size.
+counts, to the hash partition ("bucket") that owns them.  With each count goes
+the number of texts that end with the n-gram: the rest of its occurrences are
+contexts.  A bucket adds up its n-gram count table and answers every block with
+the totals of that block's entries.  The totals meet their block's texts again,
+where the documents' n-grams look them up and are summed per document.  All
+texts, all n-grams, no cut-offs; blocks and buckets grow in number with the
+input, not in size.
 
 Hash partition: the top bits of the hash name the bucket, the next 48 bits (as
 far as there are as many) tell n-grams of a bucket apart.  Buckets hold a
@@ -50,7 +55,7 @@ SEED = 42
 BLOCK_BYTES = 8_000_000
 BUCKET_BYTES = 4_000_000
 KEPT_BITS = 48
-FIRST, PAIR, WORD = 1, 2, 3  # v as first word of a pair, a pair, a word
+PAIR, WORD = 2, 3  # salts; an n-gram of three or more words has n + 1
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -62,36 +67,74 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Block:
-    """The n-grams of a block of texts as hashes: three kinds in one space."""
+    """The n-grams of a block of texts as hashes: all lengths in one space."""
 
-    def __init__(self, batch: list[str]):
+    def __init__(self, batch: list[str], order: int = 2):
         ids: dict[bytes, int] = {}
         self.codes = [
             np.fromiter((ids.setdefault(w, len(ids)) for w in ws), dtype=np.int64, count=len(ws))
             for ws in (t.encode().split() for t in batch)
         ]
         word = np.fromiter(map(xxhash.xxh64_intdigest, ids, repeat(SEED)), dtype=np.uint64, count=len(ids))
-        self.word, self.first = mixed(word, WORD), mixed(word, FIRST)
-        self.left = mixed(word, PAIR)
+        self.order, self.word, self.left = order, mixed(word, WORD), mixed(word, PAIR)
+        self.sizes = np.array([len(c) for c in self.codes], dtype=np.int64)
 
     def pairs(self, codes: np.ndarray) -> np.ndarray:
         # not symmetric: the left word's hash is mixed once more before the right one's
         return mixed(self.left[codes[:-1]] + self.word[codes[1:]], PAIR)
 
-    def counted(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-gram hashes of the block in order, and their counts."""
-        empty = np.zeros(0, np.int64)
-        every = np.concatenate([empty, *self.codes])
-        firsts = np.concatenate([empty, *(c[:-1] for c in self.codes)])
-        found = [
-            (self.word, np.bincount(every, minlength=len(self.word))),
-            (self.first, np.bincount(firsts, minlength=len(self.word))),
-            np.unique(np.concatenate([np.zeros(0, np.uint64), *map(self.pairs, self.codes)]), return_counts=True),
-        ]
+    def runs(self):
+        """For n = 1 to the order: the n-grams of all texts in order, the text
+        of each, and the place of its first word in the block."""
+        every = np.concatenate([np.zeros(0, np.int64), *self.codes])
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        left = np.repeat(np.cumsum(self.sizes), self.sizes) - np.arange(len(every))  # words from here to the text's end
+        grams = self.word[every]
+        for n in range(1, self.order + 1):
+            if n == 2:
+                grams = self.pairs(every)
+            elif n > 2:
+                grams = mixed(mixed(grams[:-1], n + 1) + self.word[every[n - 1 :]], n + 1)
+            at = np.nonzero(left[: len(grams)] >= n)[0]
+            yield n, grams[at], text[at], at
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct n-gram hashes of the block in order, their counts, and how
+        many texts end with them (not counted for the longest)."""
+        found, last = [], [np.zeros(0, np.uint64)]
+        for n, grams, text, _ in self.runs():
+            found.append(np.unique(grams, return_counts=True))
+            if n < self.order:
+                last.append(grams[np.nonzero(np.diff(text, append=-1))[0]])
         grams, counts = (np.concatenate(x) for x in zip(*found))
-        there = counts > 0
-        order = np.argsort(grams[there])
-        return grams[there][order], counts[there][order]
+        order = np.argsort(grams)
+        grams, counts, ends = grams[order], counts[order], np.zeros(len(grams), np.int64)
+        np.add.at(ends, np.searchsorted(grams, np.concatenate(last)), 1)
+        return grams, counts, ends
+
+    def scored(self, grams: np.ndarray, totals: np.ndarray, ends: np.ndarray, corpus: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """The sum of log10 of each text, and for n from 2 the number of its
+        n-grams seen in others; ``totals`` and ``ends`` are those of ``grams``."""
+        seen: dict[int, np.ndarray] = {}
+        for n, own, text, at in self.runs():
+            table, of = np.unique(own, return_inverse=True)
+            here = np.searchsorted(grams, table)
+            key, alike, times = np.unique(text * max(len(table), 1) + of, return_inverse=True, return_counts=True)
+            mine = times[alike]
+            others = totals[here][of] - mine
+            if n == 1:
+                s = np.maximum(others, UNSEEN) / np.maximum(corpus - self.sizes[text], 1)
+            else:
+                seen[n] = np.bincount(text[others > 0], minlength=len(self.sizes))
+                w = at + n - 1
+                s[w] = np.where(others > 0, others / np.maximum(context[at], 1), ALPHA * s[w])
+            if n < self.order:
+                final = np.full(len(self.sizes), -1)
+                final[text] = of  # the last assignment stands: the text's last n-gram
+                context = np.zeros(len(s), np.int64)
+                context[at] = (totals - ends)[here][of] - (mine - (of == final[text]))
+        of_word = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        return np.bincount(of_word, weights=np.log10(s), minlength=len(self.sizes)), seen
 
 
 def bucket_of(grams: np.ndarray, bits: int) -> np.ndarray:
@@ -124,8 +167,11 @@ def widened(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_seen_pairs, log10_score, mean_log10) of every row of ``docs``."""
+def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, order: int = 2) -> DataFrame:
+    """(doc_id, n_words, n_seen_pairs, log10_score, mean_log10) of every row of
+    ``docs``; from order 3 also n_seen_3grams and so on up to the order."""
+    if order < 2:
+        raise ValueError("the order is at least 2")
     own = texts(docs)
     words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).cast("long")
     size, corpus = own.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (F.octet_length("text").cast("long"), words))).first()
@@ -134,7 +180,7 @@ def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        grams, counts = Block(pdf["text"].tolist()).counted()
+        grams, counts, last = Block(pdf["text"].tolist(), order).counted()
         buckets, starts = np.unique(bucket_of(grams, bits), return_index=True)
         ends = [*starts[1:], len(grams)]
         return pd.DataFrame(
@@ -143,54 +189,43 @@ def lm_scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int
                 "bucket": buckets,
                 "grams": [packed(grams[a:b], bits) for a, b in zip(starts, ends)],
                 "counts": [narrow(counts[a:b]) for a, b in zip(starts, ends)],
+                "ends": [narrow(last[a:b]) for a, b in zip(starts, ends)],
             }
         )
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         grams = [unpacked(g) for g in rows["grams"]]
         table, at = np.unique(np.concatenate(grams), return_inverse=True)
-        sums = np.zeros(len(table), dtype=np.int64)
-        np.add.at(sums, at, np.concatenate([widened(c) for c in rows["counts"]]))
         cuts = np.cumsum([len(g) for g in grams])[:-1]
-        answers = [narrow(x) for x in np.split(sums[at], cuts)]
-        return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "totals": answers})
+        out = {"block": rows["block"], "bucket": rows["bucket"]}
+        for name in ("counts", "ends"):
+            sums = np.zeros(len(table), dtype=np.int64)
+            np.add.at(sums, at, np.concatenate([widened(c) for c in rows[name]]))
+            out[name] = [narrow(x) for x in np.split(sums[at], cuts)]
+        return pd.DataFrame(out)
 
     def score(texts_of: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block = Block(texts_of["text"].tolist())
-        grams, _ = block.counted()
+        block = Block(texts_of["text"].tolist(), order)
+        grams, _, _ = block.counted()
         answers = answers.sort_values("bucket")
-        totals = np.concatenate([np.zeros(0, np.int64), *(widened(t) for t in answers["totals"])])
-        look = lambda g: totals[np.searchsorted(grams, g)]
-        word, first = look(block.word), np.zeros(len(block.word), np.int64)
-        here = np.minimum(np.searchsorted(grams, block.first), max(len(grams) - 1, 0))
-        known = grams[here] == block.first if len(grams) else np.zeros(0, bool)
-        first[known] = totals[here[known]]
-        rows = []
-        for c in block.codes:
-            if not len(c):
-                rows.append((0, 0, 0.0, None))
-                continue
-            p = block.pairs(c)
-            kinds, of = np.unique(p, return_inverse=True)
-            others = (look(kinds) - np.bincount(of, minlength=len(kinds)))[of]
-            w, of = np.unique(c, return_inverse=True)
-            words = (word[w] - np.bincount(of, minlength=len(w)))[of]
-            f = (first[w] - np.bincount(of[:-1], minlength=len(w)))[of]
-            alone = np.maximum(words, UNSEEN) / max(corpus - len(c), 1)
-            s = alone.copy()
-            s[1:] = np.where(others > 0, others / np.maximum(f[:-1], 1), ALPHA * alone[1:])
-            log = float(np.log10(s).sum())
-            rows.append((len(c), int((others > 0).sum()), round(log, 4), round(log / len(c), 6)))
-        out = pd.DataFrame(rows, columns=["n_words", "n_seen_pairs", "log10_score", "mean_log10"])
-        return out.assign(doc_id=texts_of["doc_id"].array)
+        totals, ends = (np.concatenate([np.zeros(0, np.int64), *map(widened, answers[c])]) for c in ("counts", "ends"))
+        logs, seen = block.scored(grams, totals, ends, corpus)
+        rows = [(int(n), round(float(x), 4), round(float(x) / n, 6) if n else None) for n, x in zip(block.sizes, logs)]
+        out = pd.DataFrame(rows, columns=["n_words", "log10_score", "mean_log10"])
+        return out.assign(doc_id=texts_of["doc_id"].array, **{seen_name(n): found for n, found in seen.items()})
 
     # Both uses of the texts by block are one exchange, shuffled once.
-    sent = dealt.groupBy("block").applyInPandas(count, "block long, bucket long, grams binary, counts binary")
-    tables = sent.groupBy("bucket").applyInPandas(total, "block long, bucket long, totals binary")
-    schema = "doc_id long, n_words long, n_seen_pairs long, log10_score double, mean_log10 double"
+    sent = dealt.groupBy("block").applyInPandas(count, "block long, bucket long, grams binary, counts binary, ends binary")
+    tables = sent.groupBy("bucket").applyInPandas(total, "block long, bucket long, counts binary, ends binary")
+    seen_columns = ", ".join(f"{seen_name(n)} long" for n in range(2, order + 1))
+    schema = f"doc_id long, n_words long, {seen_columns}, log10_score double, mean_log10 double"
     return dealt.groupBy("block").cogroup(tables.groupBy("block")).applyInPandas(score, schema)
 
 
+def seen_name(n: int) -> str:
+    return "n_seen_pairs" if n == 2 else f"n_seen_{n}grams"
+
+
 def oracle() -> str:
     return f"""
 WITH d AS (
