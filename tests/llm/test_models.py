@@ -5,9 +5,11 @@ import zlib
 import duckdb
 import numpy as np
 from odd import ROWS, empty_docs, odd_docs, rows, with_clashes
+from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from tillmart.llm import langid, toxicity
+from tillmart.llm.common import hash_fraction
 from tillmart.llm.queries import QUERIES
 
 LABELS = "doc_id long, toxic int"
@@ -85,3 +87,14 @@ def test_prediction_uses_the_text_only(spark):
     model = langid.train(langid.sample(docs))
     changed = docs.selectExpr("doc_id", "text", "'xx' lang", "'other' source")
     assert rows(langid.identify(docs, model)) == rows(langid.identify(changed, model))
+
+
+def test_small_shares_keep_the_sample_size(spark):
+    n = 40_000_000
+    for expected in (20, 200):
+        found = spark.range(n).where(hash_fraction(F.col("id"), expected / n)).count()
+        assert abs(found - expected) < 5 * expected**0.5
+    few = spark.range(1000)
+    assert few.where(hash_fraction(F.col("id"), 1.0)).count() == 1000
+    assert 200 < few.where(hash_fraction(F.col("id"), 0.25)).count() < 300
+    assert few.where(hash_fraction(F.col("id"), 0.0)).count() == 0

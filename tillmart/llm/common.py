@@ -68,8 +68,11 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def hash_fraction(key: Column, fraction: float, salt: str = "sample") -> Column:
-    """True for about ``fraction`` of the keys, the same ones in every run."""
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
+    """True for about ``fraction`` of the keys, the same ones in every run: 63
+    bits of the hash are compared, so the share may be as small as a table is large."""
+    if fraction >= 1:
+        return F.lit(True)
+    return F.xxhash64(key, F.lit(salt)).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(fraction * (1 << 63)))
 
 
 def slices(lengths: Sequence[int], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
