@@ -246,3 +246,16 @@ def test_shuffle_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr("tillmart.llm.common.BROADCAST_ROWS", 0)
     assert rows(QUERIES["op9_benchmark_decontamination"](spark, SF_SMALL)) == want
     assert rows(QUERIES["op3_host_quality"](spark, SF_SMALL)) != []
+
+
+def test_items_that_share_an_id_or_have_none(spark):
+    text = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
+    items = [(1, text("a", 20)), (1, text("b", 20)), (1, text("b", 20)), (2, text("c", 30))]
+    items += [(None, text(f"n{i}x", 12)) for i in range(9)]
+    docs = [(1, "x " + text("a", 20) + " y"), (2, text("b", 20)), (3, text("c", 30)), (4, text("n7x", 12) + " z"), (5, "clean words only in this text")]
+    docs += [(6, text("a", 20) + " " + text("b", 18))]
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = [(1, 1, 16, 16, 1.0), (2, 1, 16, 16, 1.0), (3, 2, 26, 26, 1.0), (4, None, 8, 8, 1.0), (6, 1, 16, 16, 1.0)]
+    assert rows(decontaminate.contaminated(given, bench)) == sorted(want, key=repr)
+    assert rows(decontaminate.without_contaminated(given, bench), "doc_id") == [(5,)]

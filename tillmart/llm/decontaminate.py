@@ -20,14 +20,13 @@ as words, not hashes; the distinct ones found are counted per item.
 
 Defined cases: null and empty texts and items under ``SHINGLE`` words have no
 shingles and match nothing.  Rows that share a doc_id are judged one by one
-(by their text); the result has the best containment per (doc_id, item_id).
-Items that share an item_id are one item.
+(by their text), and so are items that share an item_id or have none; the
+result has the best containment per (doc_id, item_id).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import packed, small, staged, texts
@@ -62,25 +61,26 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, shingle, h, n): the distinct shingles of each item and their number."""
-    own = texts(items, "item_id").select(F.col("doc_id").alias("item_id"), words_of(F.col("text")).alias("words"))
-    both = lambda ws: F.struct(joined(ws).alias("shingle"), hashed(ws).alias("h"))
-    rows = own.select("item_id", F.inline(shingles(F.col("words"), both))).distinct()
-    return rows.withColumn("n", F.count("*").over(W.partitionBy("item_id")))
+    """(item_id, item_key, grams, n): the distinct (h, shingle) of each item in
+    order of h, and their number; the key tells rows of one item_id apart."""
+    own = texts(items, "item_id").distinct()
+    own = own.select(F.col("doc_id").alias("item_id"), F.xxhash64("text").alias("item_key"), words_of(F.col("text")).alias("words"))
+    both = lambda ws: F.struct(hashed(ws).alias("h"), joined(ws).alias("shingle"))
+    grams = F.sort_array(F.array_distinct(shingles(F.col("words"), both)))
+    return own.select("item_id", "item_key", grams.alias("grams")).where(F.size("grams") > 0).withColumn("n", F.size("grams").cast("long"))
 
 
 def signatures(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(item_id, h): the bottom-k sketch of each item, k by its size class."""
+    """(h): the bottom-k sketch of each item, k by its size class."""
     largest = F.pow(F.lit(2), F.ceil(F.log2("n")))
     k = F.floor(largest * (100 - percent) / 100) + 1
-    rank = F.row_number().over(W.partitionBy("item_id").orderBy("h", "shingle"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= k).select("item_id", "h")
+    return rows.select(F.explode(F.slice("grams", F.lit(1), k.cast("int"))).alias("g")).select("g.h")
 
 
 def contaminated_rows(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_key, item_id, n_shingles, n_found) of every match."""
+    """(doc_id, text_key, item_id, item_key, n_shingles, n_found) of every match."""
     known = staged(item_shingles(items), "decontaminate-items")
-    sketch = staged(signatures(known, percent).select("h").distinct(), "decontaminate-signatures")
+    sketch = staged(signatures(known, percent).distinct(), "decontaminate-signatures")
     seen = keyed(docs).select("doc_id", "text_key", F.explode(shingles(F.col("words"), hashed)).alias("h"))
     hits = seen.join(small(sketch), "h", "left_semi").select("doc_id", "text_key").distinct()
     candidates = staged(hits, "decontaminate-candidates")
@@ -88,17 +88,19 @@ def contaminated_rows(docs: DataFrame, items: DataFrame, percent: int = PERCENT)
     chosen = small(candidates.withColumnRenamed("doc_id", "c_id").withColumnRenamed("text_key", "c_key"))
     again = again.join(chosen, again.doc_id.eqNullSafe(F.col("c_id")) & (again.text_key == F.col("c_key")), "left_semi")
     found = again.select("doc_id", "text_key", F.explode(F.array_distinct(shingles(F.col("words"), joined))).alias("shingle"))
-    found = found.join(small(known.select("item_id", "shingle", "n")), "shingle")
+    found = found.join(small(known.select("item_id", "item_key", "n", F.explode("grams.shingle").alias("shingle"))), "shingle")
     # repeated rows of a document share its key: count each shingle once
-    counted = found.groupBy("doc_id", "text_key", "item_id").agg(F.first("n").alias("n_shingles"), F.count_distinct("shingle").alias("n_found"))
+    counted = found.groupBy("doc_id", "text_key", "item_id", "item_key")
+    counted = counted.agg(F.first("n").alias("n_shingles"), F.count_distinct("shingle").alias("n_found"))
     return counted.where(100 * F.col("n_found") >= percent * F.col("n_shingles"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_found, containment), one row per pair."""
-    rows = contaminated_rows(docs, items, percent).groupBy("doc_id", "item_id")
-    best = rows.agg(F.max("n_shingles").alias("n_shingles"), F.max("n_found").alias("n_found"))
-    return best.withColumn("containment", F.round(F.col("n_found") / F.col("n_shingles"), 6))
+    """(doc_id, item_id, n_shingles, n_found, containment), one row per pair:
+    its best containment, of equal ones the largest item's."""
+    best = F.max(F.struct((F.col("n_found") / F.col("n_shingles")).alias("share"), "n_shingles", "n_found"))
+    rows = contaminated_rows(docs, items, percent).groupBy("doc_id", "item_id").agg(best.alias("best"))
+    return rows.select("doc_id", "item_id", "best.n_shingles", "best.n_found", F.round("best.share", 6).alias("containment"))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
