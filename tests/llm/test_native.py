@@ -185,6 +185,23 @@ def test_trees_add_candidates_like_base_spans(spark):
     assert all(got[2000 + i].spans == "" for i in range(300))
 
 
+def test_frequent_formats_beside_the_base_patterns(spark):
+    """A third of all rows have addresses and numbers in no base format, beside
+    base spans and numbers and words that are neither; some formats are rare."""
+    data = [(i, f"write to user{i}@host{i % 7}.com or +49 30 {1000000 + 7919 * i} ok", "en", "h", 1) for i in range(150)]
+    hot = [(1000 + i, f"write to user{i} (at) host{i % 7} (dot) com or call 030 {1000000 + 7919 * i} ok", "en", "hot", 1) for i in range(150)]
+    other = [(2000 + i, f"meet me @ noon on 01-02-2021 10 with order {10**9 + 7919 * i} and 1234.5678.9012.{1000 + i}", "en", "h", 1) for i in range(150)]
+    rare = [(3000, "ask name [at] some.host [dot] org. Then (555) 123-4567", "en", "h", 1), (3001, "card 4111.1111.1111.1111 fine", "en", "h", 1)]
+    clean = [(r.doc_id, r.text) for r in pii.redacted(spark.createDataFrame(data + hot + other + rare, SCHEMA)).collect()]
+    clean = dict(clean)
+    assert {clean[1000 + i] for i in range(150)} == {"write to [EMAIL] or call [PHONE] ok"}
+    assert all(f"order {10**9 + 7919 * i} and" in clean[2000 + i] and "me @ noon on 01-02-2021 10" in clean[2000 + i] for i in range(150))
+    assert "name" not in clean[3000] and "555" not in clean[3000] and "4111" not in clean[3001]
+    # with no candidate of another kind there is nothing to train on
+    alone = pii.redacted(spark.createDataFrame(hot, SCHEMA)).collect()
+    assert {r.text for r in alone} == {"write to [EMAIL] or call [PHONE] ok"}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 234 567 8901.", "en", "h", 0), (2, None, None, None, None)], SCHEMA)
     assert rows(pii.redacted(with_clashes(docs)), *docs.columns) == [
