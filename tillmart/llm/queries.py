@@ -12,7 +12,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmart.llm import bpe, decontaminate, host_rules, langid, lm_score, pii, sharding, simhash, token_counts, toxicity
+from tillmart.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    divergence,
+    host_rules,
+    jaccard_join,
+    langid,
+    lm_score,
+    pii,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tillmart.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -63,6 +77,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_benchmark_decontamination,
         op10_language_id,
+        op11_jaccard_join,
+        op12_alignment,
+        op13_source_divergence,
     )
 }
 
@@ -85,4 +114,5 @@ ORACLE: dict[str, str] = {
     "op3_host_quality": host_rules.oracle(),
     "op4_feistel_shards": sharding.oracle(),
     "op9_benchmark_decontamination": decontaminate.oracle(),
+    "op13_source_divergence": divergence.oracle(),
 }
