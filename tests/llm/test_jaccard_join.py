@@ -95,6 +95,12 @@ def test_tries_give_the_components_of_all_links():
             assert component(len(sets), [(p + half, m) for p, m in got]) == component(len(sets), across)
 
 
+def test_counts_are_packed_and_graded():
+    part = np.array([0, 1, 2, 255, 256, 10**12])
+    assert J.unpacked_counts(J.packed_counts(part)).tolist() == part.tolist()
+    assert J.rarity(part).tolist() == [0, 16, 25, 128, 128, 255]
+
+
 def test_rarest_shingles_of_linked_sets_meet():
     rng = random.Random(2)
     counts = np.resize(np.array([rng.randint(0, 9) for _ in range(997)]), J.BUCKETS)

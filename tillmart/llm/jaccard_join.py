@@ -7,7 +7,8 @@ component under these links.
 
 Documents with equal sets are one class and count once from the start.
 Shingles have one global order: by how many documents hold them (counted over
-all documents in ``BUCKETS`` hashed places), then by hash.
+all documents in ``BUCKETS`` hashed places, whose grades of a byte each are
+broadcast), then by hash.  Any order gives the same links.
 
 1. Meeting: two linked sets share one of the n - ceil(0.8 n) + 1 rarest
    shingles of each.  The classes that share such a shingle are a list; a
@@ -40,6 +41,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,9 +58,10 @@ from tillmart.llm.simhash import components
 WORDS = 5
 # Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 80
-# Hashed places of the document counts that order the shingles, in pieces for their sum.
-BUCKETS = 1 << 21
-PIECES = 32
+# Hashed places of the document counts that order the shingles, in pieces for
+# their sum; tasks whose counts are added in one step.
+BUCKETS = 1 << 24
+PIECES = 256
 LANES = 64
 # Sets of a block to begin with, blocks of a group until blocks have LARGEST sets, pivots of a group.
 BLOCK = 64
@@ -110,11 +113,11 @@ def rarest(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def classified(docs: DataFrame) -> DataFrame:
     """For every row (doc_id, n, hi, lo), the size and signature of its set; and
-    for every task ``PIECES`` rows (piece, task, counts) with documents by place."""
+    for every task up to ``PIECES`` rows (piece, task, counts) with documents by place."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(BUCKETS, dtype=np.int64)
+        counts = np.zeros(BUCKETS, dtype=np.int32)
         for pdf in batches:
             out = []
             for text in pdf["text"]:
@@ -124,32 +127,48 @@ def classified(docs: DataFrame) -> DataFrame:
             made = pd.DataFrame(out, columns=["n", "hi", "lo"], index=pdf.index)
             made.insert(0, "doc_id", pdf["doc_id"])
             yield made.assign(piece=None, task=None, counts=None)
-        pieces = [np.ascontiguousarray(c).tobytes() for c in counts.reshape(PIECES, -1)]
         task = TaskContext.get().partitionId()
-        if counts.any():
-            yield pd.DataFrame({"doc_id": None, "n": None, "hi": None, "lo": None, "piece": range(PIECES), "task": task, "counts": pieces})
+        for i, part in enumerate(counts.reshape(PIECES, -1)):
+            if part.any():
+                yield pd.DataFrame({"doc_id": None, "n": None, "hi": None, "lo": None, "piece": i, "task": task, "counts": [packed_counts(part)]})
 
     return docs.mapInPandas(run, f"doc_id {id_type}, n long, hi long, lo long, piece int, task int, counts binary")
 
 
+def packed_counts(part: np.ndarray) -> bytes:
+    return zlib.compress(part.astype("<i8").reshape(-1).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)  # byte by byte: mostly zeros
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+
+
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Sixteen grades for every doubling of a count, in a byte."""
+    return np.minimum(16 * np.log2(1 + counts), 255).astype(np.uint8)
+
+
 def summed(pieces: DataFrame) -> np.ndarray:
-    """The documents by place over all tasks, added as a tree; ``BUCKETS`` numbers."""
+    """The grades of the documents by place, ``BUCKETS`` bytes: counts added over
+    all tasks as a tree, graded where the last sum is made."""
+
+    def adder(last: bool):
+        def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(BUCKETS // PIECES, dtype=np.int64)
+            for c in pdf["counts"]:
+                total += unpacked_counts(c)
+            data = rarity(total).tobytes() if last else packed_counts(total)
+            return pd.DataFrame({"piece": [key[0]], "task": [key[1]], "counts": [data]})
 
-    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, dtype=np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"piece": [key[0]], "task": [key[1]], "counts": [total.tobytes()]})
+        return add
 
-    tasks = pieces.agg(F.max("task")).first()[0]
-    lanes = LANES if tasks is not None and tasks >= LANES else 1
-    while True:
+    tasks = pieces.agg(F.max("task")).first()[0] or 0
+    for lanes in [LANES, 1] if tasks >= LANES else [1]:
         pieces = pieces.withColumn("task", F.col("task") % F.lit(lanes))
-        pieces = pieces.groupBy("piece", "task").applyInPandas(add, "piece int, task int, counts binary")
-        if lanes == 1:
-            break
-        lanes = 1
-    out = np.zeros((PIECES, BUCKETS // PIECES), dtype=np.int64)
-    for row in pieces.collect():
-        out[row.piece] = np.frombuffer(row.counts, dtype=np.int64)
+        pieces = pieces.groupBy("piece", "task").applyInPandas(adder(lanes == 1), "piece int, task int, counts binary")
+    out = np.zeros((PIECES, BUCKETS // PIECES), dtype=np.uint8)
+    for row in pieces.select("piece", "counts").collect():
+        out[row.piece] = np.frombuffer(row.counts, dtype=np.uint8)
     return out.reshape(-1)
 
 
@@ -174,11 +193,19 @@ def prefixes(docs: DataFrame, order) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame) -> DataFrame:
-    """(hi, lo, shingles) of the rows' sets."""
+    """(hi, lo, shingles) of the rows' sets, each once a task for as long as it is remembered."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for pdf in batches:
-            out = [(*signature(own), own.view(np.int64)) for own in map(shingles, pdf["text"])]
+            out = []
+            for own in map(shingles, pdf["text"]):
+                key = signature(own)
+                if key not in seen:
+                    seen.add(key)
+                    out.append((*key, own.view(np.int64)))
+            if len(seen) > 200_000:
+                seen.clear()
             yield pd.DataFrame(out, columns=["hi", "lo", "shingles"])
 
     return docs.select("text").mapInPandas(run, "hi long, lo long, shingles array<long>")
@@ -276,7 +303,7 @@ def connecting_links(members: list[np.ndarray], labels: np.ndarray, counts: np.n
     every = members if own else members + probes
     universe, at = np.unique(np.concatenate(every), return_inverse=True)
     rank = np.empty(len(universe), dtype=np.int64)
-    rank[np.lexsort((universe, -counts[place(universe)]))] = np.arange(len(universe))
+    rank[np.lexsort((universe, -counts[place(universe)].astype(np.int64)))] = np.arange(len(universe))
     cut = np.cumsum([len(s) for s in every])[:-1]
     ranked = [np.sort(r) for r in np.split(rank[at], cut)]
     trie = Trie(ranked[: len(members)])
@@ -355,6 +382,12 @@ def _dealt(node, g, blocks):
     return F.pmod(F.xxhash64(node, g), blocks).cast("int")
 
 
+def with_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with their nodes' sets.  The rows are narrow: few enough, they go
+    to the sets, so that each set is shuffled to its blocks only."""
+    return sets.join(small(staged(rows, "jaccard-block-rows")), "node")
+
+
 def linked_edges(groups: DataFrame, sets: DataFrame, order) -> DataFrame:
     """Edges that give the components of all links within the ``groups`` (g,
     node), written; ``sets``: (node, shingles)."""
@@ -365,7 +398,7 @@ def linked_edges(groups: DataFrame, sets: DataFrame, order) -> DataFrame:
     lowest = several.groupBy("g", "blocks").agg(F.array_sort(F.collect_set(F.when(_dealt("node", F.lit(0), F.col("blocks")) == 0, F.col("node")))).alias("some"))
     pivots = lowest.select("g", F.explode(F.slice("some", 1, PIVOTS)).alias("node"), "blocks")
     pivots = pivots.select("g", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    first = staged(block_links(dealt.unionByName(pivots).join(sets, "node"), order), "jaccard-first-edges")
+    first = staged(block_links(with_sets(dealt.unionByName(pivots), sets), order), "jaccard-first-edges")
     if not several.limit(1).count():
         return first
     root = staged(components(first), "jaccard-first-components")
@@ -378,7 +411,7 @@ def linked_edges(groups: DataFrame, sets: DataFrame, order) -> DataFrame:
     probe = rooted.where("root <> main").select(
         "g", "node", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), _dealt("node", "g", F.col("outside")).alias("part"), F.lit(True).alias("probe")
     )
-    second = staged(cross_links(member.unionByName(probe).join(sets, "node"), order), "jaccard-second-edges")
+    second = staged(cross_links(with_sets(member.unionByName(probe), sets), order), "jaccard-second-edges")
     return first.unionByName(second)
 
 
@@ -426,8 +459,10 @@ def similarity_components(docs: DataFrame, most: int = MOST) -> DataFrame:
     classes = staged(classes.join(nodes.select("hi", "lo", "node"), ["hi", "lo"], "left"), "jaccard-classes")
     meet = classes.where("node IS NOT NULL").select(F.col("first_id").alias("id")).distinct()
     some = own.join(small(staged(meet, "jaccard-ids")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = whole_sets(some).join(nodes, ["hi", "lo"]).select("node", "shingles").dropDuplicates(["node"])
-    edges = linked_edges(groups_of(lists, most), staged(sets, "jaccard-sets"), order)
+    sets = staged(whole_sets(some).join(small(nodes), ["hi", "lo"]).select("node", "shingles"), "jaccard-sets")
+    if sets.count() > nodes.count():  # rows that share a doc_id
+        sets = staged(sets.dropDuplicates(["node"]), "jaccard-distinct-sets")
+    edges = linked_edges(groups_of(lists, most), sets, order)
     found = staged(components(edges), "jaccard-components")
     grouped = classes.join(found, "node", "left").select("hi", "lo", "first_id", "root")
     least = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("component_id"))
