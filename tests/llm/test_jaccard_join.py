@@ -95,6 +95,25 @@ def test_tries_give_the_components_of_all_links():
             assert component(len(sets), [(p + half, m) for p, m in got]) == component(len(sets), across)
 
 
+def test_sketches_allow_every_link():
+    rng = random.Random(4)
+    pruned = 0
+    for _ in range(200):
+        n = rng.choice([1, 3, 8, 40, 200])
+        sets = [{rng.getrandbits(64) for _ in range(n)} for _ in range(3)]
+        for x in sets[:]:
+            y = set(x)
+            for _ in range(rng.randint(0, n // 4 + 1)):
+                y ^= {rng.choice([rng.getrandbits(64), *x])}
+            sets.append(y)
+        sets = [np.array(sorted(x), dtype=np.uint64) for x in sets if x]
+        got = J.may_link(np.array([len(x) for x in sets]), [J.sketch(x) for x in sets])
+        allowed = component(len(sets), got)
+        assert all(allowed[i] == allowed[j] for i, j in plain_links([set(x.tolist()) for x in sets]))
+        pruned += n == 200 and len(set(allowed)) >= 3
+    assert pruned > 10
+
+
 def test_counts_are_packed_and_graded():
     part = np.array([0, 1, 2, 255, 256, 10**12])
     assert J.unpacked_counts(J.packed_counts(part)).tolist() == part.tolist()
@@ -119,6 +138,7 @@ def test_blocks_lists_and_neighbourhoods_agree(spark, monkeypatch):
     frame = spark.createDataFrame(documents, "doc_id long, text string")
     columns = ("doc_id", "n_shingles", "component_id")
     assert rows(J.similarity_components(frame), *columns) == want
+    monkeypatch.setattr(J, "SKETCHED", 4)  # large lists connect all their classes
     monkeypatch.setattr(J, "BLOCK", 3)  # nearly every group in several blocks
     assert rows(J.similarity_components(frame), *columns) == want
     assert rows(J.similarity_components(frame, most=2), *columns) == want  # single lists

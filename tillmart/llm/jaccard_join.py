@@ -70,6 +70,9 @@ LARGEST = 2048
 PIVOTS = 4
 # Classes of a neighbourhood that is compared as one group.
 MOST = 20_000
+# Classes of a list whose sketches are compared with one another, and rows of lists compared in one step.
+SKETCHED = 256
+SKETCH_ROWS = 10_000
 
 
 def prefix_length(n: np.ndarray | int):
@@ -111,6 +114,37 @@ def rarest(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return own[np.lexsort((own, counts[place(own)]))[: prefix_length(len(own))]]
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Numbers of shingles in 2^k cells, about n / 4; a cell of the 2^(k-1) cells
+    is two neighbouring ones."""
+    bits = max(0, (len(own) - 1).bit_length() - 2)
+    cells = (own >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=1 << bits), 65_535).astype("<u2").tobytes()
+
+
+def may_link(sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs (i, j) that connect all sets whose sketches allow a link (a cell with
+    65,535 shingles or more allows any)."""
+    cells = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in sketches]
+    label = np.arange(len(sizes))
+    out = []
+    order = np.argsort(sizes, kind="stable")
+    full = np.array([(c == 65_535).any() for c in cells])
+    for at, i in enumerate(order):  # the larger ones that are near enough in size
+        rest = order[at + 1 :]
+        rest = rest[(sizes[rest] * PERCENT <= 100 * sizes[i]) & (label[rest] != label[i])]
+        own = cells[i]
+        for k in {len(cells[j]) for j in rest}:
+            some = np.array([j for j in rest if len(cells[j]) == k])
+            grid = np.stack([cells[j] for j in some]).reshape(len(some), len(own), -1).sum(axis=2)
+            bound = np.minimum(grid, own[None, :]).sum(axis=1)
+            for j in some[(bound >= needed(sizes[i], sizes[some])) | full[some] | full[i]]:
+                if label[j] != label[i]:
+                    out.append((int(i), int(j)))
+                    label[label == label[j]] = label[i]
+    return out
+
+
 def classified(docs: DataFrame) -> DataFrame:
     """For every row (doc_id, n, hi, lo), the size and signature of its set; and
     for every task up to ``PIECES`` rows (piece, task, counts) with documents by place."""
@@ -173,7 +207,7 @@ def summed(pieces: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, order) -> DataFrame:
-    """(hi, lo, n, prefix) of the sets, each once a task for as long as it is remembered."""
+    """(hi, lo, n, prefix, sketch) of the sets, each once a task for as long as it is remembered."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = order.value, set()
@@ -184,12 +218,12 @@ def prefixes(docs: DataFrame, order) -> DataFrame:
                 key = signature(own)
                 if len(own) and key not in seen:
                     seen.add(key)
-                    out.append((*key, len(own), rarest(own, counts).view(np.int64)))
+                    out.append((*key, len(own), rarest(own, counts).view(np.int64), sketch(own)))
             if len(seen) > 200_000:
                 seen.clear()
-            yield pd.DataFrame(out, columns=["hi", "lo", "n", "prefix"])
+            yield pd.DataFrame(out, columns=["hi", "lo", "n", "prefix", "sketch"])
 
-    return docs.select("text").mapInPandas(run, "hi long, lo long, n long, prefix array<long>")
+    return docs.select("text").mapInPandas(run, "hi long, lo long, n long, prefix array<long>, sketch binary")
 
 
 def whole_sets(docs: DataFrame) -> DataFrame:
@@ -430,15 +464,30 @@ def meeting_lists(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, staged(lists.join(once.select("token"), "token").select(F.col("token").alias("g"), "node"), "jaccard-unique-lists")
 
 
-def neighbourhoods(lists: DataFrame) -> DataFrame:
-    """(node, root): classes connected by lists, whether they are linked or not."""
-    first = lists.groupBy("g").agg(F.min("node").alias("b"))
-    return staged(components(lists.join(first, "g").select(F.col("node").alias("a"), "b")), "jaccard-neighbourhoods")
+def allowed(lists: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Edges that connect the classes of each list which may be linked."""
 
-
-def groups_of(lists: DataFrame, most: int = MOST) -> DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("g", kind="stable")
+        node, n, data = pdf["node"].to_numpy(), pdf["n"].to_numpy(), pdf["sketch"].tolist()
+        cut = np.concatenate([[0], np.nonzero(np.diff(pdf["g"].to_numpy()))[0] + 1, [len(pdf)]])
+        pairs = []
+        for a, b in zip(cut, cut[1:]):
+            pairs += [(node[a + i], node[a + j]) for i, j in may_link(n[a:b], data[a:b])]
+        return _edges(pairs).drop_duplicates()
+
+    sizes = staged(lists.groupBy("g").agg(F.count("*").alias("k"), F.min("node").alias("b")), "jaccard-list-sizes")
+    few = lists.join(sizes.where(F.col("k") <= SKETCHED).select("g"), "g")
+    bins = max(1, -(-few.count() // SKETCH_ROWS))
+    dealt = few.join(sketches, "node").withColumn("bin", F.pmod(F.xxhash64("g"), F.lit(bins)).cast("int"))
+    small_lists = dealt.groupBy("bin").applyInPandas(run, EDGES)
+    large_lists = lists.join(sizes.where(F.col("k") > SKETCHED), "g").select(F.col("node").alias("a"), "b")
+    return staged(small_lists.unionByName(large_lists), "jaccard-allowed")
+
+
+def groups_of(lists: DataFrame, sketches: DataFrame, most: int = MOST) -> DataFrame:
     """(g, node): the neighbourhoods of up to ``most`` classes, the lists of the others."""
-    near = neighbourhoods(lists)
+    near = staged(components(allowed(lists, sketches)), "jaccard-neighbourhoods")
     large = near.groupBy("root").agg(F.count("*").alias("k")).where(F.col("k") > most).select("root")
     whole = near.join(large, "root", "left_anti").select(F.col("root").alias("g"), "node")
     single = lists.join(near.join(large, "root", "left_semi").select("node"), "node", "left_semi").select("g", "node")
@@ -455,14 +504,18 @@ def similarity_components(docs: DataFrame, most: int = MOST) -> DataFrame:
     rows = rows.where("piece IS NULL").select("doc_id", "n", "hi", "lo")
     prefix = staged(prefixes(own, order), "jaccard-prefixes")
     nodes, lists = meeting_lists(prefix)
+    sketches = prefix.join(small(nodes.select("hi", "lo", "node")), ["hi", "lo"]).select("node", "n", "sketch")
+    groups = groups_of(lists, staged(sketches.dropDuplicates(["node"]), "jaccard-sketches"), most)
+    groups = staged(groups, "jaccard-neighbours")
     classes = rows.where("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id"))
-    classes = staged(classes.join(nodes.select("hi", "lo", "node"), ["hi", "lo"], "left"), "jaccard-classes")
+    classes = staged(classes.join(nodes.join(groups.select("node").distinct(), "node").select("hi", "lo", "node"), ["hi", "lo"], "left"), "jaccard-classes")
     meet = classes.where("node IS NOT NULL").select(F.col("first_id").alias("id")).distinct()
     some = own.join(small(staged(meet, "jaccard-ids")), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = staged(whole_sets(some).join(small(nodes), ["hi", "lo"]).select("node", "shingles"), "jaccard-sets")
-    if sets.count() > nodes.count():  # rows that share a doc_id
+    wanted = staged(classes.where("node IS NOT NULL").select("hi", "lo", "node"), "jaccard-wanted")
+    sets = staged(whole_sets(some).join(small(wanted), ["hi", "lo"]).select("node", "shingles"), "jaccard-sets")
+    if sets.count() > wanted.count():  # rows that share a doc_id
         sets = staged(sets.dropDuplicates(["node"]), "jaccard-distinct-sets")
-    edges = linked_edges(groups_of(lists, most), sets, order)
+    edges = linked_edges(groups, sets, order)
     found = staged(components(edges), "jaccard-components")
     grouped = classes.join(found, "node", "left").select("hi", "lo", "first_id", "root")
     least = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("component_id"))
