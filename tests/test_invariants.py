@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tillmart.operators import enrich as E
 from tillmart.operators import marts as M
+from tillmart.operators import quarantine as Q
 from tillmart.plans import job
 from tillmart.session import run_all, scratch_path
 from tillmart.sources.landing_fixture import landing_for
@@ -183,21 +184,26 @@ def test_rejected_files_move_to_the_error_folder(spark):
     left = {p.rsplit("/", 1)[-1] for p, d, _ in fs.list_dir(spark, zone) if not d}
     assert moved == sorted(p.rsplit("/", 1)[-1] for p in result.rejected)
     assert "notes.txt" in moved and "empty.csv" in moved and not (set(moved) & left)
-    lines = spark.read.parquet(result.paths["quarantine_lines"]).select("file_name").distinct().count()
+    lines = Q.read(spark, result.paths["quarantine"], "lines").select("file_name").distinct().count()
     assert lines == len([m for m in moved if m != "empty.csv"])
 
 
 def _zone(spark, files):
     """A landing folder with the given relative paths and contents."""
-    import os
-    import tempfile
+    root = scratch_path(spark, "zone")
+    root = root if ":" in root else f"file://{root}"
+    put(spark, root, files)
+    return root
+
 
-    root = tempfile.mkdtemp(prefix="tillmart-zone-")
+def put(spark, root, files):
+    """Files with the given contents, written through the shared folder's own file system."""
+    jvm = spark._jvm
     for name, text in files.items():
-        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
-        with open(f"{root}/{name}", "w") as f:
-            f.write(text)
-    return f"file://{root}"
+        at = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+        out.write(bytearray(text.encode()))
+        out.close()
 
 
 HEADER = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost\n"
@@ -253,12 +259,87 @@ def test_quarantine_is_written_once_and_without_valid_files(spark):
             raise AssertionError("expected NoValidFiles")
         except job.NoValidFiles:
             pass
-        from tillmart.sinks import parquet as P
-
-        lines = spark.read.parquet(P.latest_snapshot(spark, f"{out}/quarantine/lines"))
+        lines = Q.read(spark, f"{out}/quarantine", "lines")
         assert lines.count() == 4 and lines.select("path").distinct().count() == 2
 
 
+def test_each_run_writes_its_own_quarantine_only(spark, monkeypatch):
+    row = "1,1,oats,2023-05-01,1,2.00,4,8.00\n"
+    lines = "".join(f"{i},x\n" for i in range(500))
+    zone, out = _zone(spark, {"bad.csv": "a,b\n" + lines, "good1.csv": HEADER + row}), scratch_path(spark, "run-own")
+    job.run(spark, zone, _dims(spark), out, processed_dir=f"{out}/done", error_dir=f"{out}/errors")
+    base = f"{out}/quarantine"
+    assert Q.read(spark, base, "lines").count() == 501
+
+    def batches():
+        return {r.batch: r.n for r in spark.read.parquet(f"{base}/lines").groupBy("batch").count().withColumnRenamed("count", "n").collect()}
+
+    # Later runs bring other files: nothing of the first run is written again.
+    before = batches()
+    for k, text in ((2, "p\nq\n"), (3, "r\n")):
+        put(spark, zone, {f"bad{k}.csv": text, f"good{k}.csv": HEADER + row})
+        job.run(spark, zone, _dims(spark), out, processed_dir=f"{out}/done", error_dir=f"{out}/errors")
+    assert sorted(batches().values()) == [1, 2, 501] and before.items() <= batches().items()
+    assert Q.read(spark, base, "lines").count() == 504
+    # A rejected file that comes again as a valid one leaves the quarantine.
+    put(spark, zone, {"bad2.csv": HEADER + row})
+    job.run(spark, zone, _dims(spark), out)
+    assert Q.read(spark, base, "lines").count() == 502
+    assert {r.file_name for r in Q.read(spark, base, "files").collect()} == {"bad.csv", "bad3.csv"}
+    # A run that stops before its last write changes nothing that is read.
+    put(spark, zone, {"bad4.csv": "s\n"})
+    taken = spark.createDataFrame([], "path string")
+    monkeypatch.setattr(Q, "_taken", lambda *a: 1 / 0)
+    try:
+        Q.append(spark, base, "stopped", {"lines": Q_lines(spark, f"{zone}/bad4.csv")}, taken)
+        raise AssertionError("expected to stop")
+    except ZeroDivisionError:
+        monkeypatch.undo()
+    assert Q.read(spark, base, "lines").count() == 502
+
+
+def Q_lines(spark, path):
+    from tillmart.operators import validate as V
+
+    return V.quarantine_raw_lines(spark, [path])
+
+
+def test_a_run_without_matched_rows_finishes(spark):
+    from tillmart.operators import ledger as LG
+
+    zone, out = _zone(spark, {"empty_body.csv": HEADER}), scratch_path(spark, "run-empty")
+    first = job.run(spark, zone, _dims(spark), out, publish=True)
+    assert [p.rsplit("/", 1)[-1] for p in first.processed] == ["empty_body.csv"]
+    for name, schema in first.schemas.items():
+        assert job.read_mart(spark, first.paths[name], schema).count() == 0
+    assert {r.status for r in LG.state(LG.read(spark, first.paths["ledger"])).collect()} == {"I"}
+    # Sales whose customer nobody knows: counted as lost, the marts stay empty.
+    put(spark, zone, {"unknown.csv": HEADER + "99999999,1,oats,2023-05-01,1,2.00,4,8.00\n"})
+    second = job.run(spark, zone, _dims(spark), out)
+    assert job.read_mart(spark, second.paths["sales_mart"], second.schemas["sales_mart"]).count() == 0
+    assert spark.read.parquet(second.paths["lost_sales"]).count() >= 1
+    # A later file with matched rows finds nothing in its way.
+    put(spark, zone, {"later.csv": HEADER + "1,1,oats,2023-05-01,1,2.00,4,8.00\n"})
+    third = job.run(spark, zone, _dims(spark), out)
+    assert _total(spark, third) == Decimal("8.00")
+
+
+def test_extra_columns_of_any_name_keep_their_values(spark):
+    from tillmart.plans.ingest import ingest
+
+    head = HEADER.rstrip("\n")
+    row = "1,1,oats,2023-05-01,1,2.00,4,8.00"
+    zone = _zone(spark, {
+        "a.csv": f"{head},path,note\n{row},HELLO,n\n",
+        "b.csv": f"{head},file_name,_corrupt_record\n{row},F,C\n",
+        "c.csv": f"{head},a`b,x.y,PATH\n{row},tick,dot,upper\n",
+    })
+    ing = ingest(spark, zone)
+    got = {r.file_name: (r.additional_column, r.path.rsplit("/", 1)[-1]) for r in ing.rows.collect()}
+    assert got == {"a.csv": ("HELLO, n", "a.csv"), "b.csv": ("F, C", "b.csv"), "c.csv": ("tick, dot, upper", "c.csv")}
+    assert ing.corrupt.count() == 0
+
+
 def test_moves_keep_relative_paths_and_snapshots_are_published(spark):
     from tillmart.sinks import parquet as P
     from tillmart.sources import fs

@@ -41,11 +41,11 @@ def incentive(total: str | Column, is_top: str | Column) -> Column:
     return F.when(col_of(is_top), paid).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
 
 
-def fold_extras(extras: list[str]) -> Column:
+def fold_extras(extras: list[str | Column]) -> Column:
     """Fold surplus columns into one text; NULL inputs are skipped."""
     if not extras:
         return F.lit(None).cast("string")
-    return F.concat_ws(EXTRA_SEPARATOR, *[F.col(c).cast("string") for c in extras])
+    return F.concat_ws(EXTRA_SEPARATOR, *[col_of(c).cast("string") for c in extras])
 
 
 def base_name(path: str | Column) -> Column:

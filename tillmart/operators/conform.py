@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tillmart.functions.scalars import fold_extras
 from tillmart.schemas import ADDITIONAL_COLUMN, LANDING_TYPES, MANDATORY_COLUMNS, MONEY, SALES_SCHEMA
-from tillmart.sources.landing import CORRUPT
+from tillmart.sources.landing import CORRUPT, SCAN_CORRUPT, SCAN_NAME, SCAN_PATH
 
 UNIFIED_SCHEMA = T.StructType(
     SALES_SCHEMA.fields + [T.StructField("file_name", T.StringType(), True), T.StructField("path", T.StringType(), True)]
@@ -23,7 +23,8 @@ UNIFIED_SCHEMA = T.StructType(
 
 
 def _q(name: str):
-    return F.col(f"`{name}`")
+    """A column by its exact name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 STAGED_SCHEMA = T.StructType(UNIFIED_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
@@ -40,14 +41,14 @@ def conform(scan: DataFrame, header: list[str]) -> DataFrame:
     # row is a bad row, like one that cannot be parsed.
     inexact = reduce(lambda x, y: x | y, (_q(c).isNotNull() & ~(F.coalesce(_q(c).try_cast(MONEY) == _q(c), F.lit(False))) for c in amounts))
     record = F.concat_ws(",", *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in header])
-    scan = scan.withColumn(CORRUPT, F.coalesce(_q(CORRUPT), F.when(inexact, record)))
+    scan = scan.withColumn(SCAN_CORRUPT, F.coalesce(_q(SCAN_CORRUPT), F.when(inexact, record)))
     scan = scan.withColumns({c: _q(c).try_cast(MONEY) for c in amounts})
     return scan.select(
         *[_q(c) for c in MANDATORY_COLUMNS],
-        fold_extras([f"`{c}`" for c in extras]).alias(ADDITIONAL_COLUMN),
-        "file_name",
-        "path",
-        CORRUPT,
+        fold_extras([_q(c) for c in extras]).alias(ADDITIONAL_COLUMN),
+        _q(SCAN_NAME).alias("file_name"),
+        _q(SCAN_PATH).alias("path"),
+        _q(SCAN_CORRUPT).alias(CORRUPT),
     )
 
 

@@ -18,8 +18,10 @@ directories as months per run, whatever the number of files.  A row counts if
 the ledger's newest closing of its file names its run, so rows of a run that
 died, or of a file that was taken up again, are passed over; a month's files may
 arrive over several runs, and each run rebuilds the marts of its months.
-Quarantine tables are complete snapshots: a run's files replace their own
-earlier rows, so taking a rejected file again adds nothing.  Files are moved
+Quarantine tables hold each run's own rows; the newest run of a file counts
+(``operators.quarantine``), so taking a rejected file again adds nothing.  A run
+whose valid files have no rows, or no row with all dimensions, is a run like
+any other: its files are closed and its marts are empty.  Files are moved
 last, each to its path below the landing folder, so equal names never meet.
 """
 
@@ -32,10 +34,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmart.operators import enrich as E
 from tillmart.operators import ledger as LG
 from tillmart.operators import marts as M
+from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import ingest
 from tillmart.session import apply_defaults, run_all
@@ -62,6 +66,7 @@ class RunResult:
     rejected: list[str]
     active_before: list[str]
     paths: dict[str, str] = field(default_factory=dict)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)  # of the marts
 
 
 def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
@@ -74,18 +79,6 @@ def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     )
 
 
-def _snapshot(new: DataFrame, base: str, taken: DataFrame) -> str:
-    """A complete new snapshot: the last one without the rows of the ``taken``
-    paths, plus ``new``; returns its location."""
-    spark = new.sparkSession
-    last, at = P.latest_snapshot(spark, base), time.time()
-    if last:
-        at = max(at, int(last.rsplit("/", 1)[-1]) / 1000 + 1)
-        old = spark.read.schema(new.schema).parquet(last)
-        new = old.join(taken.select("path"), "path", "left_anti").unionByName(new)
-    return P.write_snapshot(new, base, now=at)
-
-
 def _in_months(months: list[str | None]) -> Column:
     """The months, NULL among them if it is."""
     known = F.col("sales_month").isin([m for m in months if m is not None])
@@ -134,6 +127,7 @@ def run(
         "staged": f"{out}/staging/parsed-{batch}",
         "detail": f"{out}/detail",
         "lost_sales": f"{out}/lost_sales",
+        "quarantine": f"{out}/quarantine",
         "customer_detail": f"{out}/customer_detail_mart",
         "sales_team_detail": f"{out}/sales_team_detail_mart",
         "sales_partitioned": f"{out}/sales_partitioned_mart",
@@ -156,16 +150,8 @@ def run(
     # V4/V5 sinks: rejected files, their raw lines, unparsable rows.
     taken = spark.createDataFrame([(p,) for p in sorted(files)], "path string")
     rejected = ing.verdicts.where(F.col("verdict") == V.ERROR)
-    tables = {
-        "quarantine_files": rejected,
-        "quarantine_lines": V.quarantine_raw_lines(spark, ing.error_paths),
-        "quarantine_rows": ing.corrupt,
-    }
-
-    def quarantine(name: str) -> None:
-        paths[name] = _snapshot(tables[name], f"{out}/quarantine/{name.split('_')[1]}", taken)
-
-    run_all(*[lambda n=n: quarantine(n) for n in tables])
+    tables = {"files": rejected, "lines": V.quarantine_raw_lines(spark, ing.error_paths), "rows": ing.corrupt}
+    Q.append(spark, paths["quarantine"], batch, tables, taken)
     if not ing.valid_paths:
         if error_dir:
             _move(spark, ing.error_paths, landing_dir, error_dir)
@@ -191,7 +177,7 @@ def run(
     mine = good.select("path", F.lit(batch).alias("batch"))
     closed = state.where(F.col("batch").isNotNull()).select(F.col("file_location").alias("path"), "batch")
     counted = closed.join(mine, "path", "left_anti").unionByName(mine)
-    stored = spark.read.parquet(paths["detail"]).where(_in_months(touched))
+    stored = spark.read.schema(months.schema).parquet(paths["detail"]).where(_in_months(touched))
     detail = stored.join(counted, ["path", "batch"], "left_semi").drop("path", "batch")
 
     # O1/O2: detail marts and the month/store partitioned mart; C1/C2 + O6:
@@ -201,35 +187,33 @@ def run(
     customer_detail = M.customer_detail(detail)
     customer_mart = M.conform_customer_mart(M.customer_monthly(customer_detail))
     sales_mart = M.conform_sales_mart(M.sales_incentive(M.sales_monthly_totals(team_detail)))
-    run_all(
-        lambda: _dynamic(team_detail, paths["sales_partitioned"], P.PARTITION_KEYS),
-        lambda: _dynamic(
-            customer_detail.withColumn("_m", M.sales_month("sales_date")), paths["customer_detail"], ("_m",)
-        ),
-        lambda: _dynamic(team_detail.withColumn("_m", F.col("sales_month")), paths["sales_team_detail"], ("_m",)),
-        lambda: _dynamic(
-            customer_mart.withColumn("_m", F.date_format("sales_date_month", "yyyy-MM")),
-            paths["customer_mart"],
-            ("_m",),
-        ),
-        lambda: _dynamic(sales_mart.withColumn("_m", F.col("sales_month")), paths["sales_mart"], ("_m",)),
-    )
+    customer_month = F.date_format("sales_date_month", "yyyy-MM")
+    outputs = {
+        "sales_partitioned": (team_detail, P.PARTITION_KEYS),
+        "customer_detail": (customer_detail.withColumn("_m", M.sales_month("sales_date")), ("_m",)),
+        "sales_team_detail": (team_detail.withColumn("_m", F.col("sales_month")), ("_m",)),
+        "customer_mart": (customer_mart.withColumn("_m", customer_month), ("_m",)),
+        "sales_mart": (sales_mart.withColumn("_m", F.col("sales_month")), ("_m",)),
+    }
+    schemas = {name: df.schema for name, (df, _) in outputs.items()}
+    run_all(*[lambda n=n, df=df, keys=keys: _dynamic(df, paths[n], keys) for n, (df, keys) in outputs.items()])
 
     # L3: only now, after every write above succeeded, are this run's files done.
     done = now + dt.timedelta(seconds=max(1, round(time.monotonic() - began)))
     LG.append(LG.events(spark, good, "I", done, batch), paths["ledger"])
     if publish:
         for name, keys in (("customer_detail", ()), ("sales_team_detail", ()), ("sales_partitioned", P.PARTITION_KEYS)):
-            whole = read_mart(spark, paths[name])
+            whole = read_mart(spark, paths[name], schemas[name])
             paths[f"{name}_snapshot"] = P.write_snapshot(whole, f"{out}/published/{name}", partition_by=keys)
     if error_dir:
         _move(spark, ing.error_paths, landing_dir, error_dir)
     if processed_dir:
         _move(spark, ing.valid_paths, landing_dir, processed_dir)
-    return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths)
+    return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths, schemas)
 
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """A month-partitioned mart without its helper partition column."""
-    df = spark.read.parquet(path)
+def read_mart(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A month-partitioned mart without its helper partition column.  With the
+    ``schema`` a run returns, a mart that has no rows yet can be read too."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df.drop("_m") if "_m" in df.columns else df

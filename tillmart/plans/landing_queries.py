@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.operators import ledger as LG
+from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import Ingested, ingest
 from tillmart.session import apply_defaults, scratch_path, shared_dir
@@ -176,8 +177,8 @@ def q_run_customer_mart(spark, sf_dir):
 def q_run_quarantine(spark, sf_dir):
     """The rejected files of a run with the number of their quarantined lines."""
     _, result = _run(spark, sf_dir)
-    files = spark.read.parquet(result.paths["quarantine_files"]).select("path", "file_name", "reason")
-    lines = spark.read.parquet(result.paths["quarantine_lines"]).groupBy("path").agg(F.count("*").alias("n"))
+    files = Q.read(spark, result.paths["quarantine"], "files").select("path", "file_name", "reason")
+    lines = Q.read(spark, result.paths["quarantine"], "lines").groupBy("path").agg(F.count("*").alias("n"))
     return files.join(lines, "path", "left").select("file_name", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n_lines"))
 
 

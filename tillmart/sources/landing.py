@@ -26,6 +26,8 @@ from tillmart.functions.scalars import base_name
 from tillmart.schemas import LANDING_TYPES, MANDATORY_COLUMNS, MONEY, READ_MONEY
 
 CORRUPT = "_corrupt_record"
+# Working columns beside those of a file; a header cannot name them.
+SCAN_NAME, SCAN_PATH, SCAN_CORRUPT = "\u0001file_name", "\u0001path", "\u0001corrupt"
 LISTING_SCHEMA = "path string"
 _SCHEME_SLASHES = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
 _GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
@@ -167,14 +169,14 @@ def scan_schema(columns: list[str]) -> T.StructType:
     corrupt-record column that PERMISSIVE mode fills for unparsable rows."""
     types = {c: READ_MONEY if t == MONEY else t for c, t in LANDING_TYPES.items()}
     fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in columns]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    return T.StructType(fields + [T.StructField(SCAN_CORRUPT, T.StringType(), True)])
 
 
 def scan_by_header(spark: SparkSession, files: list[tuple[str, list[str]]]) -> list[tuple[list[str], DataFrame]]:
     """One typed CSV scan per distinct header.
 
     ``files`` holds (path, header columns) of the valid files; the result is
-    (header columns, DataFrame with a ``file_name`` column) per header.
+    (header columns, DataFrame with the working columns) per header.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path, cols in files:
@@ -185,10 +187,10 @@ def scan_by_header(spark: SparkSession, files: list[tuple[str, list[str]]]) -> l
             spark.read.schema(scan_schema(list(cols)))
             .option("header", "true")
             .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnNameOfCorruptRecord", SCAN_CORRUPT)
             .option("dateFormat", "yyyy-MM-dd")
             .csv([reader_path(p) for p in sorted(paths)])
-            .withColumns({"file_name": meta_name(), "path": meta_path()})
+            .withColumns({SCAN_NAME: meta_name(), SCAN_PATH: meta_path()})
         )
         scans.append((list(cols), df))
     return scans
