@@ -1,6 +1,7 @@
 """Toxicity (7) and language identification (10): held-out accuracy, odd input."""
 
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -98,3 +99,43 @@ def test_small_shares_keep_the_sample_size(spark):
     assert few.where(hash_fraction(F.col("id"), 1.0)).count() == 1000
     assert 200 < few.where(hash_fraction(F.col("id"), 0.25)).count() < 300
     assert few.where(hash_fraction(F.col("id"), 0.0)).count() == 0
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    """One text in a third of the rows, one id in a third, null ids in a third."""
+    rows_ = [(i, "one text again and again", "en") for i in range(3000)]
+    rows_ += [(7, f"text number {i}", "en") for i in range(3000)]
+    rows_ += [(None, f"no id {i}", "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)] + [(7, 1)] * 3000, "doc_id long, toxic int")
+    got = toxicity.sample(docs, labels, per_class=5)
+    assert 5 <= len(got) <= 10 and sum(y for _, y in got) <= 5
+    assert len(langid.sample(docs, per_lang=5)) <= 5
+    many = spark.createDataFrame([(i, f"text {i} of a language", f"l{i % 300}") for i in range(12000)], docs.schema)
+    got = langid.sample(many, per_lang=20, total=900)
+    assert len(got) <= 900 and len({lang for _, lang in got}) == 300
+
+
+def test_scores_follow_the_formulas(spark):
+    """Every text scored anew from the models' weights, over all its words."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect()][:60]
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    model = toxicity.train(toxicity.sample(docs, labels))
+    scorer = toxicity.Scorer(model)
+    for text in texts:
+        counts = Counter(f for w in text.lower().split() for f in toxicity.word_features(w) if f in model.weights)
+        total = sum(model.weights[f] * np.log1p(n) for f, n in counts.items())
+        above = 1 / (1 + np.exp(model.thresholds - total))
+        assert abs(scorer.score(text)[0] - above.sum()) < 1e-5 and abs(scorer.score(text)[1] - above[0]) < 1e-5
+    model = langid.train(langid.sample(docs))
+    predictor = langid.Predictor(model)
+    for text in texts:
+        words = text.lower().split()
+        grams = [g for w in words for g in langid.subwords(w)]
+        if not any(map(str.isalpha, text)) or not grams:
+            continue
+        logits = (model.table[grams].sum(axis=0) / len(grams) + model.bias) / model.temperature
+        p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        lang, score = predictor.predict(text)
+        assert abs(p[model.langs.index(lang)] - score) < 1e-5 and p.max() - score < 1e-5

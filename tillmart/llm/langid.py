@@ -33,14 +33,16 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import bounded_batches, hash_fraction
+from tillmart.llm.common import bounded_batches, small, staged
 from tillmart.llm.memo import Memo, WordRows
 
 UNKNOWN = "und"
 SAMPLE_PER_LANG = 1_000
+SAMPLE_TOTAL = 12_000  # of all languages together
+SPARE = 2  # thinning keeps so many times the rows that are wanted
 SAMPLE_CHARS = 20_000
 BUCKETS = 4_096
 DIM = 16
@@ -177,17 +179,24 @@ def held_out(docs: DataFrame):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """Whole (text, lang) rows to learn from, about ``per_lang`` of each language."""
+def sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, chars: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL) -> list[tuple[str, str]]:
+    """Whole (text, lang) rows to learn from: different texts, at most ``per_lang``
+    of each language, fewer where there are so many languages that ``total``
+    would be exceeded (one of each at least)."""
     known = docs.where(F.col("doc_id").isNotNull() & ~held_out(docs)).select("text", "lang")
     known = known.where(F.col("lang").isNotNull() & F.length("text").between(1, chars))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    counts = staged(known.groupBy("lang").agg(F.count("*").alias("n")), "langid-counts")
+    langs = counts.count()
+    if not langs:
         return []
-    pick = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        pick = pick | ((F.col("lang") == lang) & hash_fraction(F.col("text"), min(1.0, per_lang / n)))
-    return [(r.text, r.lang) for r in known.where(pick).collect()]
+    quota = max(1, min(per_lang, total // langs))
+    # Thinned by hash, with room to spare where texts repeat, then the smallest hashes of each language.
+    h = F.xxhash64("text", F.lit("sample")).bitwiseAND(F.lit((1 << 63) - 1))
+    share = F.least(F.lit(1.0), F.lit(float(quota) * SPARE) / F.col("n"))
+    few = known.join(small(counts), "lang").withColumn("h", h).where(F.col("h").cast("double") <= share * float(1 << 63))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    first = few.select("text", "lang", "h").distinct().withColumn("place", place).where(F.col("place") <= quota)
+    return [(r.text, r.lang) for r in first.orderBy("lang", "place").collect()]
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +60,20 @@ def word_features(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)) if word else ()
 
 
-def features(text: str, known: Memo) -> Counter:
+def feature_ids(word: str) -> tuple[int, ...]:
+    return tuple(xxhash.xxh3_64_intdigest(f) for f in word_features(word))
+
+
+def features(text: str, known: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) of a text's features, ids ascending."""
     out: Counter = Counter()
     for word, n in Counter(text.lower().split()).items():
         for f in known[word]:
             out[f] += n
-    return out
+    ids = np.fromiter(out.keys(), dtype=np.uint64, count=len(out))
+    counts = np.fromiter(out.values(), dtype=np.int32, count=len(out))
+    order = np.argsort(ids)
+    return ids[order], counts[order]
 
 
 def sigmoid(z):
@@ -123,29 +132,41 @@ def train(rows: list[tuple[str, int]]) -> Model | None:
     toxic = np.array([y for _, y in rows], dtype=int)
     if len(set(toxic.tolist())) < 2:
         return None
-    known = Memo(word_features)
-    bags = [features(t, known) for t, _ in rows]
-    seen = (Counter(), Counter())
-    for bag, y in zip(bags, toxic):
-        seen[y].update(bag.keys())
+    known = Memo(feature_ids)
+    bags = [features(t, known) for t, _ in rows]  # sparse: two small arrays a text
+    ids, texts_with = np.unique(np.concatenate([i for i, _ in bags]), return_counts=True)
+    ids = ids[texts_with >= max(MIN_TEXTS, MIN_SHARE * len(rows))]
+    bags = [(i[at], c[at]) for i, c in bags for at in [np.isin(i, ids, assume_unique=True)]]
+    wanted, found = set(ids.tolist()), {}
+    for text, _ in rows:  # the names of what is left
+        for word in set(text.lower().split()):
+            found |= {i: f for i, f in zip(known[word], word_features(word)) if i in wanted and i not in found}
+    names = sorted(found.values())
+    place = {i: j for j, (_, i) in enumerate(sorted((f, i) for i, f in found.items()))}
+    bags = [(np.array([place[k] for k in i.tolist()], dtype=np.int64), c) for i, c in bags]
+    seen = np.zeros((2, len(names)))
+    for (i, _), y in zip(bags, toxic):
+        seen[y][i] += 1
     n = np.bincount(toxic, minlength=2)
-    names = sorted(f for f in set(seen[0]) | set(seen[1]) if seen[0][f] + seen[1][f] >= max(MIN_TEXTS, MIN_SHARE * len(rows)))
-    a, b = (np.array([seen[y][f] for f in names], dtype=float) for y in (1, 0))
+    a, b = seen[1], seen[0]
     odds = np.log((a + 0.5) / (n[1] + 1)) - np.log((b + 0.5) / (n[0] + 1))
     share = (a + b) / n.sum()
     chi = (a - share * n[1]) ** 2 / (share * n[1]) + (b - share * n[0]) ** 2 / (share * n[0])
     chi[np.abs(odds) < MIN_ODDS] = 0
     chosen = sorted(i for i in np.argsort(-chi, kind="stable")[:FEATURES].tolist() if chi[i] >= MIN_CHI * len(rows))
-    indicative = {names[i] for i in chosen if odds[i] > INDICATIVE}
-    amount = np.array([sum(c for f, c in bag.items() if f in indicative and not f.endswith("*")) for bag in bags])
+    indicative = np.array([odds[i] > INDICATIVE and not names[i].endswith("*") for i in range(len(names))], dtype=bool)
+    indicative &= np.isin(np.arange(len(names)), chosen)
+    amount = np.array([c[indicative[i]].sum() for i, c in bags])
     thirds = np.quantile(amount[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + (amount[:, None] > thirds[None, :]).sum(axis=1), 0)
     index = {names[i]: j for j, i in enumerate(chosen)}
+    column = np.full(len(names), -1)
+    column[chosen] = np.arange(len(chosen))
     x = np.zeros((len(rows), len(index)))
-    for row, bag in zip(x, bags):
-        for f, c in bag.items():
-            if f in index:
-                row[index[f]] = np.log1p(c)
+    for row, (i, c) in zip(x, bags):
+        used = column[i] >= 0
+        row[column[i[used]]] = np.log1p(c[used])
+    del bags, known, found
     kept_back = np.zeros(len(rows), dtype=bool)
     for y in (0, 1):
         kept_back[np.nonzero(toxic == y)[0][4::5]] = True
@@ -171,7 +192,11 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
         pick = pick | ((F.col("toxic") == y) & hash_fraction(F.col("doc_id"), min(1.0, per_class / n)))
     few = known.where(pick)
     rows = docs.select("doc_id", "text").where(F.length("text").between(1, chars)).join(F.broadcast(few), "doc_id")
-    return sorted((r.text, r.toxic) for r in rows.select("text", "toxic").collect())
+    # Repeated rows count once, and of each class the smallest hashes stay: the
+    # number of rows is bounded whatever ids and texts repeat.
+    rows = rows.select("doc_id", "text", "toxic").distinct().withColumn("h", F.xxhash64("doc_id", "text", F.lit("bound")))
+    first = [rows.where(F.col("toxic") == y).orderBy("h", "text").limit(per_class).select("text", "toxic") for y in (0, 1)]
+    return sorted((r.text, r.toxic) for r in first[0].unionByName(first[1]).collect())
 
 
 class Scorer:
