@@ -10,7 +10,7 @@ import numpy as np
 # Bytes that an entry of a dictionary takes beside its key and its value.
 ENTRY_BYTES = 100
 # Bytes of one generation of a memory.
-MEMORY_BYTES = 32_000_000
+MEMORY_BYTES = 64_000_000
 
 
 def weight(key, value) -> int:
@@ -51,7 +51,7 @@ class WordRows(dict):
     text when the words known are more than ``most`` or, with their rows, more
     than ``most_bytes``; grows within one text."""
 
-    def __init__(self, compute: Callable, width: int, most: int = 500_000, most_bytes: int = 4 * MEMORY_BYTES):
+    def __init__(self, compute: Callable, width: int, most: int = 500_000, most_bytes: int = 2 * MEMORY_BYTES):
         super().__init__()
         self.compute, self.most, self.most_bytes = compute, most, most_bytes
         self.rows = np.zeros((1024, width))
