@@ -276,3 +276,42 @@ def test_items_that_share_an_id_or_have_none(spark):
     want = [(1, 1, 16, 16, 1.0), (2, 1, 16, 16, 1.0), (3, 2, 26, 26, 1.0), (4, None, 8, 8, 1.0), (6, 1, 16, 16, 1.0)]
     assert rows(decontaminate.contaminated(given, bench)) == sorted(want, key=repr)
     assert rows(decontaminate.without_contaminated(given, bench), "doc_id") == [(5,)]
+
+
+def test_items_of_few_words(spark):
+    docs = [(1, "he said: Hello, world again"), (2, "hello big world"), (3, "yes"), (4, "no four words in it"), (5, "漢字 一句話"), (None, "YES and hello world")]
+    items = [(1, "hello world"), (2, "Yes!"), (3, "four words in it"), (4, "一句話"), (5, "four words in it now"), (6, "..."), (None, "hello world")]
+    given, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = rows(decontaminate.contaminated(with_clashes(given), bench), "doc_id", "item_id")
+    pairs = [(1, 1), (1, None), (3, 2), (4, 3), (5, 4), (None, 1), (None, 2), (None, None)]
+    assert got == sorted(pairs, key=repr)
+    assert rows(decontaminate.without_contaminated(given, bench), "doc_id") == [(2,)]
+
+
+def test_a_phrase_that_all_items_share(spark):
+    """Many documents and items open with one phrase: the pairs to verify are those that may match."""
+    phrase = "answer the following question with one word only"
+    tail = lambda name: " ".join(f"{name}t{j}" for j in range(12))
+    items = [(i, f"{phrase} {tail(f'i{i}')}") for i in range(300)]
+    docs = [(i, f"{phrase} {tail(f'd{i}' if i % 10 else f'i{i}')}") for i in range(300)]
+    given, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    known = decontaminate.staged(decontaminate.item_texts(bench), "test-items")
+    pairs = decontaminate.candidate_pairs(given, decontaminate.staged(decontaminate.signatures(known), "test-sketch"), [5])
+    assert pairs.count() == 30
+    assert rows(decontaminate.contaminated(given, bench), "doc_id", "item_id") == sorted(((i, i) for i in range(0, 300, 10)), key=repr)
+
+
+def test_items_against_the_sql(spark):
+    """The oracle on rows with repeated and null ids, copies and short items."""
+    import duckdb
+    import pandas as pd
+
+    text = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
+    items = [(1, text("a", 20)), (1, text("b", 30)), (2, text("a", 20)), (None, text("c", 9)), (None, "short one"), (3, None), (3, "short one")]
+    docs = [(1, text("a", 19) + " short one"), (1, text("b", 30)), (None, text("c", 9)), (None, None), (2, text("b", 25)), (2, text("b", 26)), (2, text("b", 26))]
+    got = rows(decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    con = duckdb.connect()
+    frame = lambda data, key: pd.DataFrame({key: pd.array([d[0] for d in data], "Int64"), "text": pd.array([d[1] for d in data], "string")})
+    con.register("documents", frame(docs, "doc_id"))
+    con.register("benchmark", frame(items, "item_id"))
+    assert got == sorted(con.execute(decontaminate.oracle()).fetchall(), key=repr) and len(got) > 5

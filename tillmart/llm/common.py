@@ -21,6 +21,8 @@ from tillmart.session import scratch_path
 
 # Rows a table may have to be broadcast (a few tens of bytes each).
 BROADCAST_ROWS = 1_000_000
+# Bytes that a text column of such a table may have together.
+BROADCAST_BYTES = 64 * 2**20
 # Texts of an Arrow batch, and Spark's setting for it.
 BATCH_ROWS = 500
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -61,10 +63,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("doc"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if its counted rows are few; beyond
-    that it is joined by a shuffle, in which Spark splits hot keys."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, text: str | None = None) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows, and the bytes
+    of its ``text`` column if it has one, are few; beyond that it is joined by a
+    shuffle, in which Spark splits hot keys."""
+    size = F.sum(F.octet_length(text)) if text else F.lit(0)
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if got.n <= BROADCAST_ROWS and got.size <= BROADCAST_BYTES else df
 
 
 def hash_fraction(key: Column, fraction: float, salt: str = "sample") -> Column:
