@@ -8,6 +8,7 @@ from collections import Counter
 
 import pytest
 from odd import ROWS, SCHEMA, empty_docs, odd_docs, rows, with_clashes
+from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from tillmart.llm import decontaminate, host_rules, pii, sharding
@@ -197,11 +198,56 @@ def test_frequent_formats_beside_the_base_patterns(spark):
     assert {clean[1000 + i] for i in range(150)} == {"write to [EMAIL] or call [PHONE] ok"}
     assert all(f"order {10**9 + 7919 * i} and" in clean[2000 + i] and "me @ noon on 01-02-2021 10" in clean[2000 + i] for i in range(150))
     assert "name" not in clean[3000] and "555" not in clean[3000] and "4111" not in clean[3001]
-    # with no candidate of another kind there is nothing to train on
+    # with no candidate of another kind the seed texts give the other class
     alone = pii.redacted(spark.createDataFrame(hot, SCHEMA)).collect()
     assert {r.text for r in alone} == {"write to [EMAIL] or call [PHONE] ok"}
 
 
+def test_trees_and_thresholds_decide(spark):
+    """Added spans are the candidates that the fitted model itself scores at or
+    above their kind's threshold; without trees there are none."""
+    from pyspark.ml.feature import VectorAssembler
+
+    lines = ["write to ann (at) web7 (dot) com now", "or call 030 1234567 ok", "card 4111.1111.1111.1111 fine", "meet me @ noon on 01-02-2021 10", "order 1234567890 is late"]
+    docs = spark.createDataFrame([(i, f"{line} {i}", "en", "h", 1) for i, line in enumerate(lines * 3)], SCHEMA)
+    trees = pii.train(docs)
+    assert all(0.5 <= t <= 1 for t in trees.thresholds.values())
+    found = pii.generated(docs, F.col("text"))
+    names = list(pii.features(F.col("c")))
+    each = found.select("doc_id", F.explode("_extra").alias("c")).select("doc_id", "c.kind", "c.s", "c.e", trees.probability(F.col("c")).alias("p"), *(v.alias(k) for k, v in pii.features(F.col("c")).items()))
+    scored = trees.model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(each)).collect()
+    assert scored and all(abs(r.probability[1] - r.p) < 1e-9 for r in scored)
+    want = {(r.doc_id, f"{r.kind}:{r.s}:{r.e}") for r in scored if r.probability[1] >= trees.thresholds[r.kind]}
+    added = lambda t: {(r.doc_id, x) for r in pii.with_spans(docs, t, F.col("text")).select("doc_id", pii.listed(F.col("_spans")).alias("x")).collect() for x in r.x.split(",") if x}
+    assert added(trees) == want and len(want) == 9
+    assert added(None) == set()
+    trees.thresholds["phone"] = 2.0
+    assert {x.split(":")[0] for _, x in added(trees)} == {"email", "card"}
+
+
+LOOSE_PLAIN = pii.LOOSE  # possessive patterns, read alike by Python
+
+
+def test_candidates_by_plain_patterns(spark):
+    text = "a@b.co x (at) y (dot) z +1 234 567 8901 (030) 123-4567 1.2.3.4 999.1.1.1.5 4111 1111 1111 1111 ünï 4111.1111.1111.1112 m @ n😀 05-06 78 90 12"
+    docs = spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")
+    for r in pii.generated(docs, F.col("text")).collect():
+        blank = list(r.text)
+        for span in plain_spans(r.text):
+            _, s, e = span.split(":")
+            blank[int(s) : int(e)] = "\n" * (int(e) - int(s))
+        want = {(k, m.start(), m.end()) for k in pii.KINDS for m in re.finditer(LOOSE_PLAIN[k], "".join(blank))}
+        assert {(c.kind, c.s, c.e) for c in r._extra} == want and (len(want) > 4 or not r.text)
+
+
+def test_samples_are_bounded_whatever_the_ids(spark):
+    docs = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "one text").otherwise(F.concat(F.lit("t"), F.col("id") % 1500)).alias("text"))
+    assert pii.sampled_texts(docs, 50).count() == 50
+    assert rows(pii.sampled_texts(docs, 50)) == rows(pii.sampled_texts(docs.repartition(7), 50))
+    assert pii.sampled_texts(docs, 5000).count() == docs.distinct().count()
+    assert pii.sampled_texts(docs.where("text = 'one text'"), 5).count() == 1
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 234 567 8901.", "en", "h", 0), (2, None, None, None, None)], SCHEMA)
     assert rows(pii.redacted(with_clashes(docs)), *docs.columns) == [
