@@ -22,11 +22,17 @@ TAKEN_SCHEMA = "path string, batch string, taken_at long"
 
 
 def _taken(spark: SparkSession, base: str) -> DataFrame:
+    """path, batch, taken_at of every file a run has taken."""
     if not fs.exists(spark, f"{base}/taken"):
         return spark.createDataFrame([], TAKEN_SCHEMA)
     return spark.read.schema(TAKEN_SCHEMA).parquet(f"{base}/taken")
 
 
+def seen_paths(spark: SparkSession, base: str) -> DataFrame:
+    """(path) of the files that some run has taken."""
+    return _taken(spark, base).select("path").distinct()
+
+
 def append(spark: SparkSession, base: str, batch: str, tables: dict[str, DataFrame], paths: DataFrame) -> None:
     """Write the run's ``tables`` (kind -> rows with a ``path``) and then the
     ``paths`` (path) it took; the tables are written side by side."""

@@ -23,6 +23,11 @@ Quarantine tables hold each run's own rows; the newest run of a file counts
 whose valid files have no rows, or no row with all dimensions, is a run like
 any other: its files are closed and its marts are empty.  Files are moved
 last, each to its path below the landing folder, so equal names never meet.
+
+Runs at the same time share the work: each claims the pending files that no other
+run holds (``operators.claims``) and parses them side by side with the others;
+what all runs share (ledger, detail, marts) is published one run after another,
+each reading what the runs before it closed, so every file counts once.
 """
 
 from __future__ import annotations
@@ -36,12 +41,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.operators import claims as CL
 from tillmart.operators import enrich as E
 from tillmart.operators import ledger as LG
 from tillmart.operators import marts as M
 from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
-from tillmart.plans.ingest import ingest
+from tillmart.plans.ingest import Ingested, ingest
 from tillmart.session import apply_defaults, run_all
 from tillmart.sinks import parquet as P
 from tillmart.sources import fs
@@ -106,6 +112,8 @@ def run(
     error_dir: str | None = None,
     processed_dir: str | None = None,
     publish: bool = False,
+    max_files: int | None = None,
+    lease_s: float = CL.LEASE_S,
 ) -> RunResult:
     """Process the pending files of ``landing_dir`` into marts under ``out_dir``.
 
@@ -116,12 +124,16 @@ def run(
     as it is.  ``publish`` also writes the detail marts and the partitioned mart
     as snapshots named by epoch milliseconds.
 
+    A run takes the pending files that no other run holds, at most ``max_files``
+    if given, and holds them for ``lease_s`` seconds should it die.
+
     Raises ``NoValidFiles`` if no file is valid, after the quarantine is written."""
     apply_defaults(spark)
     began = time.monotonic()
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     batch = f"b{now:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
     out = out_dir.rstrip("/")
+    claims = f"{out}/claims"
     paths = {
         "ledger": f"{out}/ledger",
         "staged": f"{out}/staging/parsed-{batch}",
@@ -135,27 +147,54 @@ def run(
         "sales_mart": f"{out}/sales_team_data_mart",
     }
 
+    try:
+        return _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began, error_dir, processed_dir, publish, max_files, lease_s)
+    finally:
+        CL.release(spark, claims, batch)
+
+
+def _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began, error_dir, processed_dir, publish, max_files, lease_s) -> RunResult:
     # L1/L4: which landed files still need work, and which an earlier run left open.
     # One row per landed file, listed once and kept as a local frame.
     listing = spark.createDataFrame(L.list_files(spark, landing_dir).collect(), L.LISTED_SCHEMA)
-    state = LG.state(LG.read(spark, paths["ledger"]))
-    active_before = sorted(r.file_name for r in LG.active_files(listing, state).collect())
-    todo = LG.pending_files(listing, state).select("path", "length").unionByName(
-        listing.where(~F.col("is_csv")).select("path", "length")
-    )
+    active_before = sorted(r.file_name for r in LG.active_files(listing, LG.state(LG.read(spark, paths["ledger"]))).collect())
+
+    def pending() -> DataFrame:
+        state = LG.state(LG.read(spark, paths["ledger"]))
+        others = listing.where(~F.col("is_csv")).select("path", "length")
+        files = LG.pending_files(listing, state).select("path", "length").unionByName(others)
+        # Rejected files stay pending; new ones come before them.
+        seen = Q.seen_paths(spark, paths["quarantine"]).withColumn("seen", F.lit(True))
+        return files.join(seen, "path", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+
+    todo = CL.claim(spark, claims, batch, pending, lease_s, max_files)
     files = {r.path: r.length for r in todo.collect()}
 
     # S3-S4, V1-V5: verdicts, then one parse of the good files (staged).
     ing = ingest(spark, paths=sorted(files), lengths=files, staging=paths["staged"])
+    with CL.section(spark, claims, batch, lease_s):
+        schemas = _publish(spark, ing, dims, out, claims, paths, batch, files, now, began, publish)
+    if schemas is None:
+        if error_dir:
+            _move(spark, ing.error_paths, landing_dir, error_dir)
+        raise NoValidFiles(f"no valid file under {landing_dir}")
+    if error_dir:
+        _move(spark, ing.error_paths, landing_dir, error_dir)
+    if processed_dir:
+        _move(spark, ing.valid_paths, landing_dir, processed_dir)
+    return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths, schemas)
+
+
+def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now, began, publish) -> dict[str, T.StructType] | None:
+    """Write everything that runs share; the marts' schemas, or None without a valid file."""
     # V4/V5 sinks: rejected files, their raw lines, unparsable rows.
     taken = spark.createDataFrame([(p,) for p in sorted(files)], "path string")
     rejected = ing.verdicts.where(F.col("verdict") == V.ERROR)
     tables = {"files": rejected, "lines": V.quarantine_raw_lines(spark, ing.error_paths), "rows": ing.corrupt}
     Q.append(spark, paths["quarantine"], batch, tables, taken)
     if not ing.valid_paths:
-        if error_dir:
-            _move(spark, ing.error_paths, landing_dir, error_dir)
-        raise NoValidFiles(f"no valid file under {landing_dir}")
+        return None
+    state = LG.state(LG.read(spark, paths["ledger"]))  # with what other runs have closed
     good = ing.verdicts.where(F.col("verdict") == V.VALID)
     LG.append(LG.events(spark, good, "A", now), paths["ledger"])
 
@@ -198,6 +237,7 @@ def run(
     schemas = {name: df.schema for name, (df, _) in outputs.items()}
     run_all(*[lambda n=n, df=df, keys=keys: _dynamic(df, paths[n], keys) for n, (df, keys) in outputs.items()])
 
+    CL.check_held(spark, claims, batch)
     # L3: only now, after every write above succeeded, are this run's files done.
     done = now + dt.timedelta(seconds=max(1, round(time.monotonic() - began)))
     LG.append(LG.events(spark, good, "I", done, batch), paths["ledger"])
@@ -205,11 +245,7 @@ def run(
         for name, keys in (("customer_detail", ()), ("sales_team_detail", ()), ("sales_partitioned", P.PARTITION_KEYS)):
             whole = read_mart(spark, paths[name], schemas[name])
             paths[f"{name}_snapshot"] = P.write_snapshot(whole, f"{out}/published/{name}", partition_by=keys)
-    if error_dir:
-        _move(spark, ing.error_paths, landing_dir, error_dir)
-    if processed_dir:
-        _move(spark, ing.valid_paths, landing_dir, processed_dir)
-    return RunResult(out, ing.valid_paths, ing.error_paths, active_before, paths, schemas)
+    return schemas
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from tillmart.operators import ledger as LG
 from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import Ingested, ingest
-from tillmart.session import apply_defaults, scratch_path, shared_dir
+from tillmart.session import apply_defaults, run_all, scratch_path, shared_dir
 from tillmart.sources import landing as L
 from tillmart.sources.landing_fixture import landing_for
 
@@ -168,6 +168,21 @@ def q_end_to_end_run(spark, sf_dir):
     return job.read_mart(spark, result.paths["sales_mart"])
 
 
+def q_concurrent_runs(spark, sf_dir):
+    """Two runs at the same time over one landing zone, each taking half of its
+    files; returns the sales-team mart as both have stored it."""
+    from tillmart.plans import job
+    from tillmart.sources.tables import RetailInputs
+
+    landing, out = landing_for(spark, sf_dir), scratch_path(spark, "concurrent-runs")
+    r = RetailInputs(spark, sf_dir)
+    dims = job.Dimensions(r.customer(), r.store(), r.sales_team())
+    half = (L.list_files(spark, landing).count() + 1) // 2
+    found = []
+    run_all(*[lambda: found.append(job.run(spark, landing, dims, out, now=RUN_AT, max_files=half)) for _ in range(2)])
+    return job.read_mart(spark, found[0].paths["sales_mart"])
+
+
 def q_run_customer_mart(spark, sf_dir):
     """The customer mart as a run stores it."""
     job, result = _run(spark, sf_dir)
@@ -197,4 +212,4 @@ def q_stream_file_ingest(spark, sf_dir):
 
 
 LANDING_QUERIES.update({"run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
-LANDING_QUERIES.update({"end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})
+LANDING_QUERIES.update({"concurrent_runs": q_concurrent_runs, "end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

@@ -370,6 +370,7 @@ LANDING_BODIES.update(
         "stream_file_ingest": "SELECT * FROM landed_rows",
     }
 )
+LANDING_BODIES["concurrent_runs"] = LANDING_BODIES["end_to_end_run"]
 
 
 def landing_sql(name: str, rows_per_file: int = LF.ROWS_PER_FILE) -> str:

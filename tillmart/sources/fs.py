@@ -7,6 +7,10 @@ Works for any scheme Spark is configured for (file:, hdfs:, s3a:, ...).
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -61,3 +65,43 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, recursive)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small metadata file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small metadata file with its whole content, only if there is
+    none of this name: True if this call made it.  A finished file is given the
+    name in one step: a hard link on a local file system, elsewhere Hadoop's
+    rename without overwriting (atomic on HDFS and the like; an object store
+    whose rename copies needs a conditional put here instead)."""
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = _path(spark, f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if str(fs.getScheme()) == "file":
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+            return True
+        jvm = spark.sparkContext._jvm
+        rename_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, target, rename_options)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception.getClass().getName()):
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
