@@ -93,6 +93,62 @@ def test_bad_rows_are_quarantined(landed):
     assert (good, bad) == (1, 3)
 
 
+def test_bad_rows_name_their_column_and_reason(spark, tmp_path):
+    d = tmp_path / "reasons"
+    d.mkdir()
+    lines = {
+        "1,121,oats,2023-05-01,1,abc,2,4.00": ("price", "not decimal"),
+        "x,121,oats,2023-05-01,1,2.00,y,4.00": ("customer_id", "not long"),  # the first of two
+        "1,121,oats,2023-13-01,1,2.00,2,4.00": ("sales_date", "not date"),
+        "1,121,oats,2023-05-01,1,2.00,2.0,4.00": ("quantity", "not integer"),
+        "1,121,oats,2023-05-01,1,2.00,2,4.005": ("total_cost", "inexact amount"),
+        '1,121,"oats, rolled",2023-05-01,1,2.005,2,4.00': ("price", "inexact amount"),
+        "1,121,oats": (None, "field count"),
+        f"{ROW},surplus": (None, "field count"),
+        ",,,,,,,z": ("total_cost", "not decimal"),
+    }
+    (d / "a.csv").write_text("\n".join([HEADER, ROW, *lines, ROW]) + "\n")
+    # the same faults under another order of columns, and a quoted line break
+    (d / "b.csv").write_text("quantity,price,total_cost,customer_id,store_id,product_name,sales_date,sales_person_id,note\n"
+                             "2,2.00,4.00,1,121,oats,2023-05-01,one,n\n2,2.00,4.00,1,121,\"oa\nts\",2023-05-01,1,n\n")
+    got = ingest(spark, "file://" + str(d))
+    bad = {r.record: (r.bad_column, r.reason) for r in got.corrupt.where("file_name = 'a.csv'").collect()}
+    assert bad == lines
+    other = sorted((r.record, r.bad_column, r.reason) for r in got.corrupt.where("file_name = 'b.csv'").collect())
+    assert [(c, r) for _, c, r in other] == [(None, "field count"), ("sales_person_id", "not long"), (None, "field count")]
+    assert got.rows.count() == 2
+
+
+def test_many_headers_take_several_projections(spark, tmp_path, monkeypatch):
+    from tillmart.sources import landing as L
+
+    monkeypatch.setattr(L, "HEADERS_PER_SCAN", 3)
+    d = tmp_path / "headers"
+    d.mkdir()
+    for i in range(8):
+        (d / f"{i}.csv").write_text(f"{HEADER},x{i}\n{ROW},v{i}\n")
+    rows = ingest(spark, "file://" + str(d)).rows.collect()
+    assert {r.file_name: r.additional_column for r in rows} == {f"{i}.csv": f"v{i}" for i in range(8)}
+
+
+def test_landed_files_are_scanned_once(spark, tmp_path, monkeypatch):
+    """One text scan is all that reads the landed files; every later plan reads Parquet."""
+    from tillmart.sources import landing as L
+
+    d = tmp_path / "once"
+    d.mkdir()
+    (d / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
+    (d / "less.csv").write_text("customer_id\n1\n")
+    scans, plans = [], []
+    monkeypatch.setattr(L, "stage_lines", lambda *a, f=L.stage_lines: scans.append(a[1]) or f(*a))
+    monkeypatch.setattr(L, "parse_lines", lambda *a, f=L.parse_lines: plans.append(f(*a)) or plans[-1])
+    got = ingest(spark, "file://" + str(d))
+    assert [len(s) for s in scans] == [2]
+    for df in (*plans, got.rows, got.lines, got.verdicts):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan csv" not in plan and "FileScan text" not in plan
+
+
 def test_quoted_and_bom_headers_parse(landed):
     assert landed.rows.where("file_name in ('quoted.csv', 'bom.csv')").count() == 2
 

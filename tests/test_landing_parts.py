@@ -39,7 +39,7 @@ def test_months_are_split_into_parts(ingested):
     "name, frame",
     [
         ("file_verdicts", lambda ing: ing.verdicts.select("file_name", "verdict", "reason")),
-        ("corrupt_rows", lambda ing: ing.corrupt.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))),
+        ("corrupt_rows", lambda ing: ing.corrupt.groupBy("file_name", "bad_column", "reason").agg(F.count(F.lit(1)).alias("n_rows"))),
         (
             "additional_column",
             lambda ing: ing.rows.groupBy("file_name", "additional_column").agg(F.count(F.lit(1)).alias("n_rows")),

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillmart.schemas import EXTRA_SEPARATOR, INCENTIVE_RATE, MART_MONEY, MONEY
+from tillmart.schemas import INCENTIVE_RATE, MART_MONEY, MONEY
 
 
 def col_of(c: str | Column) -> Column:
@@ -41,13 +41,6 @@ def incentive(total: str | Column, is_top: str | Column) -> Column:
     return F.when(col_of(is_top), paid).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
 
 
-def fold_extras(extras: list[str | Column]) -> Column:
-    """Fold surplus columns into one text; NULL inputs are skipped."""
-    if not extras:
-        return F.lit(None).cast("string")
-    return F.concat_ws(EXTRA_SEPARATOR, *[col_of(c).cast("string") for c in extras])
-
-
 def base_name(path: str | Column) -> Column:
     """Last path segment of a file path or URI."""
     return F.element_at(F.split(col_of(path), "/"), -1)

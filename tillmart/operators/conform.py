@@ -1,69 +1,34 @@
-"""Conforming landed rows to the unified sales schema (P1, P2, U1, V5).
+"""The unified sales schema of landed rows (P2, U1) and its good and bad rows (V5).
 
-Each header group's scan is split into parsed rows and corrupt rows; parsed
-rows get ``additional_column`` (surplus columns folded with ", ") and the
-fixed column order, then all groups are unioned by name.
+``sources.landing.parse_lines`` brings the rows of every header to this schema.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.functions.scalars import fold_extras
-from tillmart.schemas import ADDITIONAL_COLUMN, LANDING_TYPES, MANDATORY_COLUMNS, MONEY, SALES_SCHEMA
-from tillmart.sources.landing import CORRUPT, SCAN_CORRUPT, SCAN_NAME, SCAN_PATH
+from tillmart.schemas import SALES_SCHEMA
+from tillmart.sources.landing import BAD_COLUMN, BAD_REASON, CORRUPT
 
 UNIFIED_SCHEMA = T.StructType(
     SALES_SCHEMA.fields + [T.StructField("file_name", T.StringType(), True), T.StructField("path", T.StringType(), True)]
 )
 
 
-def _q(name: str):
-    """A column by its exact name, whatever characters are in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-STAGED_SCHEMA = T.StructType(UNIFIED_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-
-
-def conform(scan: DataFrame, header: list[str]) -> DataFrame:
-    """Rows of one header group in the unified order (+ file_name), with the
-    corrupt-record column kept so good and bad rows can be split after the
-    parsed rows are materialized (Spark refuses to query a raw CSV scan by
-    its corrupt-record column alone)."""
-    extras = [c for c in header if c not in MANDATORY_COLUMNS]
-    amounts = [c for c in MANDATORY_COLUMNS if LANDING_TYPES[c] == MONEY]
-    # An amount that does not fit the money type exactly is not rounded: its
-    # row is a bad row, like one that cannot be parsed.
-    inexact = reduce(lambda x, y: x | y, (_q(c).isNotNull() & ~(F.coalesce(_q(c).try_cast(MONEY) == _q(c), F.lit(False))) for c in amounts))
-    record = F.concat_ws(",", *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in header])
-    scan = scan.withColumn(SCAN_CORRUPT, F.coalesce(_q(SCAN_CORRUPT), F.when(inexact, record)))
-    scan = scan.withColumns({c: _q(c).try_cast(MONEY) for c in amounts})
-    return scan.select(
-        *[_q(c) for c in MANDATORY_COLUMNS],
-        fold_extras([_q(c) for c in extras]).alias(ADDITIONAL_COLUMN),
-        _q(SCAN_NAME).alias("file_name"),
-        _q(SCAN_PATH).alias("path"),
-        _q(SCAN_CORRUPT).alias(CORRUPT),
-    )
+STAGED_SCHEMA = T.StructType(
+    UNIFIED_SCHEMA.fields + [T.StructField(c, T.StringType(), True) for c in (CORRUPT, BAD_COLUMN, BAD_REASON)]
+)
 
 
 def good_rows(staged: DataFrame) -> DataFrame:
-    return staged.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return staged.where(F.col(CORRUPT).isNull()).drop(CORRUPT, BAD_COLUMN, BAD_REASON)
 
 
 def corrupt_rows(staged: DataFrame) -> DataFrame:
-    """Rows PERMISSIVE mode could not parse: path, file_name and the raw record."""
-    return staged.where(F.col(CORRUPT).isNotNull()).select("path", "file_name", F.col(CORRUPT).alias("record"))
-
-
-def union_all(frames: list[DataFrame], spark: SparkSession, schema: T.StructType = UNIFIED_SCHEMA) -> DataFrame:
-    """UNION ALL by name (U1); starts from the first real frame, so no empty
-    seed leg stays in the plan."""
-    if not frames:
-        return spark.createDataFrame([], schema)
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Bad rows: path, file_name, the raw record, the column at fault (null if the
+    number of fields is wrong) and the reason."""
+    return staged.where(F.col(CORRUPT).isNotNull()).select(
+        "path", "file_name", F.col(CORRUPT).alias("record"), F.col(BAD_COLUMN).alias("bad_column"), F.col(BAD_REASON).alias("reason")
+    )

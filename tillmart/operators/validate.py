@@ -7,11 +7,10 @@ reference's set difference, so ``Store_ID`` does not satisfy ``store_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.schemas import MANDATORY_COLUMNS
-from tillmart.sources.landing import meta_name, meta_path, reader_path
 
 VALID, ERROR = "valid", "error"
 
@@ -38,10 +37,9 @@ def has_duplicate_names(cols: Column) -> Column:
     return F.size(F.array_distinct(known)) < F.size(known)
 
 
-def file_verdicts(listing: DataFrame, probe: DataFrame) -> DataFrame:
-    """path, file_name, is_csv, header_line, header_cols, missing, extra,
-    verdict, reason for every landed file (V3)."""
-    joined = listing.join(probe.select("path", "header_line", "header_cols"), "path", "left")
+def file_verdicts(probe: DataFrame) -> DataFrame:
+    """path, file_name, is_csv, header_line, header_cols, missing, extra, verdict,
+    reason, uri, header_seq for every landed file (V3)."""
     miss = missing_columns(F.col("header_cols"))
     reason = (
         F.when(~F.col("is_csv"), F.lit("not_csv"))
@@ -49,7 +47,7 @@ def file_verdicts(listing: DataFrame, probe: DataFrame) -> DataFrame:
         .when(has_duplicate_names(F.col("header_cols")), F.lit("duplicate_header"))
         .when(F.size(miss) > 0, F.concat(F.lit("missing:"), F.array_join(miss, ",")))
     )
-    return joined.select(
+    return probe.select(
         "path",
         "file_name",
         "is_csv",
@@ -59,35 +57,23 @@ def file_verdicts(listing: DataFrame, probe: DataFrame) -> DataFrame:
         extra_columns(F.col("header_cols")).alias("extra"),
         F.when(reason.isNull(), F.lit(VALID)).otherwise(F.lit(ERROR)).alias("verdict"),
         reason.alias("reason"),
+        "uri",
+        "header_seq",
     )
 
 
-def quarantine_lines(spark: SparkSession, verdicts: DataFrame, error_paths: list[str]) -> DataFrame:
-    """file_name, reason, n_lines for every rejected file (V4).
-
-    The raw lines are read with the text source; zero-length files have no
-    lines and keep a count of 0 through the left join.
-    """
-    errors = verdicts.where(F.col("verdict") == ERROR).select("path", "file_name", "reason")
-    if not error_paths:
-        return errors.select("file_name", "reason", F.lit(0).cast("long").alias("n_lines"))
-    counts = (
-        spark.read.text([reader_path(p) for p in error_paths])
-        .select(meta_path().alias("_path"))
-        .groupBy("_path")
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    )
-    return errors.join(counts, errors.path == counts._path, "left").select(
-        "file_name", "reason", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines")
-    )
+def rejected_lines(verdicts: DataFrame, lines: DataFrame) -> DataFrame:
+    """path, file_name, line: the content of the rejected files, for the error
+    table, from the lines that the ingest has staged."""
+    errors = verdicts.where(F.col("verdict") == ERROR).select("uri", "path", "file_name")
+    return lines.select("uri", "line").join(errors, "uri").select("path", "file_name", "line")
 
 
-def quarantine_raw_lines(spark: SparkSession, error_paths: list[str]) -> DataFrame:
-    """path, file_name, line: the content of rejected files, for the error table."""
-    if not error_paths:
-        return spark.createDataFrame([], "path string, file_name string, line string")
-    return spark.read.text([reader_path(p) for p in error_paths]).select(
-        meta_path().alias("path"),
-        meta_name().alias("file_name"),
-        F.col("value").alias("line"),
+def quarantine_lines(verdicts: DataFrame, lines: DataFrame) -> DataFrame:
+    """file_name, reason, n_lines for every rejected file (V4); a file without
+    lines keeps a count of 0 through the left join."""
+    errors = verdicts.where(F.col("verdict") == ERROR).select("uri", "file_name", "reason")
+    counts = lines.groupBy("uri").agg(F.count(F.lit(1)).alias("n_lines"))
+    return errors.join(counts, "uri", "left").select(
+        "file_name", "reason", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines")
     )

@@ -1,7 +1,8 @@
 """Landing zone -> unified sales rows (E1 of the reference's run).
 
-listing -> one header-probe job -> verdicts (one stored row per file) -> one CSV scan per distinct header -> conform ->
-UNION ALL by name.  Rejected files and unparsable rows are returned for the
+listing -> one scan of all files into a table of lines -> headers and verdicts
+(one stored row per file) -> the valid files' lines parsed by their headers.
+What follows reads the stored tables, never the files again.  Rejected files and unparsable rows are returned for the
 quarantine sinks; nothing is dropped silently.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillmart.operators import conform as C
 from tillmart.operators import validate as V
@@ -21,7 +23,8 @@ from tillmart.sources import landing as L
 class Ingested:
     verdicts: DataFrame  # one row per landed file
     rows: DataFrame  # unified sales rows + file_name
-    corrupt: DataFrame  # file_name, record
+    corrupt: DataFrame  # path, file_name, record, bad_column, reason
+    lines: DataFrame  # every line of every file, as staged
     valid_paths: list[str]
     error_paths: list[str]
 
@@ -36,9 +39,9 @@ def ingest(
     """Validate and read the files under ``landing_dir`` (or exactly ``paths``,
     whose byte lengths the caller may already know from its own listing).
 
-    Actions: the listing (skipped when ``lengths`` is given), the header probe
-    (one text-scan job), and one write of the parsed rows to ``staging`` (a fresh folder
-    under the shared checkpoint folder by default)."""
+    Actions: the listing (skipped when ``lengths`` is given), the one scan of the
+    files into the lines table, the verdicts, and one write of the parsed rows to
+    ``staging`` (a fresh folder under the shared checkpoint folder by default)."""
     if paths is None:
         listed = L.list_files(spark, landing_dir)
     elif lengths is not None:
@@ -47,25 +50,33 @@ def ingest(
         listed = L.list_paths(spark, paths)
     # One small row per file, kept as a local frame: the listing job runs once.
     rows = listed.collect()
-    listing = spark.createDataFrame(rows, L.LISTED_SCHEMA)
-    probe = L.probe_headers(spark, listing, [r.path for r in rows if r.is_csv])
-    # Written once, so later steps read them instead of probing again; what the
-    # readers need (paths by header) comes to the driver as their path lists.
-    verdicts = stage(V.file_verdicts(listing, probe), scratch_path(spark, "ingest-verdicts"))
+    listing = L.local_frame(spark, rows, L.LISTED_SCHEMA)
+    # The one scan of the landed bytes; files known to be empty have no lines.
+    lines = L.stage_lines(spark, [r.path for r in rows if r.length], scratch_path(spark, "ingest-lines"))
+    # Written once, so later steps read them instead of probing again.
+    probe = L.probe_headers(listing, lines, scratch_path(spark, "ingest-headers"))
+    verdicts = stage(V.file_verdicts(probe), scratch_path(spark, "ingest-verdicts"))
     verdict_rows = verdicts.select("path", "verdict", "header_cols").collect()
-    valid = [(r.path, list(r.header_cols)) for r in verdict_rows if r.verdict == V.VALID]
+    valid = [(r.path, tuple(r.header_cols)) for r in verdict_rows if r.verdict == V.VALID]
     errors = [r.path for r in verdict_rows if r.verdict == V.ERROR]
-    scans = L.scan_by_header(spark, valid)
-    parsed = C.union_all([C.conform(df, h) for h, df in scans], spark, C.STAGED_SCHEMA)
-    # Parse every CSV once: the conformed rows, bad ones included, become a
-    # Parquet table in the shared folder (also the lineage cut for what follows).
+    headers = sorted({h for _, h in valid})
+    # The rows, bad ones included, become a Parquet table in the shared folder
+    # (also the lineage cut for what follows).
     staged_path = staging or scratch_path(spark, "ingest-parsed")
-    parsed.write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    if headers:
+        known = F.array(*[F.array(*[F.lit(c) for c in h]) for h in headers])
+        files = verdicts.where(F.col("verdict") == V.VALID).select(
+            "path", "file_name", "uri", "header_seq", (F.array_position(known, F.col("header_cols")) - 1).alias("header_id")
+        )
+        parsed = L.parse_lines(lines, files, [list(h) for h in headers])
+    else:
+        parsed = spark.createDataFrame([], C.STAGED_SCHEMA)
+    staged = stage(parsed, staged_path)
     return Ingested(
         verdicts,
         C.good_rows(staged),
         C.corrupt_rows(staged),
+        lines,
         sorted(p for p, _ in valid),
         sorted(errors),
     )

@@ -156,7 +156,7 @@ def run(
 def _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began, error_dir, processed_dir, publish, max_files, lease_s) -> RunResult:
     # L1/L4: which landed files still need work, and which an earlier run left open.
     # One row per landed file, listed once and kept as a local frame.
-    listing = spark.createDataFrame(L.list_files(spark, landing_dir).collect(), L.LISTED_SCHEMA)
+    listing = L.local_frame(spark, L.list_files(spark, landing_dir).collect(), L.LISTED_SCHEMA)
     active_before = sorted(r.file_name for r in LG.active_files(listing, LG.state(LG.read(spark, paths["ledger"]))).collect())
 
     def pending() -> DataFrame:
@@ -188,9 +188,9 @@ def _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began
 def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now, began, publish) -> dict[str, T.StructType] | None:
     """Write everything that runs share; the marts' schemas, or None without a valid file."""
     # V4/V5 sinks: rejected files, their raw lines, unparsable rows.
-    taken = spark.createDataFrame([(p,) for p in sorted(files)], "path string")
-    rejected = ing.verdicts.where(F.col("verdict") == V.ERROR)
-    tables = {"files": rejected, "lines": V.quarantine_raw_lines(spark, ing.error_paths), "rows": ing.corrupt}
+    taken = L.local_frame(spark, [(p,) for p in sorted(files)], "path string")
+    rejected = ing.verdicts.where(F.col("verdict") == V.ERROR).drop("uri", "header_seq")
+    tables = {"files": rejected, "lines": V.rejected_lines(ing.verdicts, ing.lines), "rows": ing.corrupt}
     Q.append(spark, paths["quarantine"], batch, tables, taken)
     if not ing.valid_paths:
         return None

@@ -69,12 +69,12 @@ def q_file_verdicts(spark, sf_dir):
 
 def q_quarantine_rows(spark, sf_dir):
     _, ing = landed(spark, sf_dir)
-    return V.quarantine_lines(spark, ing.verdicts, ing.error_paths)
+    return V.quarantine_lines(ing.verdicts, ing.lines)
 
 
 def q_corrupt_rows(spark, sf_dir):
     _, ing = landed(spark, sf_dir)
-    return ing.corrupt.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return ing.corrupt.groupBy("file_name", "bad_column", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_additional_column(spark, sf_dir):

@@ -311,7 +311,7 @@ LANDING_BODIES = {
                 UNION ALL SELECT '{LF.EMPTY_FILE}', 'empty', 0"""
         ),
         "corrupt_rows": (
-            f"""SELECT file_name, COUNT(*) AS n_rows FROM landed
+            f"""SELECT file_name, 'quantity' AS bad_column, 'not integer' AS reason, COUNT(*) AS n_rows FROM landed
                 WHERE shape = 0 AND quantity = {LF.BAD_QUANTITY} GROUP BY file_name"""
         ),
         "additional_column": (
