@@ -211,5 +211,20 @@ def q_stream_file_ingest(spark, sf_dir):
     return S.read_rows(spark, out).drop("path")
 
 
-LANDING_QUERIES.update({"run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
+def q_stream_monthly_totals(spark, sf_dir):
+    """The salespersons' monthly totals as a stream over the ingest stream keeps them."""
+    from tillmart.sources.tables import RetailInputs
+    from tillmart.streaming import ingest as S
+    from tillmart.streaming import totals as ST
+
+    landing, out = landing_for(spark, sf_dir), scratch_path(spark, "stream-totals")
+    r = RetailInputs(spark, sf_dir)
+    ingested = S.start(spark, landing, f"{out}/ingest", f"{out}/ingest_checkpoint", max_files_per_trigger=16)
+    ingested.awaitTermination()
+    totals = ST.start(spark, f"{out}/ingest", r.customer(), r.store(), r.sales_team(), out, f"{out}/checkpoint", max_files_per_trigger=8)
+    totals.awaitTermination()
+    return ST.read(spark, out)
+
+
+LANDING_QUERIES.update({"stream_monthly_totals": q_stream_monthly_totals, "run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
 LANDING_QUERIES.update({"concurrent_runs": q_concurrent_runs, "end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

@@ -368,6 +368,9 @@ LANDING_BODIES.update(
         ),
         "run_quarantine": LANDING_BODIES["quarantine_rows"],
         "stream_file_ingest": "SELECT * FROM landed_rows",
+        "stream_monthly_totals": (
+            _landed_chain() + "SELECT store_id, sales_person_id, full_name, sales_month, total_sales FROM l_team_totals"
+        ),
     }
 )
 LANDING_BODIES["concurrent_runs"] = LANDING_BODIES["end_to_end_run"]

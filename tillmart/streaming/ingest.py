@@ -8,11 +8,13 @@ only after the batch that read it has committed.
 
 The stream only lists files (a ``binaryFile`` source that reads paths, never
 content).  Each micro-batch then runs the batch ingest on exactly its own
-files: header probe, one typed scan per header, quarantine.  The parsed rows
-(good and unparsable, told apart by the corrupt-record column) are written
-once, to ``<out>/parsed/batch_id=<n>``, and the file verdicts to
-``<out>/verdicts/batch_id=<n>``; both are overwritten per batch, so a batch
-replayed after a failure replaces its own output instead of duplicating it.
+files: one scan, headers, verdicts, rows.  The file verdicts go to
+``<out>/verdicts/batch_id=<n>`` and the parsed rows (good and unparsable, told
+apart by the corrupt-record column) to a working folder, which is renamed to
+``<out>/parsed/batch_id=<n>`` last.  A batch replayed after a failure overwrites
+what it had not published and leaves what it had, so a batch is published once
+and whole, and a stream that reads it (``streaming.totals``) never meets a part.
+(On an object store whose rename copies, a reader must wait for the batch.)
 Zero-length files yield no row in a scan and are therefore never offered to a
 batch (they carry no data).
 """
@@ -25,6 +27,7 @@ from pyspark.sql import types as T
 from tillmart.operators import conform as C
 from tillmart.plans.ingest import ingest
 from tillmart.session import apply_defaults
+from tillmart.sources import fs
 from tillmart.sources.landing import canonical
 
 LISTING_STREAM_SCHEMA = T.StructType(
@@ -37,6 +40,11 @@ LISTING_STREAM_SCHEMA = T.StructType(
 )
 
 
+def published(out_dir: str) -> str:
+    """Where the batches' parsed rows appear."""
+    return f"{out_dir.rstrip('/')}/parsed"
+
+
 def _batch_writer(out_dir: str):
     out = out_dir.rstrip("/")
 
@@ -44,10 +52,13 @@ def _batch_writer(out_dir: str):
         spark = batch.sparkSession
         # The file source reports decoded paths; bring them to the listing's spelling.
         files = {canonical(r.path): r.length for r in batch.select("path", "length").collect()}
-        if not files:
+        target = f"{published(out)}/batch_id={batch_id}"
+        if not files or fs.exists(spark, target):
             return
-        ing = ingest(spark, paths=sorted(files), lengths=files, staging=f"{out}/parsed/batch_id={batch_id}")
+        working = f"{out}/working/batch_id={batch_id}"
+        ing = ingest(spark, paths=sorted(files), lengths=files, staging=working)
         ing.verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch_id={batch_id}")
+        fs.rename(spark, working, target)
 
     return write_batch
 
@@ -78,7 +89,7 @@ def start(
 
 
 def _parsed(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(C.STAGED_SCHEMA).parquet(f"{out_dir.rstrip('/')}/parsed").drop("batch_id")
+    return spark.read.schema(C.STAGED_SCHEMA).parquet(published(out_dir)).drop("batch_id")
 
 
 def read_rows(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -87,5 +98,5 @@ def read_rows(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def read_corrupt(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Unparsable rows of every committed batch: file_name, record."""
+    """Bad rows of every committed batch: path, file_name, record, bad_column, reason."""
     return C.corrupt_rows(_parsed(spark, out_dir))
