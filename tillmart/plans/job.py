@@ -3,8 +3,8 @@
     listing -> header probe -> verdicts -> ledger 'A' -> quarantine
     -> parsed rows (staged Parquet) -> enrich -> detail store (Parquet,
     partitioned by month and run) -> detail marts, month/store partitioned
-    mart, monthly customer and sales-team marts -> lost sales -> ledger 'I'
-    -> published snapshots, moves of rejected and processed files
+    mart, monthly customer and sales-team marts -> lost sales -> published
+    snapshots -> ledger 'I' -> moves of rejected and processed files
 
 Failure model: every output is a Parquet directory written by Spark's
 committer, so a lost executor only re-runs its tasks.  Marts are written
@@ -50,6 +50,7 @@ from tillmart.operators import validate as V
 from tillmart.plans.ingest import Ingested, ingest
 from tillmart.session import apply_defaults, run_all
 from tillmart.sinks import parquet as P
+from tillmart.sinks import published as PB
 from tillmart.sources import fs
 from tillmart.sources import landing as L
 
@@ -121,8 +122,8 @@ def run(
     that has passed since then).  With ``error_dir``, rejected files are moved
     there once their lines are in the quarantine table, with ``processed_dir``
     finished files once they are closed; without them the landing zone is left
-    as it is.  ``publish`` also writes the detail marts and the partitioned mart
-    as snapshots named by epoch milliseconds.
+    as it is.  ``publish`` also writes all marts as snapshots named by epoch
+    milliseconds, and one version that names them together (``sinks.published``).
 
     A run takes the pending files that no other run holds, at most ``max_files``
     if given, and holds them for ``lease_s`` seconds should it die.
@@ -238,13 +239,16 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
     run_all(*[lambda n=n, df=df, keys=keys: _dynamic(df, paths[n], keys) for n, (df, keys) in outputs.items()])
 
     CL.check_held(spark, claims, batch)
+    if publish:
+        # Before the files are closed: a run that stops here leaves them open, and
+        # the next one publishes; the last version stays whole meanwhile.
+        whole = {name: read_mart(spark, paths[name], schemas[name]) for name in outputs}
+        keys = {"sales_partitioned": P.PARTITION_KEYS}
+        version = PB.publish(spark, f"{out}/published", {name: (df, keys.get(name, ())) for name, df in whole.items()})
+        paths.update({f"{name}_snapshot": mart["path"] for name, mart in version["marts"].items()})
     # L3: only now, after every write above succeeded, are this run's files done.
     done = now + dt.timedelta(seconds=max(1, round(time.monotonic() - began)))
     LG.append(LG.events(spark, good, "I", done, batch), paths["ledger"])
-    if publish:
-        for name, keys in (("customer_detail", ()), ("sales_team_detail", ()), ("sales_partitioned", P.PARTITION_KEYS)):
-            whole = read_mart(spark, paths[name], schemas[name])
-            paths[f"{name}_snapshot"] = P.write_snapshot(whole, f"{out}/published/{name}", partition_by=keys)
     return schemas
 
 

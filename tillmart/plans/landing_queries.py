@@ -183,6 +183,21 @@ def q_concurrent_runs(spark, sf_dir):
     return job.read_mart(spark, found[0].paths["sales_mart"])
 
 
+def q_published_marts(spark, sf_dir):
+    """Two of the marts of one published version: each salesperson's monthly total
+    beside the number of its detail rows."""
+    from tillmart.plans import job
+    from tillmart.sinks import published as PB
+    from tillmart.sources.tables import RetailInputs
+
+    landing, out = landing_for(spark, sf_dir), scratch_path(spark, "published-run")
+    r = RetailInputs(spark, sf_dir)
+    job.run(spark, landing, job.Dimensions(r.customer(), r.store(), r.sales_team()), out, now=RUN_AT, publish=True)
+    keys = ["store_id", "sales_person_id", "sales_month"]
+    rows = PB.read(spark, f"{out}/published", "sales_partitioned").groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    return PB.read(spark, f"{out}/published", "sales_mart").join(rows, keys).select(*keys, "total_sales", "n_rows")
+
+
 def q_run_customer_mart(spark, sf_dir):
     """The customer mart as a run stores it."""
     job, result = _run(spark, sf_dir)
@@ -226,5 +241,5 @@ def q_stream_monthly_totals(spark, sf_dir):
     return ST.read(spark, out)
 
 
-LANDING_QUERIES.update({"stream_monthly_totals": q_stream_monthly_totals, "run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
+LANDING_QUERIES.update({"published_marts": q_published_marts, "stream_monthly_totals": q_stream_monthly_totals, "run_customer_mart": q_run_customer_mart, "run_quarantine": q_run_quarantine})
 LANDING_QUERIES.update({"concurrent_runs": q_concurrent_runs, "end_to_end_run": q_end_to_end_run, "stream_file_ingest": q_stream_file_ingest})

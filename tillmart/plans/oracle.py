@@ -368,6 +368,12 @@ LANDING_BODIES.update(
         ),
         "run_quarantine": LANDING_BODIES["quarantine_rows"],
         "stream_file_ingest": "SELECT * FROM landed_rows",
+        "published_marts": (
+            _landed_chain()
+            + """SELECT store_id, sales_person_id, sales_month, CAST(SUM(total_cost) AS DECIMAL(18,2)) AS total_sales,
+                        COUNT(*) AS n_rows
+                 FROM l_team_detail GROUP BY ALL"""
+        ),
         "stream_monthly_totals": (
             _landed_chain() + "SELECT store_id, sales_person_id, full_name, sales_month, total_sales FROM l_team_totals"
         ),
