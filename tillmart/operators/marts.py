@@ -21,31 +21,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.scalars import full_name, incentive, mart_money, money, sales_month
 from tillmart.operators.ranking import rank_desc
-
-CUSTOMER_DETAIL_COLUMNS = [
-    "customer_id",
-    "first_name",
-    "last_name",
-    "address",
-    "pincode",
-    "phone_number",
-    "sales_date",
-    "total_cost",
-]
-
-SALES_TEAM_DETAIL_COLUMNS = [
-    "store_id",
-    "sales_person_id",
-    "sales_person_first_name",
-    "sales_person_last_name",
-    "store_manager_name",
-    "manager_id",
-    "is_manager",
-    "sales_person_address",
-    "sales_person_pincode",
-    "sales_date",
-    "total_cost",
-]
+from tillmart.schemas import CUSTOMER_DETAIL_COLUMNS, SALES_TEAM_DETAIL_COLUMNS
 
 SALES_GROUP = ["store_id", "sales_person_id", "sales_month"]
 CUSTOMER_GROUP = ["customer_id", "sales_date_month"]

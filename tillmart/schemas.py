@@ -27,6 +27,51 @@ INCENTIVE_RATE = "0.01"
 # Ledger status codes: A = file taken up by a run, I = file fully processed.
 STATUS_ACTIVE = "A"
 STATUS_INACTIVE = "I"
+# Columns of the enriched sales and of the two detail marts.
+ENRICHED_COLUMNS = [
+    "customer_id",
+    "store_id",
+    "sales_date",
+    "sales_person_id",
+    "total_cost",
+    "first_name",
+    "last_name",
+    "address",
+    "pincode",
+    "phone_number",
+    "store_address",
+    "store_manager_name",
+    "sales_person_first_name",
+    "sales_person_last_name",
+    "sales_person_address",
+    "sales_person_pincode",
+    "sales_person_joining_date",
+    "manager_id",
+    "is_manager",
+]
+CUSTOMER_DETAIL_COLUMNS = [
+    "customer_id",
+    "first_name",
+    "last_name",
+    "address",
+    "pincode",
+    "phone_number",
+    "sales_date",
+    "total_cost",
+]
+SALES_TEAM_DETAIL_COLUMNS = [
+    "store_id",
+    "sales_person_id",
+    "sales_person_first_name",
+    "sales_person_last_name",
+    "store_manager_name",
+    "manager_id",
+    "is_manager",
+    "sales_person_address",
+    "sales_person_pincode",
+    "sales_date",
+    "total_cost",
+]
 # -----------------------------------------------------------------------------
 
 ADDITIONAL_COLUMN = "additional_column"
@@ -63,25 +108,3 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch", T.StringType(), True),  # the run that wrote the file's rows
     ]
 )
-
-ENRICHED_COLUMNS = [
-    "customer_id",
-    "store_id",
-    "sales_date",
-    "sales_person_id",
-    "total_cost",
-    "first_name",
-    "last_name",
-    "address",
-    "pincode",
-    "phone_number",
-    "store_address",
-    "store_manager_name",
-    "sales_person_first_name",
-    "sales_person_last_name",
-    "sales_person_address",
-    "sales_person_pincode",
-    "sales_person_joining_date",
-    "manager_id",
-    "is_manager",
-]
