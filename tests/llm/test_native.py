@@ -248,6 +248,13 @@ def test_samples_are_bounded_whatever_the_ids(spark):
     assert pii.sampled_texts(docs.where("text = 'one text'"), 5).count() == 1
 
 
+def test_training_reads_every_text(spark):
+    """More texts than the former sample of 5,000: each counts once, copies as one."""
+    docs = spark.range(12000).select(F.concat(F.lit("reach x"), F.col("id") % 6000, F.lit(" (at) host (dot) org now")).alias("text"))
+    count = lambda d: pii.training_rows(d).where("kind = 'email' and is_email = 1 and brackets = 4 and length < 30").agg(F.sum("n")).first()[0] or 0
+    assert count(docs) - count(docs.limit(0)) == 6000
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 234 567 8901.", "en", "h", 0), (2, None, None, None, None)], SCHEMA)
     assert rows(pii.redacted(with_clashes(docs)), *docs.columns) == [

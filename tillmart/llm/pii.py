@@ -9,9 +9,8 @@ with n matches costs n log n.
 
 Candidates: the base spans, and what high-recall generators (loose patterns
 for the four kinds, which may overlap one another) find in the text with the
-base spans blanked out.  Trees boosted on a bounded sample (the candidates of
-the ``SAMPLE_TEXTS`` texts of smallest hash, and of the seed texts) score them by
-format (lengths, digits, separators, groups) and context (neighbouring
+base spans blanked out.  Trees boosted on the candidates of every distinct text,
+and of the seed texts, score them by format (lengths, digits, separators, groups) and context (neighbouring
 characters, cue words before).  Labels come from evidence: base spans, and an
 address that is one once (at), [dot] and blanks are undone, a national phone
 number by its form or a cue word before it, a number that passes the check of
@@ -21,10 +20,10 @@ threshold of its kind.  The fitted trees become one expression, evaluated where
 the candidate stands, with no shuffle.
 
 Seed texts: fixed sentences of known formats with varied digits, labelled by the
-same evidence.  They make both classes and all kinds present in every sample, so
+same evidence.  They make both classes and all kinds present in every table, so
 trees and thresholds exist for a table of any size.
 
-Calibration: on a kept-back half of the sample each kind gets the smallest
+Calibration: on a kept-back half of the candidates each kind gets the smallest
 threshold at which ``PRECISION`` of the candidates above it are labelled as
 spans, ``LEAST`` at the lowest.  A kind with no such threshold adds none.
 
@@ -34,6 +33,7 @@ equal rows give equal rows, whatever their ids.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -69,7 +69,6 @@ CUES = {
     "call": "tel|phone|call|fax|mobil|appel|llam",
 }
 CONTEXT = 24  # characters before a candidate that are looked at
-SAMPLE_TEXTS = 5_000
 SEED_VARIANTS = 120
 TREES = 10
 DEPTH = 4
@@ -291,7 +290,7 @@ class Trees:
 
 def sampled_texts(docs: DataFrame, most: int) -> DataFrame:
     """(text): the ``most`` distinct texts of smallest hash, however often each
-    occurs and whatever the ids."""
+    occurs and whatever the ids, to look at by hand; training reads every text."""
     own = docs.select("text", F.xxhash64("text", F.lit("pii")).alias("h"))
     last = own.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     return own.where(F.col("h") <= F.lit(last).cast("long")).select("text").distinct()
@@ -348,22 +347,32 @@ def seed_texts(spark: SparkSession) -> DataFrame:
     return spark.range(SEED_VARIANTS).select(F.explode(F.array(*whole)).alias("text"))
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXTS) -> Trees:
-    own = docs.select(F.coalesce(text_col, F.lit("")).alias("text"))
-    # Written first: Spark would otherwise move the candidates' tests before the sampling.
-    few = staged(sampled_texts(own, sample_texts).unionByName(seed_texts(docs.sparkSession)), "pii-sample-texts")
-    few = generated(few, F.col("text"))
-    each = lambda name, label: few.select("text", F.explode(name).alias("c")).withColumn("label", label.cast("double"))
-    rows = each("_base", F.lit(1)).unionByName(each("_extra", evident(F.col("c"))))
+def training_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(kind, label, held, features, n): the candidates of every distinct text of
+    ``docs`` and of the seed texts, equal ones counted by ``n``.  Copies of a text
+    are one text, told by hash, place and content, so no text is shuffled."""
+    own = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).unionByName(seed_texts(docs.sparkSession))
+    marked = lambda name, base: F.transform(name, lambda c: F.struct(F.lit(base).alias("base"), c.alias("c")))
+    found = generated(own, F.col("text")).select(
+        F.xxhash64("text").alias("h"), F.explode(F.concat(marked("_base", True), marked("_extra", False))).alias("x")
+    )
+    found = found.select("h", "x.base", "x.c").distinct()
+    label = F.when(F.col("base"), F.lit(True)).otherwise(evident(F.col("c"))).cast("double")
+    rows = found.select(label.alias("label"), F.col("c.kind").alias("kind"), (F.pmod(F.xxhash64("h", "c.s"), F.lit(2)) == 0).alias("held"),
+                        *(v.alias(k) for k, v in features(F.col("c")).items()))
+    return rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("n"))
+
+
+def train(docs: DataFrame, text_col: str = "text") -> Trees:
+    rows = staged(training_rows(docs, text_col), "pii-training")
     names = list(features(F.col("c")))
-    rows = rows.select("label", F.col("c.kind").alias("kind"), (F.pmod(F.xxhash64("text", "c.s"), F.lit(2)) == 0).alias("held"),
-                       *(v.alias(k) for k, v in features(F.col("c")).items()))
-    rows = staged(rows, "pii-sample")
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label").fit(vectors.where("not held"))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows).where("not held")
+    # The learner looks for split points in bins ** 2 rows: as many as there are.
+    bins = max(32, math.isqrt(vectors.count()) + 1)
+    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, seed=SEED, labelCol="label", weightCol="n").fit(vectors)
     trees = Trees(fitted, dict.fromkeys(KINDS, 2.0))
     score = F.floor(trees_on_columns(trees, names) * 100) / 100
-    held = rows.where("held").groupBy("kind", score.alias("score")).agg(F.sum("label").alias("spans"), F.count("*").alias("n"))
+    held = rows.where("held").groupBy("kind", score.alias("score")).agg(F.sum(F.col("label") * F.col("n")).alias("spans"), F.sum("n").alias("n"))
     found = held.collect()  # at most 101 rows a kind
     for k in KINDS:
         spans = n = 0
