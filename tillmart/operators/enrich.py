@@ -1,9 +1,11 @@
 """Enrichment of the sales fact with the customer, store and sales-team
 dimensions, and accounting for the sales those inner joins drop.
 
-Join strategy: all three are N:1 equi-joins on the dimension key.  No
-broadcast hint is given; Spark broadcasts a dimension only when its size
-estimate (file statistics) or, under AQE, its measured runtime size is below
+Join strategy: all three are N:1 equi-joins on the dimension key.  The sales
+team is counted and marked for broadcast up to ``BROADCAST_ROWS`` rows: Spark has
+no size for a joined dimension and would shuffle the whole fact before AQE
+measures it.  The others have no hint; Spark broadcasts a dimension only when its
+size estimate (file statistics) or, under AQE, its measured runtime size is below
 ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a sort-merge join
 (with AQE skew splitting for hot keys) beyond it.  The sales-team join runs
 first: the fact usually arrives hash-partitioned by the salesperson key (see
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 
 from tillmart.schemas import ENRICHED_COLUMNS
 
+# Rows of a sales team (some 200 bytes each) that is broadcast.
+BROADCAST_ROWS = 500_000
 FACT_COLUMNS = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]
 
 
@@ -47,6 +51,15 @@ def sales_team_side(sales_team: DataFrame) -> DataFrame:
     )
 
 
+def few(dimension: DataFrame) -> DataFrame:
+    """``dimension``, marked for broadcast if it has few rows and the session
+    broadcasts at all."""
+    limit = dimension.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if limit.startswith("-") or dimension.count() > BROADCAST_ROWS:
+        return dimension
+    return F.broadcast(dimension)
+
+
 def enrich(
     sales: DataFrame,
     customer: DataFrame,
@@ -58,7 +71,7 @@ def enrich(
     columns, plus the fact columns named in ``carry`` (e.g. the source file)."""
     fact = sales.select(*FACT_COLUMNS, *carry)
     return (
-        fact.join(sales_team_side(sales_team), "sales_person_id", "inner")
+        fact.join(few(sales_team_side(sales_team)), "sales_person_id", "inner")
         .join(store_side(store), "store_id", "inner")
         .join(customer_side(customer), "customer_id", "inner")
         .select(*ENRICHED_COLUMNS, *carry)
