@@ -22,3 +22,13 @@ def test_sales_team_is_broadcast_while_it_is_small(spark, monkeypatch):
     assert hinted()
     monkeypatch.setattr(E, "BROADCAST_ROWS", r.sales_team().count() - 1)
     assert not hinted()
+
+
+def test_landing_zone_does_not_shuffle_the_sales_by_month(spark, tmp_uri):
+    """The months' numbers of parts are a stored table, broadcast to the sales."""
+    from tillmart.sources import landing_fixture as LF
+    from tillmart.sources.tables import Tables, sales_keyed
+
+    sales_keyed(Tables(spark, SF_SMALL)).write.parquet(f"{tmp_uri}/fact")
+    plan = LF.with_file(spark.read.parquet(f"{tmp_uri}/fact"), 25, f"{tmp_uri}/parts")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan, plan

@@ -29,8 +29,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back: a lineage cut in the shared folder,
     so a frame used by two branches of a plan is computed once and a lost
-    executor re-reads files instead of recomputing the upstream joins."""
-    df.write.mode("overwrite").parquet(path)
+    executor re-reads files instead of recomputing the upstream joins.  Written
+    with zstd: a working table is read a few times and then left."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

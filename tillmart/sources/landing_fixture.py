@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tillmart.schemas import MANDATORY_COLUMNS
 from tillmart.session import run_all, scratch_path, shared_dir
+from tillmart.sinks.parquet import stage
 from tillmart.sources import fs
 from tillmart.sources.tables import Tables, sales_keyed
 
@@ -61,15 +62,17 @@ def file_key(part: F.Column, date_col: str = "sales_date") -> F.Column:
     return F.concat(F.lit("sales_"), F.date_format(F.col(date_col), "yyyy_MM"), F.lit("_p"), padded, F.lit(".csv"))
 
 
-def with_file(fact, rows_per_file: int):
+def with_file(fact, rows_per_file: int, target: str):
     """Adds ``_file``: the month's part is the spread key modulo the number of
     parts, which comes from a per-month row count (one row per month, joined
-    back)."""
+    back).  The counts are stored in ``target`` first: a table of known size,
+    which Spark broadcasts, so the fact is not shuffled by month for them."""
     month = F.date_format(F.col("sales_date"), "yyyy_MM")
-    parts = (
+    parts = stage(
         fact.groupBy(month.alias("_month"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_month", F.ceil(F.col("_rows") / F.lit(rows_per_file)).cast("long").alias("_parts"))
+        .select("_month", F.ceil(F.col("_rows") / F.lit(rows_per_file)).cast("long").alias("_parts")),
+        target,
     )
     return (
         fact.join(parts, month == F.col("_month"), "inner")
@@ -137,8 +140,7 @@ def write_landing(
     landing = landing or scratch_path(spark, "landing")
     staging = scratch_path(spark, "landing-staging")
     fact_path = f"{staging}/fact"
-    sales_keyed(Tables(spark, sf_dir)).drop("additional_column").write.parquet(fact_path)
-    fact = with_file(spark.read.parquet(fact_path), rows_per_file).withColumn("_shape", shape_of())
+    fact = with_file(stage(sales_keyed(Tables(spark, sf_dir)).drop("additional_column"), fact_path), rows_per_file, f"{staging}/parts").withColumn("_shape", shape_of())
     fs.mkdirs(spark, landing)
 
     def write_shape(shape: int) -> None:
