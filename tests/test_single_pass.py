@@ -32,3 +32,42 @@ def test_landing_zone_does_not_shuffle_the_sales_by_month(spark, tmp_uri):
     sales_keyed(Tables(spark, SF_SMALL)).write.parquet(f"{tmp_uri}/fact")
     plan = LF.with_file(spark.read.parquet(f"{tmp_uri}/fact"), 25, f"{tmp_uri}/parts")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan, plan
+
+
+def test_run_does_not_shuffle_the_detail_by_file(spark, tmp_uri, monkeypatch):
+    """What counts of each file is a stored table, broadcast to the detail of every mart."""
+    from tillmart.plans import job
+
+    r = RetailInputs(spark, SF_SMALL)
+    head = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+    spark.createDataFrame([(head,), ("1,1,pen,2024-01-05,1,1.00,2,2.00",)], "value string").coalesce(1).write.text(f"{tmp_uri}/in")
+    (part,) = [p for p in spark.read.text(f"{tmp_uri}/in").inputFiles()]
+    job.fs.mkdirs(spark, f"{tmp_uri}/landing")
+    job.fs.rename(spark, part, f"{tmp_uri}/landing/a.csv")
+    plans, write = {}, job._dynamic
+
+    def kept(df, path, keys):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, keys)
+
+    monkeypatch.setattr(job, "_dynamic", kept)
+    job.run(spark, f"{tmp_uri}/landing", job.Dimensions(r.customer(), r.store(), r.sales_team()), f"{tmp_uri}/out")
+    assert len(plans) == 6  # five marts and the lost sales
+    assert not [name for name, plan in plans.items() if "hashpartitioning(path" in plan]
+
+
+def test_enrichment_shuffles_the_sales_before_their_dimensions_join(spark):
+    """With few salespersons and stores, the shuffle by customer and the rebalance of a
+    write carry the sales' own columns: the broadcast joins stand above them."""
+    r = RetailInputs(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        rows = E.enrich(r.sales(), r.customer(), r.store(), r.sales_team(), rebalance=("sales_date",))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    at = [next(i for i, x in enumerate(lines) if w in x) for w in ("BroadcastHashJoin [store_id", "BroadcastHashJoin [sales_person_id", "REBALANCE_PARTITIONS_BY_COL", "SortMergeJoin [customer_id")]
+    assert at == sorted(at), plan
+    assert rows.count() == r.sales().count()

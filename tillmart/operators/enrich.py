@@ -2,16 +2,19 @@
 dimensions, and accounting for the sales those inner joins drop.
 
 Join strategy: all three are N:1 equi-joins on the dimension key.  The sales
-team is counted and marked for broadcast up to ``BROADCAST_ROWS`` rows: Spark has
-no size for a joined dimension and would shuffle the whole fact before AQE
-measures it.  The others have no hint; Spark broadcasts a dimension only when its
-size estimate (file statistics) or, under AQE, its measured runtime size is below
-``spark.sql.autoBroadcastJoinThreshold``, and falls back to a sort-merge join
-(with AQE skew splitting for hot keys) beyond it.  The sales-team join runs
-first: the fact usually arrives hash-partitioned by the salesperson key (see
-``tables.sales``), so as a sort-merge join it shuffles only the dimension.
-The store join (a likely broadcast) follows; both remove rows before the
-customer join, which at scale is a shuffle of the whole fact.
+team and the stores are counted and marked for broadcast up to ``BROADCAST_ROWS``
+rows each: Spark has no size for a joined dimension and would shuffle the whole
+fact before AQE measures it.  The customers have no hint; Spark broadcasts a
+dimension only when its size estimate (file statistics) or, under AQE, its measured
+runtime size is below ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a
+sort-merge join (with AQE skew splitting for hot keys) beyond it.
+
+With both marked, the customer join runs first: at scale it shuffles the whole
+fact, which has only its own columns then, and so does a rebalance for a write,
+before the broadcast joins add theirs.  Otherwise the sales-team join runs first:
+the fact usually arrives hash-partitioned by the salesperson key (see
+``tables.sales``), so as a sort-merge join it shuffles only the dimension; it and
+the store join remove rows before the customer join.
 """
 
 from __future__ import annotations
@@ -51,13 +54,11 @@ def sales_team_side(sales_team: DataFrame) -> DataFrame:
     )
 
 
-def few(dimension: DataFrame) -> DataFrame:
-    """``dimension``, marked for broadcast if it has few rows and the session
-    broadcasts at all."""
+def few(dimension: DataFrame) -> bool:
+    """Whether ``dimension`` has few enough rows to be marked for broadcast, and the
+    session broadcasts at all."""
     limit = dimension.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    if limit.startswith("-") or dimension.count() > BROADCAST_ROWS:
-        return dimension
-    return F.broadcast(dimension)
+    return not limit.startswith("-") and dimension.count() <= BROADCAST_ROWS
 
 
 def enrich(
@@ -66,16 +67,23 @@ def enrich(
     store: DataFrame,
     sales_team: DataFrame,
     carry: tuple[str, ...] = (),
+    rebalance: tuple[str, ...] = (),
 ) -> DataFrame:
     """Sales ⋈ sales_team ⋈ store ⋈ customer (inner), 19 uniquely named
-    columns, plus the fact columns named in ``carry`` (e.g. the source file)."""
-    fact = sales.select(*FACT_COLUMNS, *carry)
-    return (
-        fact.join(few(sales_team_side(sales_team)), "sales_person_id", "inner")
-        .join(store_side(store), "store_id", "inner")
-        .join(customer_side(customer), "customer_id", "inner")
-        .select(*ENRICHED_COLUMNS, *carry)
-    )
+    columns, plus the fact columns named in ``carry`` (e.g. the source file).
+    ``rebalance``: fact columns on which the rows are rebalanced for a write."""
+    joined = sales.select(*FACT_COLUMNS, *carry)
+    spread = lambda df: df.hint("rebalance", *rebalance) if rebalance else df
+    team, stores, customers = sales_team_side(sales_team), store_side(store), customer_side(customer)
+    small = few(team), few(stores)
+    team, stores = (F.broadcast(d) if few_rows else d for d, few_rows in zip((team, stores), small))
+    if all(small):
+        joined = spread(joined.join(customers, "customer_id", "inner"))
+        joined = joined.join(team, "sales_person_id", "inner").join(stores, "store_id", "inner")
+    else:
+        joined = joined.join(team, "sales_person_id", "inner").join(stores, "store_id", "inner")
+        joined = spread(joined.join(customers, "customer_id", "inner"))
+    return joined.select(*ENRICHED_COLUMNS, *carry)
 
 
 def unmatched_sales(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:

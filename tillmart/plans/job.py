@@ -48,7 +48,7 @@ from tillmart.operators import marts as M
 from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import Ingested, ingest
-from tillmart.session import apply_defaults, run_all
+from tillmart.session import apply_defaults, run_all, scratch_path
 from tillmart.sinks import parquet as P
 from tillmart.sinks import published as PB
 from tillmart.sources import fs
@@ -77,9 +77,12 @@ class RunResult:
 
 
 def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
+    _write_dynamic(df.hint("rebalance", *keys), path, keys)
+
+
+def _write_dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     (
-        df.hint("rebalance", *keys)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
@@ -201,11 +204,12 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
 
     # J0: enrich once and store by (month, run).  Every mart reads the stored
     # detail; J4: what the inner joins drop is counted per dimension and key.
-    enriched = E.enrich(ing.rows, dims.customer, dims.store, dims.sales_team, carry=("path",))
-    months = enriched.withColumns({"sales_month": M.sales_month("sales_date"), "batch": F.lit(batch)})
+    sales = ing.rows.withColumns({"sales_month": M.sales_month("sales_date"), "batch": F.lit(batch)})
+    keys = ("sales_month", "batch")
+    months = E.enrich(sales, dims.customer, dims.store, dims.sales_team, carry=("path", *keys), rebalance=keys)
     lost = E.unmatched_sales(ing.rows, dims.customer, dims.store, dims.sales_team)
     run_all(
-        lambda: _dynamic(months, paths["detail"], ("sales_month", "batch")),
+        lambda: _write_dynamic(months, paths["detail"], keys),
         lambda: _dynamic(lost.withColumn("batch", F.lit(batch)), paths["lost_sales"], ("batch",)),
     )
 
@@ -216,7 +220,9 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
     touched = [r.m for r in ing.rows.select(M.sales_month("sales_date").alias("m")).distinct().collect()]
     mine = good.select("path", F.lit(batch).alias("batch"))
     closed = state.where(F.col("batch").isNotNull()).select(F.col("file_location").alias("path"), "batch")
-    counted = closed.join(mine, "path", "left_anti").unionByName(mine)
+    # Stored (one row per closed file): of known size, so Spark broadcasts it to the
+    # detail of each mart instead of shuffling the detail by path.
+    counted = P.stage(closed.join(mine, "path", "left_anti").unionByName(mine), scratch_path(spark, "run-counted"))
     stored = spark.read.schema(months.schema).parquet(paths["detail"]).where(_in_months(touched))
     detail = stored.join(counted, ["path", "batch"], "left_semi").drop("path", "batch")
 
