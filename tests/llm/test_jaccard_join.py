@@ -6,6 +6,7 @@ import numpy as np
 from odd import ROWS, empty_docs, odd_docs, rows, with_clashes
 
 from conftest import SF_SMALL
+from tillmart.llm import common
 from tillmart.llm import jaccard_join as J
 from tillmart.llm.queries import QUERIES
 
@@ -120,6 +121,13 @@ def test_counts_are_packed_and_graded():
     assert J.rarity(part).tolist() == [0, 16, 25, 128, 128, 255]
 
 
+def test_counts_of_a_task_are_small():
+    part = np.random.default_rng(1).poisson(0.23, J.BUCKETS // J.PIECES).astype(np.int32)  # about those of 16 MB of texts
+    assert len(J.packed_counts(part)) < 10_000
+    assert J.unpacked_counts(J.packed_counts(part)).tolist() == part.tolist()
+    assert J.unpacked_counts(J.packed_counts(0 * part)).tolist() == [0] * len(part)
+
+
 def test_rarest_shingles_of_linked_sets_meet():
     rng = random.Random(2)
     counts = np.resize(np.array([rng.randint(0, 9) for _ in range(997)]), J.BUCKETS)
@@ -144,6 +152,27 @@ def test_blocks_lists_and_neighbourhoods_agree(spark, monkeypatch):
     assert rows(J.similarity_components(frame, most=2), *columns) == want  # single lists
 
 
+def test_postings_are_shuffled_once_beyond_broadcasts(spark, monkeypatch):
+    documents = list(enumerate(families(random.Random(5))))
+    plans = []
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.staged(df, name)
+
+    monkeypatch.setattr(J, "staged", watched)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows(J.similarity_components(spark.createDataFrame(documents, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == plain_result(documents)
+    postings = [p for p in plans if "explode(prefix" in p]
+    assert postings and sum(p.count("Exchange hashpartitioning") for p in postings) == 1
+
+
 def test_query(spark):
     documents = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op11_jaccard_join"](spark, SF_SMALL)

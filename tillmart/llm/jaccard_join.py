@@ -48,7 +48,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.llm.common import small, staged, texts
@@ -170,11 +170,19 @@ def classified(docs: DataFrame) -> DataFrame:
 
 
 def packed_counts(part: np.ndarray) -> bytes:
-    return zlib.compress(part.astype("<i8").reshape(-1).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)  # byte by byte: mostly zeros
+    """The counts bit by bit: of a task's counts, mostly 0 and 1, few bits are set."""
+    bits = int(part.max(initial=0)).bit_length()
+    planes = [np.packbits(part >> k & 1).tobytes() for k in range(bits)]
+    return len(part).to_bytes(4, "little") + zlib.compress(b"".join(planes), 1)
 
 
 def unpacked_counts(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(zlib.decompress(data[4:]), dtype=np.uint8).reshape(-1, -(-n // 8))
+    total = np.zeros(n, dtype=np.int64)
+    for k, plane in enumerate(planes):
+        total |= np.unpackbits(plane, count=n).astype(np.int64) << k
+    return total
 
 
 def rarity(counts: np.ndarray) -> np.ndarray:
@@ -449,16 +457,24 @@ def linked_edges(groups: DataFrame, sets: DataFrame, order) -> DataFrame:
     return first.unionByName(second)
 
 
+def shared_postings(prefix: DataFrame) -> DataFrame:
+    """(lo, token) of the rarest shingles that more than one class has.  The
+    postings are shuffled once, however many tokens are shared: a token's are
+    told apart where they lie together, and the others go no further."""
+    postings = prefix.select("lo", F.explode("prefix").alias("token"))
+    together = Window.partitionBy("token")
+    postings = postings.select("lo", "token", F.min("lo").over(together).alias("a"), F.max("lo").over(together).alias("b"))
+    return postings.where("a <> b").select("lo", "token").distinct()
+
+
 def meeting_lists(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, lists): (node, hi, lo, n) of every class that meets another one,
     and (g, node) of the lists in which they meet, each set of members once."""
-    postings = prefix.select("hi", "lo", "n", F.explode("prefix").alias("token"))
-    several = postings.groupBy("token").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where("a <> b")
-    shared = staged(several.select("token"), "jaccard-tokens")
-    met = staged(postings.join(small(shared), "token").distinct(), "jaccard-postings")
-    nodes = met.select("hi", "lo", "n").distinct().withColumn("node", F.monotonically_increasing_id())
+    met = staged(shared_postings(prefix), "jaccard-postings")
+    meeting = staged(met.select("lo").distinct(), "jaccard-meeting")
+    nodes = prefix.select("hi", "lo", "n").join(small(meeting), "lo").distinct().withColumn("node", F.monotonically_increasing_id())
     nodes = staged(nodes, "jaccard-nodes")
-    lists = staged(met.select("token", "hi", "lo").join(small(nodes), ["hi", "lo"]).select("token", "node"), "jaccard-lists")
+    lists = staged(met.join(small(nodes.select("lo", "node")), "lo").select("token", "node"), "jaccard-lists")
     marks = [F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit("second"))).alias("y")]
     once = lists.groupBy("token").agg(*marks).groupBy("k", "x", "y").agg(F.min("token").alias("token"))
     return nodes, staged(lists.join(once.select("token"), "token").select(F.col("token").alias("g"), "node"), "jaccard-unique-lists")
