@@ -140,6 +140,27 @@ def test_rarest_shingles_of_linked_sets_meet():
             y = set(y) - {next(iter(x & y))} if rng.random() < 0.5 else y | {rng.getrandbits(63)}
 
 
+def test_parts_of_postings_keep_linked_sets_together(spark):
+    rng = random.Random(6)
+    counts = np.zeros(J.BUCKETS, dtype=np.uint8)
+    sets = []
+    for n in [3, 9, 10, 30, 60] * 4:
+        base = {rng.getrandbits(63) for _ in range(n)}
+        sets += [base, *({rng.getrandbits(63) for _ in range(k % (n // 5 + 2))} ^ set(list(base)[k % 7 :]) for k in range(1, 9))]
+    arrays = [np.array(sorted(x), dtype=np.uint64) for x in sets if x]
+    far = np.arange(1, 201, dtype=np.uint64)  # they share one shingle, the last of their rarest
+    prefix = [(i, len(x), J.rarest(x, counts).view(np.int64).tolist()) for i, x in enumerate([*arrays, far])]
+    prefix.append((len(prefix), 200, [*range(-40, 0), 41]))
+    assert prefix[-2][2][40] == 41
+    frame = spark.createDataFrame(prefix, "lo long, n long, prefix array<long>")
+    held = {}
+    for r in J.shared_postings(frame).collect():
+        held.setdefault(r.lo, set()).add((r.token, r.part))
+    for i, j in plain_links([set(x.tolist()) for x in arrays]):
+        assert arrays[i].tolist() == arrays[j].tolist() or held[i] & held[j]
+    assert not held.get(len(prefix) - 1)
+
+
 def test_blocks_lists_and_neighbourhoods_agree(spark, monkeypatch):
     documents = list(enumerate(families(random.Random(3))))
     want = plain_result(documents)

@@ -12,8 +12,9 @@ broadcast), then by hash.  Any order gives the same links.
 
 1. Meeting: two linked sets share one of the n - ceil(0.8 n) + 1 rarest
    shingles of each.  The classes that share such a shingle are a list; a
-   shingle that only one class has among its rarest makes none.  Lists with the
-   same members are one list.  Linked classes therefore meet in some list, and
+   shingle that only one class has among its rarest makes none.  A list is cut
+   where sizes and places of the shingle rule out any link across.  Lists with
+   the same members are one list.  Linked classes therefore meet in some list, and
    the classes that lists connect form a *neighbourhood*, whose sets are
    compared as one group.  A neighbourhood of more than ``MOST`` classes is
    left to its single lists, each a group of its own.
@@ -458,13 +459,23 @@ def linked_edges(groups: DataFrame, sets: DataFrame, order) -> DataFrame:
 
 
 def shared_postings(prefix: DataFrame) -> DataFrame:
-    """(lo, token) of the rarest shingles that more than one class has.  The
+    """(lo, token, part) of the rarest shingles that several classes have.  The
     postings are shuffled once, however many tokens are shared: a token's are
-    told apart where they lie together, and the others go no further."""
-    postings = prefix.select("lo", F.explode("prefix").alias("token"))
-    together = Window.partitionBy("token")
-    postings = postings.select("lo", "token", F.min("lo").over(together).alias("a"), F.max("lo").over(together).alias("b"))
-    return postings.where("a <> b").select("lo", "token").distinct()
+    told apart where they lie together, and the others go no further.
+
+    If a shingle is the first that two linked sets of n and m shingles share, at
+    places i and j from 0, then n - i and m - j are at least their intersection,
+    so that m <= most(n, i) and n <= most(m, j).  By growing size, a token's
+    postings are cut into parts where no earlier one reaches the next size."""
+    span = F.shiftleft(F.col("n"), 32).bitwiseOR(F.greatest(F.lit(0), F.floor((F.lit(100) * F.col("n") - F.lit(100 + PERCENT) * F.col("i")) / F.lit(PERCENT))))
+    postings = prefix.select("lo", "n", F.posexplode("prefix").alias("i", "token")).select("lo", span.alias("span"), "token")
+    several = lambda df, *keys: df.withColumns({k: f("lo").over(Window.partitionBy(*keys)) for k, f in (("a", F.min), ("b", F.max))}).where("a <> b").drop("a", "b")
+    sized = several(postings, "token").select("lo", "token", F.shiftright("span", 32).alias("n"), F.col("span").bitwiseAND(F.lit((1 << 32) - 1)).alias("most"))
+    rising = Window.partitionBy("token").orderBy("n", "lo")
+    reach = F.max("most").over(rising.rowsBetween(Window.unboundedPreceding, -1))
+    cut = sized.withColumn("first", F.when(reach >= F.col("n"), 0).otherwise(1))
+    parts = cut.select("lo", "token", F.sum("first").over(rising.rowsBetween(Window.unboundedPreceding, 0)).alias("part"))
+    return several(parts, "token", "part").distinct()
 
 
 def meeting_lists(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -474,7 +485,8 @@ def meeting_lists(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
     meeting = staged(met.select("lo").distinct(), "jaccard-meeting")
     nodes = prefix.select("hi", "lo", "n").join(small(meeting), "lo").distinct().withColumn("node", F.monotonically_increasing_id())
     nodes = staged(nodes, "jaccard-nodes")
-    lists = staged(met.join(small(nodes.select("lo", "node")), "lo").select("token", "node"), "jaccard-lists")
+    token = F.when(F.col("part") == 1, F.col("token")).otherwise(F.xxhash64("token", "part")).alias("token")
+    lists = staged(met.join(small(nodes.select("lo", "node")), "lo").select(token, "node"), "jaccard-lists")
     marks = [F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit("second"))).alias("y")]
     once = lists.groupBy("token").agg(*marks).groupBy("k", "x", "y").agg(F.min("token").alias("token"))
     return nodes, staged(lists.join(once.select("token"), "token").select(F.col("token").alias("g"), "node"), "jaccard-unique-lists")
