@@ -71,3 +71,20 @@ def test_enrichment_shuffles_the_sales_before_their_dimensions_join(spark):
     at = [next(i for i, x in enumerate(lines) if w in x) for w in ("BroadcastHashJoin [store_id", "BroadcastHashJoin [sales_person_id", "REBALANCE_PARTITIONS_BY_COL", "SortMergeJoin [customer_id")]
     assert at == sorted(at), plan
     assert rows.count() == r.sales().count()
+
+
+def test_sales_are_never_broadcast(spark, tmp_uri, monkeypatch):
+    """Spark takes the few columns read of stored sales for small: the customers, not the
+    sales, are broadcast while they are few, and a sort-merge join follows beyond that."""
+    r = RetailInputs(spark, SF_SMALL)
+    r.sales().write.parquet(f"{tmp_uri}/sales")
+    sales = spark.read.parquet(f"{tmp_uri}/sales")
+    rows = lambda: E.enrich(sales, r.customer(), r.store(), r.sales_team())
+    plan = lambda: rows()._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan() and "SortMergeJoin" not in plan(), plan()
+    n = rows().count()
+    monkeypatch.setattr(E, "few_customers", lambda customer: False)
+    assert "BuildLeft" not in plan() and "SortMergeJoin [customer_id" in plan(), plan()
+    monkeypatch.setattr(E, "few", lambda dimension: False)
+    assert "BuildLeft" not in plan(), plan()
+    assert rows().count() == n == sales.count()

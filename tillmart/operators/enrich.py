@@ -4,10 +4,11 @@ dimensions, and accounting for the sales those inner joins drop.
 Join strategy: all three are N:1 equi-joins on the dimension key.  The sales
 team and the stores are counted and marked for broadcast up to ``BROADCAST_ROWS``
 rows each: Spark has no size for a joined dimension and would shuffle the whole
-fact before AQE measures it.  The customers have no hint; Spark broadcasts a
-dimension only when its size estimate (file statistics) or, under AQE, its measured
-runtime size is below ``spark.sql.autoBroadcastJoinThreshold``, and falls back to a
-sort-merge join (with AQE skew splitting for hot keys) beyond it.
+fact before AQE measures it.  The customers are marked for broadcast while their
+counted rows fit ``spark.sql.autoBroadcastJoinThreshold``.  A dimension beyond its
+limit is marked for a sort-merge join (with AQE skew splitting for hot keys): without
+a mark Spark may broadcast the *fact*, since it takes the few columns read of
+compressed files for small, and millions of rows pass through the driver.
 
 With both marked, the customer join runs first: at scale it shuffles the whole
 fact, which has only its own columns then, and so does a rebalance for a write,
@@ -26,6 +27,7 @@ from tillmart.schemas import ENRICHED_COLUMNS
 
 # Rows of a sales team (some 200 bytes each) that is broadcast.
 BROADCAST_ROWS = 500_000
+ROW_BYTES = 200
 FACT_COLUMNS = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]
 
 
@@ -61,6 +63,20 @@ def few(dimension: DataFrame) -> bool:
     return not limit.startswith("-") and dimension.count() <= BROADCAST_ROWS
 
 
+def few_customers(customer: DataFrame) -> bool:
+    """Whether the counted customers fit the session's broadcast threshold."""
+    limit = customer.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if limit.startswith("-"):
+        return False
+    fits = customer.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit) // ROW_BYTES
+    return customer.count() <= min(fits, BROADCAST_ROWS // 10)
+
+
+def _marked(dimension: DataFrame, broadcast: bool) -> DataFrame:
+    """``dimension`` with its join strategy; the fact is never the side that is broadcast."""
+    return F.broadcast(dimension) if broadcast else dimension.hint("merge")
+
+
 def enrich(
     sales: DataFrame,
     customer: DataFrame,
@@ -76,7 +92,8 @@ def enrich(
     spread = lambda df: df.hint("rebalance", *rebalance) if rebalance else df
     team, stores, customers = sales_team_side(sales_team), store_side(store), customer_side(customer)
     small = few(team), few(stores)
-    team, stores = (F.broadcast(d) if few_rows else d for d, few_rows in zip((team, stores), small))
+    team, stores = (_marked(d, few_rows) for d, few_rows in zip((team, stores), small))
+    customers = _marked(customers, few_customers(customers))
     if all(small):
         joined = spread(joined.join(customers, "customer_id", "inner"))
         joined = joined.join(team, "sales_person_id", "inner").join(stores, "store_id", "inner")
