@@ -114,8 +114,10 @@ def unmatched_sales(sales: DataFrame, customer: DataFrame, store: DataFrame, sal
     c_keys = customer.select("customer_id").distinct().withColumn("_has_c", F.lit(True))
     s_keys = store.select(F.col("id").alias("store_id")).distinct().withColumn("_has_s", F.lit(True))
     t_keys = sales_team.select(F.col("id").alias("sales_person_id")).distinct().withColumn("_has_t", F.lit(True))
-    # Flags are order-free; the sales-team keys go first, on the key the
+    # Few salespersons and stores are broadcast, so only the customers' keys shuffle the
+    # fact.  Flags are order-free; the sales-team keys go first, on the key the
     # fact is usually partitioned by already (see ``tables.sales``).
+    t_keys, s_keys = (F.broadcast(k) if few(d) else k for k, d in ((t_keys, sales_team), (s_keys, store)))
     flagged = (
         sales.select("customer_id", "store_id", "sales_person_id", "total_cost")
         .join(t_keys, "sales_person_id", "left")

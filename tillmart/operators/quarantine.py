@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.session import run_all
+from tillmart.sinks.parquet import CODEC
 from tillmart.sources import fs
 
 TAKEN_SCHEMA = "path string, batch string, taken_at long"
@@ -36,7 +37,7 @@ def seen_paths(spark: SparkSession, base: str) -> DataFrame:
 def append(spark: SparkSession, base: str, batch: str, tables: dict[str, DataFrame], paths: DataFrame) -> None:
     """Write the run's ``tables`` (kind -> rows with a ``path``) and then the
     ``paths`` (path) it took; the tables are written side by side."""
-    run_all(*[lambda k=k, t=t: t.write.mode("overwrite").parquet(f"{base}/{k}/batch={batch}") for k, t in tables.items()])
+    run_all(*[lambda k=k, t=t: t.write.mode("overwrite").option("compression", CODEC).parquet(f"{base}/{k}/batch={batch}") for k, t in tables.items()])
     last = _taken(spark, base).agg(F.max("taken_at")).first()[0]
     at = max(int(time.time() * 1000), (last or 0) + 1)
     paths.select("path", F.lit(batch).alias("batch"), F.lit(at).cast("long").alias("taken_at")).write.mode("append").parquet(f"{base}/taken")

@@ -27,6 +27,7 @@ class Ingested:
     lines: DataFrame  # every line of every file, as staged
     valid_paths: list[str]
     error_paths: list[str]
+    lines_path: str | None = None  # where the lines are staged
 
 
 def ingest(
@@ -52,7 +53,8 @@ def ingest(
     rows = listed.collect()
     listing = L.local_frame(spark, rows, L.LISTED_SCHEMA)
     # The one scan of the landed bytes; files known to be empty have no lines.
-    lines = L.stage_lines(spark, [r.path for r in rows if r.length], scratch_path(spark, "ingest-lines"))
+    lines_path = scratch_path(spark, "ingest-lines")
+    lines = L.stage_lines(spark, [r.path for r in rows if r.length], lines_path)
     # Written once, so later steps read them instead of probing again.
     probe = L.probe_headers(listing, lines, scratch_path(spark, "ingest-headers"))
     verdicts = stage(V.file_verdicts(probe), scratch_path(spark, "ingest-verdicts"))
@@ -79,4 +81,5 @@ def ingest(
         lines,
         sorted(p for p, _ in valid),
         sorted(errors),
+        lines_path,
     )

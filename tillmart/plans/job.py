@@ -48,13 +48,17 @@ from tillmart.operators import marts as M
 from tillmart.operators import quarantine as Q
 from tillmart.operators import validate as V
 from tillmart.plans.ingest import Ingested, ingest
-from tillmart.session import apply_defaults, run_all, scratch_path
+from tillmart.session import LARGE_BYTES, MAX_CONCURRENT_JOBS, apply_defaults, run_all, scratch_path, shuffles_freed
 from tillmart.sinks import parquet as P
 from tillmart.sinks import published as PB
 from tillmart.sources import fs
 from tillmart.sources import landing as L
 
 
+# Order of the rows in a file: the columns of a salesperson, or of a customer, repeat.
+PERSON_ORDER, CUSTOMER_ORDER = ("store_id", "sales_person_id"), ("customer_id",)
+
+
 class NoValidFiles(RuntimeError):
     """The landing zone holds no file that passes validation."""
 
@@ -77,13 +81,15 @@ class RunResult:
 
 
 def _dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
-    _write_dynamic(df.hint("rebalance", *keys), path, keys)
+    """The partitions that ``df`` (``P.placed``) has, replaced in a table of the run."""
+    _write_dynamic(df, path, keys)
 
 
 def _write_dynamic(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", P.CODEC)
         .partitionBy(*keys)
         .parquet(path)
     )
@@ -152,7 +158,8 @@ def run(
     }
 
     try:
-        return _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began, error_dir, processed_dir, publish, max_files, lease_s)
+        with shuffles_freed(spark):
+            return _claimed_run(spark, landing_dir, dims, out, claims, paths, batch, now, began, error_dir, processed_dir, publish, max_files, lease_s)
     finally:
         CL.release(spark, claims, batch)
 
@@ -196,6 +203,9 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
     rejected = ing.verdicts.where(F.col("verdict") == V.ERROR).drop("uri", "header_seq")
     tables = {"files": rejected, "lines": V.rejected_lines(ing.verdicts, ing.lines), "rows": ing.corrupt}
     Q.append(spark, paths["quarantine"], batch, tables, taken)
+    # Read by nothing after this: the rows are staged, the rejected lines stored.
+    fs.delete(spark, ing.lines_path)
+    at_once = 1 if sum(files.values()) >= LARGE_BYTES else MAX_CONCURRENT_JOBS
     if not ing.valid_paths:
         return None
     state = LG.state(LG.read(spark, paths["ledger"]))  # with what other runs have closed
@@ -209,8 +219,9 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
     months = E.enrich(sales, dims.customer, dims.store, dims.sales_team, carry=("path", *keys), rebalance=keys)
     lost = E.unmatched_sales(ing.rows, dims.customer, dims.store, dims.sales_team)
     run_all(
-        lambda: _write_dynamic(months, paths["detail"], keys),
-        lambda: _dynamic(lost.withColumn("batch", F.lit(batch)), paths["lost_sales"], ("batch",)),
+        lambda: _write_dynamic(P.placed(months, keys, PERSON_ORDER, rebalance=False), paths["detail"], keys),
+        lambda: _dynamic(P.placed(lost.withColumn("batch", F.lit(batch)), ("batch",)), paths["lost_sales"], ("batch",)),
+        at_once=at_once,
     )
 
     # Months this run brought, from the staged rows (one column of stored
@@ -228,21 +239,31 @@ def _publish(spark, ing: Ingested, dims, out, claims, paths, batch, files, now,
 
     # O1/O2: detail marts and the month/store partitioned mart; C1/C2 + O6:
     # monthly marts, one partition per month.  All read the stored detail and
-    # write separate outputs: submitted together.
+    # write separate outputs: submitted together while the run is small.
     team_detail = M.sales_team_detail(detail)
     customer_detail = M.customer_detail(detail)
     customer_mart = M.conform_customer_mart(M.customer_monthly(customer_detail))
     sales_mart = M.conform_sales_mart(M.sales_incentive(M.sales_monthly_totals(team_detail)))
     customer_month = F.date_format("sales_date_month", "yyyy-MM")
     outputs = {
-        "sales_partitioned": (team_detail, P.PARTITION_KEYS),
-        "customer_detail": (customer_detail.withColumn("_m", M.sales_month("sales_date")), ("_m",)),
-        "sales_team_detail": (team_detail.withColumn("_m", F.col("sales_month")), ("_m",)),
-        "customer_mart": (customer_mart.withColumn("_m", customer_month), ("_m",)),
-        "sales_mart": (sales_mart.withColumn("_m", F.col("sales_month")), ("_m",)),
+        "sales_partitioned": (team_detail, P.PARTITION_KEYS, PERSON_ORDER),
+        "customer_detail": (customer_detail.withColumn("_m", M.sales_month("sales_date")), ("_m",), CUSTOMER_ORDER),
+        "sales_team_detail": (team_detail.withColumn("_m", F.col("sales_month")), ("_m",), PERSON_ORDER),
+        "customer_mart": (customer_mart.withColumn("_m", customer_month), ("_m",), CUSTOMER_ORDER),
+        "sales_mart": (sales_mart.withColumn("_m", F.col("sales_month")), ("_m",), PERSON_ORDER),
     }
-    schemas = {name: df.schema for name, (df, _) in outputs.items()}
-    run_all(*[lambda n=n, df=df, keys=keys: _dynamic(df, paths[n], keys) for n, (df, keys) in outputs.items()])
+    schemas = {name: df.schema for name, (df, _, _) in outputs.items()}
+    # One run's detail is rebalanced by month already: the detail marts by month are
+    # written from where it is read.  Several runs' files are rebalanced, so that many
+    # small runs leave no small files.
+    whole = closed.join(mine, "path", "left_anti").isEmpty()
+    in_place = {"customer_detail", "sales_team_detail"} if whole else set()
+
+    def write(name: str) -> None:
+        df, keys, order = outputs[name]
+        _dynamic(P.placed(df, keys, order, rebalance=name not in in_place), paths[name], keys)
+
+    run_all(*[lambda n=n: write(n) for n in outputs], at_once=at_once)
 
     CL.check_held(spark, claims, batch)
     if publish:

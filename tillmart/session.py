@@ -8,9 +8,12 @@ checkpoint directory, file split size) always win.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,19 +94,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tillmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Deletes a query's shuffle files when it has ended, instead of when the driver's
+# garbage collector finds its plan; a plan that is run again recomputes them.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FREEING: Counter = Counter()
+_FREEING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Free each query's shuffle files at its end, unless the session decides that
+    itself: of several steps over a large table, one step's files are on disk."""
+    key = (spark.sparkContext.applicationId, str(spark._jsparkSession.sessionUUID()))
+    with _FREEING_LOCK:
+        mine = _FREEING[key] > 0 or spark.conf.get(FREE_SHUFFLES, None) is None
+        if mine:
+            _FREEING[key] += 1
+            spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _FREEING_LOCK:
+            if mine:
+                _FREEING[key] -= 1
+                if not _FREEING[key]:
+                    spark.conf.unset(FREE_SHUFFLES)
+
+
 # Driver threads submitting jobs at once, at most.
 MAX_CONCURRENT_JOBS = 16
+# Landed bytes from which jobs that each shuffle the landed rows follow one another:
+# each fills the cluster then, and one job's shuffle files are on disk, not all jobs'.
+LARGE_BYTES = 1 << 30
 
 
-def run_all(*jobs: Callable[[], object]) -> None:
+def run_all(*jobs: Callable[[], object], at_once: int = MAX_CONCURRENT_JOBS) -> None:
     """Run independent Spark actions (writes) concurrently from driver threads.
 
     Spark schedules jobs from several threads side by side, so one job's
     tasks fill the slots another leaves idle and driver-side commits overlap.
-    At most ``MAX_CONCURRENT_JOBS`` run at once.  Waits for all; the first
+    At most ``at_once`` run at once.  Waits for all; the first
     failure is raised, so whatever the caller does next (for example closing
     ledger entries) never follows a failed job."""
-    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), MAX_CONCURRENT_JOBS))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), at_once))) as pool:
         futures = [pool.submit(j) for j in jobs]
         errors = [f.exception() for f in futures]
     for e in errors:

@@ -43,6 +43,12 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
     return [(str(s.getPath().toString()), bool(s.isDirectory()), int(s.getLen())) for s in fs.listStatus(p)]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     d = _path(spark, dst)

@@ -31,7 +31,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.schemas import MANDATORY_COLUMNS
-from tillmart.session import run_all, scratch_path, shared_dir
+from tillmart.session import LARGE_BYTES, MAX_CONCURRENT_JOBS, run_all, scratch_path, shared_dir, shuffles_freed
 from tillmart.sinks.parquet import stage
 from tillmart.sources import fs
 from tillmart.sources.tables import Tables, sales_keyed
@@ -108,6 +108,8 @@ def _columns(shape: int) -> list[F.Column]:
     return out
 
 
+# Bytes of CSV for a byte of the stored fact, about.
+CSV_BYTES = 4
 # Concurrent metadata calls (list, rename) when files get their names.
 PUBLISH_THREADS = 16
 
@@ -136,8 +138,15 @@ def _publish(spark: SparkSession, written: str, landing: str) -> None:
 def write_landing(
     spark: SparkSession, sf_dir: str, landing: str | None = None, rows_per_file: int = ROWS_PER_FILE
 ) -> str:
-    """Write the landing zone for ``sf_dir``; returns its location."""
+    """Write the landing zone for ``sf_dir``; returns its location.  Its working tables
+    are deleted at the end."""
     landing = landing or scratch_path(spark, "landing")
+    with shuffles_freed(spark):
+        _write_landing(spark, sf_dir, landing, rows_per_file)
+    return landing
+
+
+def _write_landing(spark: SparkSession, sf_dir: str, landing: str, rows_per_file: int) -> None:
     staging = scratch_path(spark, "landing-staging")
     fact_path = f"{staging}/fact"
     fact = with_file(stage(sales_keyed(Tables(spark, sf_dir)).drop("additional_column"), fact_path), rows_per_file, f"{staging}/parts").withColumn("_shape", shape_of())
@@ -167,10 +176,11 @@ def write_landing(
         )
         _publish(spark, notes, landing)
 
-    # The shapes write disjoint files: independent jobs, submitted together.
-    run_all(*[lambda s=shape: write_shape(s) for shape in SHAPE_HEADERS], write_notes)
+    # The shapes write disjoint files: independent jobs, submitted together while small.
+    large = fs.size(spark, fact_path) * CSV_BYTES >= LARGE_BYTES
+    run_all(*[lambda s=shape: write_shape(s) for shape in SHAPE_HEADERS], write_notes, at_once=1 if large else MAX_CONCURRENT_JOBS)
     fs.touch(spark, f"{landing}/{EMPTY_FILE}")
-    return landing
+    fs.delete(spark, staging)
 
 
 _CACHE: dict[tuple[str, str], str] = {}
