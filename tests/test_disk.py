@@ -8,6 +8,7 @@ from test_invariants import HEADER, _dims, _zone, put
 
 from tillmart.plans import job
 from tillmart.session import run_all, scratch_path, shared_dir, shuffles_freed
+from tillmart.sinks import parquet as P
 from tillmart.sources import fs
 
 ROW = "1,1,oats,{},1,2.00,4,{}\n"
@@ -73,6 +74,18 @@ def test_one_runs_detail_marts_are_written_in_place(spark, monkeypatch):
         assert str(job.read_mart(spark, result.paths[name]).agg(F.sum("total_cost")).first()[0]) == "9.50"
 
 
+def test_a_copied_snapshot_is_not_shuffled(spark, tmp_uri, monkeypatch):
+    rows = spark.range(1000).select((F.col("id") % 5).cast("string").alias("sales_month"), (F.col("id") % 3).cast("int").alias("store_id"), "id")
+    P.write_partitioned(rows, f"{tmp_uri}/mart")
+    mart = P.read_partitioned(spark, f"{tmp_uri}/mart", rows.schema)
+    groups = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("copy", "copy")
+    path = P.write_snapshot(mart, f"{tmp_uri}/copy", partition_by=P.PARTITION_KEYS, copy=True)
+    stages = {s for j in groups.getJobIdsForGroup("copy") for s in groups.getJobInfo(j).stageIds}
+    assert len(stages) == len(groups.getJobIdsForGroup("copy"))  # no shuffle
+    assert sorted(map(tuple, P.read_partitioned(spark, path, rows.schema).select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_lost_sales_broadcast_few_salespersons_and_stores(spark):
     from tillmart.operators import enrich as E
 

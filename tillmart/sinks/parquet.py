@@ -65,12 +65,15 @@ def epoch_ms(now: float | None = None) -> int:
     return int(time.time() if now is None else now) * 1000
 
 
-def write_snapshot(df: DataFrame, base: str, now: float | None = None, partition_by: tuple[str, ...] = ()) -> str:
+def write_snapshot(df: DataFrame, base: str, now: float | None = None, partition_by: tuple[str, ...] = (), copy: bool = False) -> str:
+    """``copy``: ``df`` is a stored mart, partitioned as the snapshot will be; its rows
+    are written from where they are read, file by file, and not rebalanced again."""
     target = f"{base.rstrip('/')}/{epoch_ms(now)}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
+    if partition_by and not copy:
         df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    writer = df.write.mode("overwrite").option("compression", CODEC)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
     return target
 

@@ -42,7 +42,8 @@ def manifest(spark: SparkSession, base: str, version: int | None = None) -> dict
 
 
 def publish(spark: SparkSession, base: str, marts: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> dict:
-    """Write a snapshot of every mart (frame, partition columns), then the version that names them."""
+    """Write a snapshot of every mart (stored frame, the columns it is partitioned by),
+    then the version that names them."""
     base = base.rstrip("/")
     known, last = versions(spark, base), manifest(spark, base)
     # Later than the last version's, so no snapshot in use is overwritten.
@@ -50,7 +51,7 @@ def publish(spark: SparkSession, base: str, marts: dict[str, tuple[DataFrame, tu
     written: dict[str, dict] = {}
 
     def write(name: str, df: DataFrame, keys: tuple[str, ...]) -> None:
-        path = P.write_snapshot(df, f"{base}/{name}", now=at / 1000, partition_by=keys)
+        path = P.write_snapshot(df, f"{base}/{name}", now=at / 1000, partition_by=keys, copy=True)
         written[name] = {"path": path, "schema": df.schema.jsonValue()}
 
     run_all(*[lambda n=n, df=df, keys=keys: write(n, df, keys) for n, (df, keys) in marts.items()])
